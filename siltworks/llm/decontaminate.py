@@ -172,13 +172,14 @@ def match(
     if size > max_benchmark_bytes:
         raise ValueError(f"benchmark of {size} bytes exceeds max_benchmark_bytes={max_benchmark_bytes}")
     rows = [tuple(r) for r in benchmark.select(F.col(item_col).cast("string"), item_text_col).distinct().collect()]
+    frame, text_of = tb.text_input(docs, id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(_blocks(sorted(rows, key=str), BLOCK_WORDS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = shared.value
         machines = [Automaton(b, window) for b in blocks] if sum(len(h) for b in blocks for _, h in b) <= BLOCK_WORDS else None
         for batch in batches:
-            for a, b, data, offsets in tb.slices(batch.column(0).field(inside) if inside else batch.column(1)):
+            for a, b, data, offsets in tb.slices(text_of(batch)):
                 starts, ends, bounds = tb.words(data, offsets)
                 hashed = tb.hashes(data, starts, ends)
                 n_rows = b - a
@@ -219,11 +220,9 @@ def match(
                     names=["_id", "n_words", "n_hit", "longest", "spans", "spans_bytes", "items", "n_items"],
                 )
 
-    inside = text_col.removeprefix(f"{id_col}.") if text_col.startswith(f"{id_col}.") else None
-    docs = docs.select(F.col(id_col).alias("_id"), *([] if inside else [F.col(text_col).alias("_text")]))
-    out = docs.mapInArrow(
+    out = frame.mapInArrow(
         run,
-        f"_id {docs.schema['_id'].dataType.simpleString()}, n_words bigint, n_hit bigint, longest bigint, spans array<struct<start:bigint,end:bigint>>, "
+        f"_id {frame.schema['_id'].dataType.simpleString()}, n_words bigint, n_hit bigint, longest bigint, spans array<struct<start:bigint,end:bigint>>, "
         "spans_bytes array<struct<start:bigint,end:bigint>>, items array<string>, n_items bigint",
     )
     return out.withColumnRenamed("_id", id_col)
@@ -253,8 +252,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     documents that stay; by default they keep their text unchanged.  Whole rows
     travel with their result, so repeated ids stay apart and nothing is joined.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    kept = match(docs.select(row), benchmark, id_col="row", text_col=f"row.{text_col}", **options).filter(~contaminated())
+    kept = match(tb.as_rows(docs), benchmark, id_col="row", text_col=f"row.{text_col}", **options).filter(~contaminated())
     if max_span is not None:
         cut = F.udf(excise, "string")
         long = F.expr(f"transform(filter(arrays_zip(spans, spans_bytes), s -> s.spans.end - s.spans.start > {int(max_span)}), s -> s.spans_bytes)")

@@ -1,10 +1,14 @@
 """The queries of this subpackage and their SQL."""
 
-from siltworks.llm import decontaminate, neardup
+from siltworks.llm import decontaminate, langid, neardup, quality, tokencount, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op6_token_counts": tokencount.op6_token_counts,
+    "op7_language": langid.op7_language,
     "op8_minhash_neardup": neardup.op8_minhash_neardup,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLE_SQL = {

@@ -111,3 +111,23 @@ def labelled_part(doc_id, modulus: int):
     from pyspark.sql import functions as F
 
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
+
+
+def text_input(docs, key_col: str, text_col: str):
+    """(frame, reader): the key and text of ``docs``, and how to find the text in a batch.
+
+    The key may be a struct that holds the text as a field (``text_col`` is then
+    ``key.field``); whole rows so travel with their result and the text only once.
+    """
+    from pyspark.sql import functions as F
+
+    inside = text_col.removeprefix(f"{key_col}.") if text_col.startswith(f"{key_col}.") else None
+    frame = docs.select(F.col(key_col).alias("_id"), *([] if inside else [F.col(text_col).alias("_text")]))
+    return frame, lambda batch: batch.column(0).field(inside) if inside else batch.column(1)
+
+
+def as_rows(docs):
+    """Each row of ``docs`` as one struct column ``row``."""
+    from pyspark.sql import functions as F
+
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
