@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm import textbytes as tb
+from siltworks.llm.workspace import with_checkpoints
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -192,9 +193,7 @@ def classes(
     rows: int = ROWS,
 ) -> DataFrame:
     """(id, class_id, class_size): class_id is the smallest id of the class."""
-    spark = docs.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/siltworks-checkpoints"))
+    with_checkpoints(docs.sparkSession)
     ids = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("x1"), F.crc32(F.col(text_col).cast("binary")).alias("x2"), F.octet_length(text_col).alias("x3"))
     # Equal texts meet by a 96-bit hash and their length; one of them stands for all.
     same = ["x1", "x2", "x3"]
