@@ -11,8 +11,9 @@ Bands of equal registers give candidates.  Nothing enumerates a bucket's pairs:
 
 1. each text meets the first text (in hash order) of the buckets it is in;
 2. it then meets the first text of each single bucket, where classes still differ;
-3. what is left are buckets that hold several classes: there the pairs across
-   classes meet, so no link between different texts is lost behind a first text.
+3. what is left are buckets that hold several classes: their texts meet across
+   classes by a prefix filter on the rarest shingles, which leaves out no pair that
+   reaches the threshold, so no link is lost behind a first text.
 
 Each meeting is verified on the whole shingle sets (Jaccard >= ``threshold``), and
 linked texts are merged into classes by repeated minima over checkpointed tables.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm import textbytes as tb
@@ -159,6 +160,35 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> D
     return both.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
+    """Pairs (a, b) of different classes c that can reach the threshold; none that does is left out.
+
+    Prefix filter: with each text's shingles ordered by how few texts hold them, two
+    texts that reach the threshold share one of their first size - ceil(threshold x
+    size) + 1; their sizes and the shared shingle's places bound the overlap further.
+    A shingle that one text alone holds shares nothing, so only its place counts.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in tb.slices(batch.column(1), tb.SLICE_BYTES // 8):
+                sh, sr, _ = weighted(*shingles(data, offsets, n))
+                size = np.bincount(sr, minlength=b - a)
+                take = pa.array(sr)
+                yield pa.record_batch([batch.column(0).slice(a, b - a).take(take), batch.column(2).slice(a, b - a).take(take), pa.array(size[sr]), pa.array(sh.view(np.int64))], names=["k", "c", "n", "s"])
+
+    each = texts.join(rest, "k").select("k", "t", "c").mapInArrow(run, "k bigint, c bigint, n bigint, s bigint")
+    held = each.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = each.join(held, "s")
+    own = Window.partitionBy("k")
+    place = shared.withColumn("i", F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "s")) - 1)
+    head = place.filter(F.col("i") <= F.col("n") - F.ceil(F.col("n") * threshold - 1e-9)).select("k", "c", "n", "s", "i")
+    p, q = head.alias("p"), head.alias("q")
+    most = F.least(F.col("p.n") - F.col("p.i"), F.col("q.n") - F.col("q.i"))
+    reach = most >= F.lit(threshold / (1 + threshold)) * (F.col("p.n") + F.col("q.n")) - 1e-9
+    return p.join(q, (F.col("p.s") == F.col("q.s")) & (F.col("p.k") < F.col("q.k")) & (F.col("p.c") != F.col("q.c")) & reach).select(F.col("p.k").alias("a"), F.col("q.k").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(k, c): the smallest key linked to each key that has an edge.
 
@@ -218,10 +248,8 @@ def classes(
     # Buckets that still hold several classes: their texts meet across classes.
     now = stars.select("k", "band", "h").join(root, "k", "left").select("k", "band", "h", F.coalesce("c", "k").alias("c"))
     mixed = now.groupBy("band", "h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("band", "h")
-    rest = now.join(mixed, ["band", "h"]).checkpoint()
-    across = rest.alias("p").join(rest.alias("q"), ["band", "h"]).filter("p.k < q.k and p.c <> q.c").select(F.col("p.k").alias("a"), F.col("q.k").alias("b")).distinct()
-    met = stars.filter("f <> k").select(F.least("f", "k").alias("a"), F.greatest("f", "k").alias("b")).distinct()
-    across = across.join(met, ["a", "b"], "left_anti").checkpoint()
+    rest = now.join(mixed, ["band", "h"]).select("k", "c").distinct().checkpoint()
+    across = _prefix_pairs(rest, texts, threshold, shingle).checkpoint()
     if not across.isEmpty():
         root = components(links.union(_verified(across, texts, threshold, shingle)))
     grouped = reps.join(root, "k", "left").select(*same, F.coalesce("c", "k").alias("c"))
