@@ -9,7 +9,7 @@ Two signatures agree in a register with the probability Jaccard similarity.
 
 Bands of equal registers give candidates.  Nothing enumerates a bucket's pairs:
 
-1. each text meets the first text (in hash order) of the buckets it is in;
+1. each text meets the first text of the buckets it is in, those with most bucket mates first;
 2. it then meets the first text of each single bucket, where classes still differ;
 3. what is left are buckets that hold several classes: their texts meet across
    classes by a prefix filter on the rarest shingles, which leaves out no pair that
@@ -231,11 +231,14 @@ def classes(
     reps = member.groupBy(*same).agg(F.min("id").alias("k"))
     texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(reps.select("k").filter("k is not null"), "k", "left_semi")
     banded = _bands(texts, bands, rows, shingle).checkpoint()
-    # Hash order of keys: any fixed order that does not follow the ids.
+    # A text that shares many buckets is near the middle of its group, so the first of a
+    # bucket is the one with most bucket mates; the hash of the key settles equals.
     long = banded.select("k", F.posexplode("bands").alias("band", "h"))
-    head = F.min(F.struct(F.xxhash64("k").alias("o"), F.col("k").alias("f")))
-    heads = long.groupBy("band", "h").agg(head.alias("m"), F.count("*").alias("n")).filter("n > 1").select("band", "h", "m.f", "m.o")
-    stars = long.join(heads, ["band", "h"]).select("k", "band", "h", "f", "o").checkpoint()
+    shared = long.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1")
+    mates = long.join(shared, ["band", "h"]).groupBy("k").agg(F.sum("n").alias("mates"), F.collect_list(F.struct("band", "h")).alias("in"))
+    placed = mates.select("k", F.struct((-F.col("mates")).alias("m"), F.xxhash64("k").alias("x")).alias("o"), F.inline("in")).checkpoint()
+    heads = placed.groupBy("band", "h").agg(F.min(F.struct("o", F.col("k").alias("f"))).alias("m")).select("band", "h", "m.f", "m.o")
+    stars = placed.select("k", "band", "h").join(heads, ["band", "h"]).select("k", "band", "h", "f", "o").checkpoint()
     first = stars.groupBy("k").agg(F.min(F.struct("o", "f")).alias("m")).select(F.col("m.f").alias("a"), F.col("k").alias("b")).filter("a <> b")
     links = _verified(first, texts, threshold, shingle).checkpoint()
     root = components(links)

@@ -213,19 +213,24 @@ def pseudonym(m: Column, key: Column) -> Column:
 
 def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY, counts: bool = False) -> DataFrame:
     """``docs`` with its text pseudonymised; with ``counts``, n_<kind> columns and n_pii follow."""
-    text, secret = F.col(f"`{text_col}`"), F.lit(key)
+    # Rows travel as one struct, so that no column of theirs can clash with the steps' own.
+    work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text, secret = F.col(f"row.`{text_col}`"), F.lit(key)
     scan = text.rlike(r"[0-9@=]")
-    work = docs.withColumn("_found", F.when(scan, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))))
-    work = work.withColumn("_new", F.when(F.size("_found") > 0, F.transform("_found", lambda m: pseudonym(m, secret))))
+    work = work.withColumn("found", F.when(scan, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))))
+    work = work.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(m, secret))))
     pieces = F.split(text, PATTERN, -1)
-    whole = F.array_join(F.transform(F.arrays_zip(pieces.alias("p"), F.col("_new.value").alias("v")), lambda s: F.concat(s["p"], F.coalesce(s["v"], F.lit("")))), "")
-    work = work.withColumn("_text", F.when(F.size("_new") > 0, whole).otherwise(text))
+    whole = F.array_join(F.transform(F.arrays_zip(pieces.alias("p"), F.col("new.value").alias("v")), lambda s: F.concat(s["p"], F.coalesce(s["v"], F.lit("")))), "")
+    work = work.withColumn("text", F.when(F.size("new") > 0, whole).otherwise(text))
     extra = []
     if counts:
-        of = lambda kind: F.coalesce(F.size(F.filter("_new.kind", lambda k: k == kind if kind else k.isNotNull())), F.lit(0))
-        number = lambda kind: F.when(F.col("_new").isNull(), 0).otherwise(of(kind)).cast("bigint")
-        extra = [number(kind).alias(f"n_{kind}") for kind in KINDS] + [number(None).alias("n_pii")]
-    return work.select(*[F.col("_text").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns], *extra)
+        number = lambda test: F.when(F.col("new").isNull(), 0).otherwise(F.size(F.filter("new.kind", test))).cast("bigint")
+        extra = [number(_is(kind)).alias(f"n_{kind}") for kind in KINDS] + [number(lambda k: k.isNotNull()).alias("n_pii")]
+    return work.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns], *extra)
+
+
+def _is(kind: str):
+    return lambda k: k == kind
 
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:
