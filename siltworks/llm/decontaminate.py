@@ -254,7 +254,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     """
     kept = match(tb.as_rows(docs), benchmark, id_col="row", text_col=f"row.{text_col}", **options).filter(~contaminated())
     if max_span is not None:
-        cut = F.udf(excise, "string")
+        cut = F.udf(lambda text, spans: excise(text, spans), "string")
         long = F.expr(f"transform(filter(arrays_zip(spans, spans_bytes), s -> s.spans.end - s.spans.start > {int(max_span)}), s -> s.spans_bytes)")
         kept = kept.withColumn("row", F.col("row").withField(text_col, F.when(F.size("spans") > 0, cut(F.col(f"row.{text_col}"), long)).otherwise(F.col(f"row.{text_col}"))))
     return kept.select("row.*")

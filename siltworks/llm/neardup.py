@@ -257,8 +257,8 @@ def classes(
         root = components(links.union(_verified(across, texts, threshold, shingle)))
     grouped = reps.join(root, "k", "left").select(*same, F.coalesce("c", "k").alias("c"))
     # A word-less text is a class of its own even when it is repeated.
-    worded = banded.select("k", F.lit(True).alias("has"))
-    grouped = grouped.join(worded.withColumnRenamed("k", "c"), "c", "left")
+    worded = banded.select(F.col("k").alias("c")).distinct().withColumn("has", F.lit(True))
+    grouped = grouped.join(worded, "c", "left")
     out = ids.join(grouped, same, "left").select("id", F.when(F.col("has"), F.col("c")).otherwise(F.col("id")).alias("class_id"))
     sizes = out.groupBy("class_id").agg(F.count("*").alias("class_size"))
     return out.join(sizes, "class_id", "left").select(F.col("id").alias(id_col), "class_id", F.coalesce("class_size", F.lit(1)).cast("bigint").alias("class_size"))
