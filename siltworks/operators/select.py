@@ -126,3 +126,15 @@ def rationale(reason: Column, track: Column, route: Column, signals: Column, tex
     shown = F.slice(signals, 1, 4)
     said = F.concat(said, F.when(F.size(shown) > 0, F.concat(F.lit("; signals: "), F.array_join(shown, ", "))).otherwise(""), F.lit("."))
     return F.when(reason == PINNED, "A sample that was verified before; it tests recall.").when(track == "track.fixed", "A watched source changed several times; confirm what was released.").otherwise(said)
+
+
+def questions(fixed: Column, source_types: Column, route: Column, *, fixed_set: list[str], by_source: list[tuple[tuple[str, ...], list[str]]], common: list[str], by_route: dict[str, str]) -> Column:
+    """What to verify: by watched source, else by the first listed kind of source, else common questions and one of the route."""
+    listed = lambda qs: F.array(*[F.lit(q) for q in qs])
+    extra = F.array().cast("array<string>")
+    for r, q in by_route.items():
+        extra = F.when(route == r, F.array(F.lit(q))).otherwise(extra)
+    chosen = F.when(fixed, listed(fixed_set))
+    for kinds, qs in by_source:
+        chosen = chosen.when(F.arrays_overlap(source_types, listed(list(kinds))), listed(qs))
+    return chosen.otherwise(F.concat(listed(common), extra))

@@ -8,11 +8,14 @@ for quotas and references.  All run over whole tables and whole texts.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions import ids, records, scoring, text, times, urls
 from siltworks.operators import cluster, dedupe, editorial, joins, predicates, select, summaries, validate
+from siltworks.sources import landed
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -567,3 +570,110 @@ def ranked_stories(spark, sf_dir):
     level = F.when(F.col("o_orderpriority") == "1-URGENT", "priority.p0").when(F.col("o_orderpriority") == "2-HIGH", "priority.p1").when(F.col("o_orderpriority") == "3-MEDIUM", "priority.p2").otherwise("none")
     rows = table(spark, sf_dir, "orders").filter("o_totalprice > 400000").select(F.col("o_orderkey").cast("string").alias("event_id"), level.alias("priority"), F.col("o_orderdate").alias("event_at"), F.lit("order").alias("canonical_title"), F.lit("order").alias("fact_summary"), F.lit("none").alias("limitations"), F.array(F.lit("clm")).alias("claim_ids"))
     return editorial.stories(rows).select("story_id", F.col("rank").cast("int").alias("rank"), "article_type", F.col("editorial_score").cast("int").alias("editorial_score"))
+
+
+# ---------------------------------------------------------------- parsers, fed with bodies made of the tables
+
+
+@query("sitemap_rows", "SELECT page_id AS registry_id, CAST(0 AS INTEGER) AS place, trim(url) AS url, CAST(DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS VARCHAR) AS d FROM pages")
+def sitemap_rows(spark, sf_dir):
+    """Sitemaps of one url each, written and parsed again."""
+    escaped = F.replace(F.col("url"), F.lit("&"), F.lit("&amp;"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 28).cast("int"))
+    body = F.concat(F.lit("<urlset><url><loc>"), escaped, F.lit("</loc><lastmod>"), day.cast("string"), F.lit("</lastmod></url></urlset>"))
+    got = landed.sitemap(table(spark, sf_dir, "pages").select(F.col("page_id").alias("registry_id"), body.alias("body")))
+    return got.select("registry_id", "place", "url", F.to_date("modified_at").cast("string").alias("d"))
+
+
+@query(
+    "feed_rows",
+    f"SELECT event_type AS registry_id, CAST(event_id AS VARCHAR) AS title, date_trunc('second', ts) AS published_at FROM events WHERE date_trunc('second', ts) BETWEEN TIMESTAMP '{WINDOW[0]}' AND TIMESTAMP '{WINDOW[1]}'",
+)
+def feed_rows(spark, sf_dir):
+    """A feed of one entry per event, written and parsed again, then cut to the window."""
+    rows = events(spark, sf_dir)
+    item = F.concat(F.lit("<rss><item><title>"), F.col("event_id").cast("string"), F.lit("</title><link>https://e.org/"), F.col("event_id").cast("string"), F.lit("</link><pubDate>"), F.date_format("ts", "d MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate></item></rss>"))
+    pages = rows.select(F.col("event_type").alias("registry_id"), F.lit("https://e.org/feed").alias("url"), item.alias("body"))
+    got = landed.accepted_entries(landed.feed_entries(pages), *[F.lit(w).cast("timestamp") for w in WINDOW], [])
+    return got.select("registry_id", "title", "published_at")
+
+
+@query(
+    "filing_rows",
+    "SELECT CAST(o_custkey AS VARCHAR) AS cik, o_orderpriority AS form, CAST(o_orderkey AS VARCHAR) AS title_key, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')",
+)
+def filing_rows(spark, sf_dir):
+    """Orders of a customer as parallel arrays in JSON, and back to rows of the wanted forms."""
+    orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderdate", "o_orderpriority"))).alias("o"))
+    text_of = lambda f: F.transform("o", f)
+    key = text_of(lambda x: x["o_orderkey"].cast("string"))
+    recent = F.struct(key.alias("accessionNumber"), text_of(lambda x: F.date_format(x["o_orderdate"], "yyyy-MM-dd")).alias("filingDate"), text_of(lambda x: F.lit("")).alias("acceptanceDateTime"), text_of(lambda x: x["o_orderpriority"]).alias("form"), key.alias("primaryDocument"), key.alias("primaryDocDescription"))
+    body = F.to_json(F.struct(F.struct(recent.alias("recent")).alias("filings")))
+    got = landed.filings(orders.select(F.col("o_custkey").cast("string").alias("cik"), body.alias("body")), ["1-URGENT", "2-HIGH"])
+    return got.select("cik", "form", F.regexp_extract("title", r"(\d+)$", 1).alias("title_key"), F.to_date("published_at").cast("string").alias("d"))
+
+
+@query(
+    "inbox_rows",
+    f"SELECT event_id FROM events WHERE value > 1 AND (event_type = 'error' OR ts BETWEEN TIMESTAMP '{WINDOW[0]}' AND TIMESTAMP '{WINDOW[1]}')",
+)
+def inbox_rows(spark, sf_dir):
+    """Pushed rows: enabled, and discovered in the window or at an unknown time."""
+    rows = events(spark, sf_dir).select("event_id", F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("url"), (F.col("value") > 1).alias("enabled"), F.when(F.col("event_type") != "error", F.col("ts")).alias("discovered_at"))
+    return landed.inbox(rows, *[F.lit(w).cast("timestamp") for w in WINDOW]).select("event_id")
+
+
+@query(
+    "rotating_accounts",
+    "SELECT s_suppkey, s_name FROM (SELECT *, row_number() OVER (ORDER BY CASE WHEN s_nationkey < 5 THEN 0 WHEN s_nationkey < 12 THEN 1 ELSE 2 END, s_name) - 1 AS i, count(*) OVER () AS n FROM supplier) WHERE ((i - (738907 + 4) % n) % n + n) % n < 4",
+)
+def rotating_accounts(spark, sf_dir):
+    """Four accounts of a circular list, from a start that moves with the week and its half."""
+    level = F.when(F.col("s_nationkey") < 5, "P0").when(F.col("s_nationkey") < 12, "P1").otherwise("P2")
+    accounts = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("account_name"), level.alias("priority"))
+    return landed.rotating_subset(accounts, dt.date(2024, 1, 25), 4).select("s_suppkey", F.col("account_name").alias("s_name"))
+
+
+@query(
+    "best_search_match",
+    "SELECT c_mktsegment AS name, CAST(c_custkey AS VARCHAR) AS id FROM customer QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_nationkey DESC, CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END DESC, CAST(c_custkey % 3 AS INTEGER) DESC, CAST(c_custkey AS VARCHAR)) = 1",
+)
+def best_search_match(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("name"), F.col("c_mktsegment").alias("nickname"), F.col("c_custkey").cast("string").alias("id"), F.col("c_nationkey").alias("verify_status"), F.when(F.col("c_acctbal") > 0, "alias").alias("alias"), (F.col("c_custkey") % 3).cast("int").alias("service_type"))
+    return landed.exact_match(rows).select("name", "id")
+
+
+@query(
+    "excerpt_cut",
+    "SELECT doc_id, length(text) AS n_text, CAST(CASE WHEN source = 'src0' THEN least(length(text), 6000) ELSE least(length(text), 1800) END AS INTEGER) AS n_excerpt, sha256(CASE WHEN source = 'src0' THEN substr(text, 1, 6000) ELSE substr(text, 1, 1800) END) AS excerpt_hash FROM documents",
+)
+def excerpt_cut(spark, sf_dir):
+    kind = F.when(F.col("source") == "src0", "financial_report").otherwise("other")
+    cut = text.excerpt(kind, F.lit(""), F.col("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.length("text").cast("bigint").alias("n_text"), F.length(cut).alias("n_excerpt"), F.sha2(cut.cast("binary"), 256).alias("excerpt_hash"))
+
+
+QUESTIONS = {
+    "fixed_set": ["What changed in the watched source?"],
+    "by_source": [(("src1",), ["Which table states the figures?", "What is inferred?"]), (("src2", "src3"), ["Is it available now?"])],
+    "common": ["What is new?", "Where is it stated?"],
+    "by_route": {"route.prose": "Does it hold outside this text?", "route.noise": "Is there a text at all?"},
+}
+
+
+@query(
+    "verification_questions",
+    f"SELECT s.doc_id, CASE WHEN d.source = 'src0' THEN 'What changed in the watched source?' WHEN d.source = 'src1' THEN 'Which table states the figures?|What is inferred?' WHEN d.source IN ('src2', 'src3') THEN 'Is it available now?' ELSE 'What is new?|Where is it stated?' || CASE s.primary_route WHEN 'route.prose' THEN '|Does it hold outside this text?' WHEN 'route.noise' THEN '|Is there a text at all?' ELSE '' END END AS questions FROM ({SQL_SCORED}) s JOIN documents d ON s.doc_id = d.doc_id",
+)
+def verification_questions(spark, sf_dir):
+    asked = select.questions(F.col("publisher") == "src0", F.array("publisher"), F.col("primary_route"), **QUESTIONS)
+    return scored(spark, sf_dir).select("doc_id", F.array_join(asked, "|").alias("questions"))
+
+
+@query(
+    "processing_summary",
+    "SELECT CASE WHEN n > 1 THEN 'near_title' ELSE 'single' END AS method, count(*) AS candidates, CAST(sum(n) AS BIGINT) AS members, CAST(sum(n - 1) AS BIGINT) AS collapsed FROM (SELECT source, text, count(*) AS n FROM documents GROUP BY 1, 2) GROUP BY 1",
+)
+def processing_summary(spark, sf_dir):
+    same = table(spark, sf_dir, "documents").groupBy("source", F.sha2(F.col("text").cast("binary"), 256).alias("h")).agg(F.count("*").alias("source_count"))
+    return summaries.processing_summary(same.withColumn("method", F.when(F.col("source_count") > 1, "near_title").otherwise("single")))
