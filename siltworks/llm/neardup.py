@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm import textbytes as tb
+from siltworks.llm.keyfilter import may_be_in
 from siltworks.llm.workspace import with_checkpoints
 
 SHINGLE = 5
@@ -122,42 +123,27 @@ def _bands(frame: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
     return frame.mapInArrow(run, "k bigint, bands array<bigint>")
 
 
-def _sets(frame: DataFrame, n: int) -> DataFrame:
-    """(k, s): sorted distinct shingle hashes as packed 8-byte integers."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in tb.slices(batch.column(1)):
-                h, r = shingles(data, offsets, n)
-                sh, sr, _ = weighted(h, r)
-                cut = np.searchsorted(sr, np.arange(b - a + 1))
-                yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array([sh[cut[i] : cut[i + 1]].tobytes() for i in range(b - a)], pa.binary())], names=["k", "s"])
-
-    return frame.mapInArrow(run, "k bigint, s binary")
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
     """Pairs (a, b) whose whole shingle sets have Jaccard similarity >= threshold."""
     need = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
-    sets = _sets(texts.join(need, "k", "left_semi"), n)
-    both = pairs.join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b").join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a")
+    few = texts.filter(may_be_in(need, F.col("k")))
+    both = pairs.join(few.select(F.col("k").alias("b"), F.col("t").alias("tb")), "b").join(few.select(F.col("k").alias("a"), F.col("t").alias("ta")), "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column(2), batch.column(3)
-            keep = []
-            for i in range(batch.num_rows):
-                p, q = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
-                both = 0
-                if min(len(p), len(q)) >= threshold * max(len(p), len(q)):
-                    at = np.minimum(np.searchsorted(p, q), len(p) - 1)
-                    both = int((p[at] == q).sum())
-                if both and both >= threshold * (len(p) + len(q) - both) - 1e-9:
-                    keep.append(i)
-            keep = pa.array(keep, pa.int64())
-            yield pa.record_batch([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
-
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a bigint, b bigint")
+            for i, j, *one in tb.slices(batch.column(2), tb.SLICE_BYTES // 2):
+                m = j - i
+                x, xr, _ = weighted(*shingles(*one, n))
+                y, yr, _ = weighted(*shingles(*tb.flat(batch.column(3).slice(i, m)), n))
+                h, r = np.concatenate([x, y]), np.concatenate([xr, yr])
+                order = np.lexsort((h, r))
+                h, r = h[order], r[order]
+                both = np.bincount(r[1:][(h[1:] == h[:-1]) & (r[1:] == r[:-1])], minlength=m)
+                total = np.bincount(r, minlength=m) - both
+                keep = pa.array(np.flatnonzero((both > 0) & (both >= threshold * total - 1e-9)))
+                yield pa.record_batch([c.slice(i, m).take(keep) for c in batch.columns[:2]], names=["a", "b"])
+
+    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
 
 
 def _prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
@@ -177,7 +163,8 @@ def _prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int) -
                 take = pa.array(sr)
                 yield pa.record_batch([batch.column(0).slice(a, b - a).take(take), batch.column(2).slice(a, b - a).take(take), pa.array(size[sr]), pa.array(sh.view(np.int64))], names=["k", "c", "n", "s"])
 
-    each = texts.join(rest, "k").select("k", "t", "c").mapInArrow(run, "k bigint, c bigint, n bigint, s bigint")
+    few = texts.filter(may_be_in(rest.select("k"), F.col("k")))
+    each = few.join(rest, "k").select("k", "t", "c").mapInArrow(run, "k bigint, c bigint, n bigint, s bigint")
     held = each.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1")
     shared = each.join(held, "s")
     own = Window.partitionBy("k")
@@ -229,8 +216,9 @@ def classes(
     same = ["x1", "x2", "x3"]
     member = ids.filter("x3 is not null")
     reps = member.groupBy(*same).agg(F.min("id").alias("k"))
-    texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(reps.select("k").filter("k is not null"), "k", "left_semi")
-    banded = _bands(texts, bands, rows, shingle).checkpoint()
+    texts = docs.filter(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))
+    # Signatures are made where the texts lie; only they, not the texts, meet the representatives.
+    banded = _bands(texts, bands, rows, shingle).join(reps.select("k").filter("k is not null").distinct(), "k", "left_semi").checkpoint()
     # A text that shares many buckets is near the middle of its group, so the first of a
     # bucket is the one with most bucket mates; the hash of the key settles equals.
     long = banded.select("k", F.posexplode("bands").alias("band", "h"))
@@ -270,8 +258,9 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     Rows without an id stay.  Rows that repeat an id and its text are one document.
     """
     keys = classes(docs, id_col=id_col, text_col=text_col, **options)
-    lost = keys.filter(F.col(id_col) != F.col("class_id")).select(id_col).distinct()
-    kept = docs.join(lost, id_col, "left_anti")
+    lost = keys.filter(F.col(id_col) != F.col("class_id")).select(id_col).distinct().checkpoint()
+    doubtful = may_be_in(lost, F.col(id_col))
+    kept = docs.filter(~doubtful).union(docs.filter(doubtful).join(lost, id_col, "left_anti").select(docs.columns))
     again = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("_n")).filter("_n > 1").select(id_col)
     if again.isEmpty():
         return kept.select(docs.columns)
