@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions.ids import candidate_id
 from siltworks.functions.text import STOP_WORDS, jaccard, normalize_title, tokens
+from siltworks.operators.checkpoints import with_checkpoints
 
 THRESHOLD = 0.9
 TOKEN_FLOOR = 0.5
@@ -80,6 +81,7 @@ def similar_titles(titles: DataFrame, threshold: float = THRESHOLD, floor: float
 
 def leaders(titles: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, leader) of every title that does not lead itself."""
+    with_checkpoints(pairs.sparkSession)
     edges = pairs.checkpoint()
     open_ = edges.select("a", "b")
     members = None
@@ -97,6 +99,7 @@ def leaders(titles: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def group_titles(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``scored`` (ord, publisher, title, score and more) with ``leader``, the ord of its group's first."""
+    with_checkpoints(scored.sparkSession)
     norm = scored.select("ord", "publisher", "title", "score", normalize_title(F.coalesce("title", F.lit(""))).alias("norm"))
     place = F.struct((-F.col("score")).alias("s"), F.col("title").alias("t"), F.col("ord").alias("o"))
     # Equal titles of a publisher go behind the first of them.
