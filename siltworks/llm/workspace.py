@@ -1,19 +1,12 @@
-"""The shared folder for checkpoints and tables between steps."""
+"""Tables between steps, in the shared checkpoint folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+from siltworks.operators.checkpoints import with_checkpoints
 
-def with_checkpoints(spark: SparkSession) -> SparkSession:
-    """Sets a checkpoint folder where the session names none (local tests only)."""
-    if not spark.sparkContext.getCheckpointDir():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="siltworks-"))
-    return spark
+__all__ = ["scratch", "with_checkpoints"]
 
 
 def scratch(spark: SparkSession, name: str) -> str:
