@@ -157,7 +157,7 @@ def _prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offsets in tb.slices(batch.column(1), tb.SLICE_BYTES // 8):
+            for a, b, data, offsets in tb.slices(batch.column(1), tb.SLICE_BYTES // 4):
                 sh, sr, _ = weighted(*shingles(data, offsets, n))
                 size = np.bincount(sr, minlength=b - a)
                 take = pa.array(sr)

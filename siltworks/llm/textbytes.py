@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _b = np.arange(256)
 LOWER = np.where((_b >= 65) & (_b <= 90), _b + 32, _b).astype(np.uint8)
