@@ -5,16 +5,18 @@ sources share ``share`` times all words by weight, a target stops at ``epochs``
 times its source's size, and the excess is shared again by weight.
 
 Schedule: slot i of the mix takes the point frac((i + 1/2) x golden ratio), mapped
-through the cumulative targets to a source; slots are ranked inside their source.
-Each source's documents, shuffled by hash, lie on a line of words that is cut into
-blocks of equal words; the slot of rank r takes block r modulo the number of blocks,
-as long as r is within the allowed epochs.  A document is taken as often as the
+through the cumulative targets, counted in blocks, to a source; slots are ranked inside
+their source.  Each source's documents, shuffled by hash, lie on a line of words that is
+cut into blocks of equal words; the slot of rank r takes block r modulo the number of
+blocks, as long as r is within the allowed epochs.  A document is taken as often as the
 taken blocks cover its words.
 
 All steps are joins and aggregates on keys that spread: the running word positions
 of a source are sums over hash buckets plus sums inside a bucket, and ranks of slots
-are counts over runs of slots plus ranks inside a run.  The number of slots follows
-``SLOTS`` at every size, as the block length grows with the words.
+are counts over runs of slots plus ranks inside a run.  The block length grows with all
+words, so that large sources share about ``SLOTS`` slots at every size, but never beyond
+what leaves a source ``SOURCE_BLOCKS`` blocks: a small source beside huge ones keeps its
+target.
 
 Defined results: a null text has size 0 and is never taken; a source without words
 has target 0; repeated rows are separate documents of the line; a null source is a
@@ -37,6 +39,8 @@ SHARE = 1.5
 EPOCHS = 2
 SLOTS = 1 << 19
 MIN_BLOCK = 8
+#: Blocks of a source at least, down to blocks of MIN_BLOCK words; of still smaller ones, LEAST_BLOCKS down to single words.
+SOURCE_BLOCKS, LEAST_BLOCKS = 1024, 256
 RUN = 1 << 15
 GOLDEN = 0.6180339887498949
 #: Refused beyond this; the plan of so many sources is what is broadcast.
@@ -69,10 +73,16 @@ def targets(sizes: DataFrame, *, weights=WEIGHTS, share: float = SHARE, epochs:
     return per.select("source", "nth", "source_size", F.coalesce(F.least(F.col("cap"), F.when(F.col("common").isNotNull(), F.col("common") * F.col("weight"))), F.col("cap")).alias("target"))
 
 
-def schedule(spark, plan: list, block: int) -> DataFrame:
-    """(id, nth, rank) for each slot of the mix; ``plan`` has rows with nth and target."""
+def block_lengths(plan: DataFrame, words: int) -> DataFrame:
+    """``plan`` with each source's block length, given the words of all sources."""
+    own = F.greatest(F.expr(f"source_size div {SOURCE_BLOCKS}"), F.least(F.lit(MIN_BLOCK), F.greatest(F.lit(1), F.expr(f"source_size div {LEAST_BLOCKS}"))))
+    return plan.withColumn("length", F.least(F.lit(max(MIN_BLOCK, words // SLOTS)), own).cast("bigint"))
+
+
+def schedule(spark, plan: list) -> DataFrame:
+    """(id, nth, rank) for each slot of the mix; ``plan`` has rows with nth, target and block length."""
     wanted = [r for r in plan if r.target > 0]
-    edges = np.cumsum([r.target for r in wanted])
+    edges = np.cumsum([r.target / r.length for r in wanted])
     nth = np.array([r.nth for r in wanted], np.int64)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +91,7 @@ def schedule(spark, plan: list, block: int) -> DataFrame:
             at = np.searchsorted(edges, (x - np.floor(x)) * edges[-1], side="right")
             yield pa.record_batch([batch.column(0), pa.array(nth[np.minimum(at, len(nth) - 1)])], names=["id", "nth"])
 
-    slots = spark.range(int(round(edges[-1] / block)) if wanted else 0).mapInArrow(place, "id bigint, nth bigint").withColumn("run", F.floor(F.col("id") / RUN))
+    slots = spark.range(int(round(edges[-1])) if wanted else 0).mapInArrow(place, "id bigint, nth bigint").withColumn("run", F.floor(F.col("id") / RUN))
     per = slots.groupBy("nth", "run").agg(F.count("*").alias("n"))
     base = per.select("nth", "run", (F.sum("n").over(Window.partitionBy("nth").orderBy("run")) - F.col("n")).alias("base"))
     local = slots.withColumn("r", F.row_number().over(Window.partitionBy("nth", "run").orderBy("id")) - 1)
@@ -95,10 +105,10 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     plan = targets(sizes, weights=weights, share=share, epochs=epochs).checkpoint()
     if plan.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows = plan.select("nth", "source_size", "target").orderBy("nth").collect()
-    block = max(MIN_BLOCK, sum(r.source_size for r in rows) // SLOTS)
-    # The plan has at most MAX_SOURCES rows of four short values.
-    line = sizes.join(F.broadcast(plan.withColumnRenamed("source", "s")), F.expr("source <=> s")).select("doc_id", "size", "nth", "source_size", "target")
+    plan = block_lengths(plan, plan.agg(F.sum("source_size")).first()[0] or 0)
+    rows = plan.select("nth", "target", "length").orderBy("nth").collect()
+    # The plan has at most MAX_SOURCES rows of five short values.
+    line = sizes.join(F.broadcast(plan.withColumnRenamed("source", "s")), F.expr("source <=> s")).select("doc_id", "size", "nth", "source_size", "target", "length")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     line = line.withColumn("o", F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")).withColumn("bucket", F.expr(f"o div {(1 << 60) // BUCKETS}"))
     per = line.groupBy("nth", "bucket").agg(F.sum("size").alias("n"))
@@ -106,12 +116,12 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     inside = Window.partitionBy("nth", "bucket").orderBy("o", "doc_id", "size")
     line = line.withColumn("upto", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("place", F.row_number().over(inside))
     line = line.join(base, ["nth", "bucket"]).withColumn("start", F.col("base") + F.col("upto") - F.col("size")).drop("base", "upto", "o")
-    blocks = F.expr(f"(source_size + {block - 1}) div {block}")
-    slots = schedule(spark, rows, block).join(F.broadcast(plan.select("nth", "source_size")), "nth").filter(F.col("rank") < epochs * blocks)
+    blocks = F.expr("(source_size + length - 1) div length")
+    slots = schedule(spark, rows).join(F.broadcast(plan.select("nth", "source_size", "length")), "nth").filter(F.col("rank") < epochs * blocks)
     times = slots.groupBy("nth", (F.col("rank") % blocks).alias("block")).agg(F.count("*").alias("times"))
-    cut = F.when(F.col("size") > 0, F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")))
+    cut = F.when(F.col("size") > 0, F.sequence(F.expr("start div length"), F.expr("(start + size - 1) div length")))
     spread = line.withColumn("block", F.explode_outer(cut)).join(times, ["nth", "block"], "left")
-    cover = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
+    cover = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * F.col("length")) - F.greatest(F.col("start"), F.col("block") * F.col("length"))
     whole = ["doc_id", "nth", "bucket", "place", "size", "source_size", "target"]
     return spread.groupBy(*whole).agg(F.coalesce(F.sum(cover * F.coalesce("times", F.lit(0))), F.lit(0)).cast("bigint").alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
 

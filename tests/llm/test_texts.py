@@ -287,6 +287,16 @@ def test_mixing_targets_and_takes(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_mixing_small_sources_beside_a_huge_one(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 1 << 10)
+    rows = [(i, "w " * 5000, "huge") for i in range(40)] + [(100 + i, "w " * 30, f"s{i % 20:02d}") for i in range(200)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    source = {k: s for k, _, s in rows}
+    for name in set(source.values()):
+        own = [r for r in got if source[r.doc_id] == name]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 0.02 * own[0].target
+
+
 def test_slices_never_divide_a_row():
     texts = ["x" * n for n in (0, 5, 100, 3, 0, 50)]
     got = [(a, b) for a, b, _, _ in tb.slices(pa.array(texts), 60)]
