@@ -7,6 +7,10 @@ register's time cannot matter, so only arrivals up to a bound are made, and the
 bound is raised for the few texts where it was too small: the signature is exact.
 Two signatures agree in a register with the probability Jaccard similarity.
 
+Links are judged on sets, so a text that repeats shingles also gets the bands of its set
+(all weights 1) in the same buckets; a text without repeats has the same ones already.
+Pairs that differ in how often their lines repeat therefore meet as surely as others.
+
 Bands of equal registers give candidates.  Nothing enumerates a bucket's pairs:
 
 1. each text meets the first text of the buckets it is in, those with most bucket mates first;
@@ -105,20 +109,42 @@ def probminhash(h: np.ndarray, rows: np.ndarray, weight: np.ndarray, n_rows: int
     return signature
 
 
+def _band_keys(sh: np.ndarray, sr: np.ndarray, w: np.ndarray, n_rows: int, bands: int, rows: int) -> np.ndarray:
+    """One key for each row and band."""
+    sig = probminhash(sh, sr, w, n_rows, bands * rows).reshape(n_rows, bands, rows)
+    key = np.zeros((n_rows, bands), np.uint64)
+    for j in range(rows):
+        key = tb.mix64(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, j])
+    return key.view(np.int64)
+
+
 def _bands(frame: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
-    """(k, bands array<long>) for each text with words."""
+    """(k, bands array<long>) for each text with words.
+
+    The band of a place is the place modulo ``bands``: those of the weighted set are
+    followed, where the text repeats shingles, by those of the plain set that differ,
+    null where they do not.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in tb.slices(batch.column(1)):
                 h, r = shingles(data, offsets, n)
                 sh, sr, w = weighted(h, r)
-                sig = probminhash(sh, sr, w, b - a, bands * rows).reshape(b - a, bands, rows)
-                key = np.zeros((b - a, bands), np.uint64)
-                for j in range(rows):
-                    key = tb.mix64(key * np.uint64(0x9E3779B97F4A7C15) + sig[:, :, j])
+                key = np.zeros((b - a, 2 * bands), np.int64)
+                key[:, :bands] = _band_keys(sh, sr, w, b - a, bands, rows)
+                again = np.bincount(sr, w > 1, minlength=b - a) > 0
+                own = again[sr]
+                key[again, bands:] = _band_keys(sh[own], (np.cumsum(again) - 1)[sr[own]], np.ones(int(own.sum())), int(again.sum()), bands, rows)
                 has = np.flatnonzero(np.bincount(sr, minlength=b - a) > 0)
-                yield pa.record_batch([batch.column(0).slice(a, b - a).take(pa.array(has)), pa.FixedSizeListArray.from_arrays(pa.array(key[has].view(np.int64).reshape(-1)), bands).cast(pa.list_(pa.int64()))], names=["k", "bands"])
+                key, again = key[has], again[has]
+                same = np.zeros(key.shape, bool)
+                same[:, bands:] = key[:, bands:] == key[:, :bands]
+                listed = np.ones(key.shape, bool)
+                listed[:, bands:] = again[:, None]
+                offsets = np.concatenate([[0], np.cumsum(listed.sum(axis=1))]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[listed], mask=same[listed]))
+                yield pa.record_batch([batch.column(0).slice(a, b - a).take(pa.array(has)), lists], names=["k", "bands"])
 
     return frame.mapInArrow(run, "k bigint, bands array<bigint>")
 
@@ -221,7 +247,7 @@ def classes(
     banded = _bands(texts, bands, rows, shingle).join(reps.select("k").filter("k is not null").distinct(), "k", "left_semi").checkpoint()
     # A text that shares many buckets is near the middle of its group, so the first of a
     # bucket is the one with most bucket mates; the hash of the key settles equals.
-    long = banded.select("k", F.posexplode("bands").alias("band", "h"))
+    long = banded.select("k", F.posexplode("bands").alias("band", "h")).filter("h is not null").withColumn("band", F.col("band") % bands)
     shared = long.groupBy("band", "h").agg(F.count("*").alias("n")).filter("n > 1")
     mates = long.join(shared, ["band", "h"]).groupBy("k").agg(F.sum("n").alias("mates"), F.collect_list(F.struct("band", "h")).alias("in"))
     placed = mates.select("k", F.struct((-F.col("mates")).alias("m"), F.xxhash64("k").alias("x")).alias("o"), F.inline("in")).checkpoint()

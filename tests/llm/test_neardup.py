@@ -62,6 +62,24 @@ def test_classes_against_all_pairs(spark, seed):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_copies_that_repeat_a_line_are_found(spark):
+    rng = random.Random(5)
+    docs = []
+    for times in (20, 100, 1000) * 10:
+        # Set similarity 0.96 and 0.805.
+        for changed in ((), (3, 50)):
+            base = [f"w{rng.randrange(10**6)}" for _ in range(104)]
+            copy = base[:-20] + base[-20:] * times
+            for i in changed:
+                copy[i] = "new"
+            docs += [" ".join(base), " ".join(copy)]
+    docs = list(enumerate(docs))
+    want = brute(docs)
+    assert len(set(want.values())) == len(docs) // 2
+    got = N.classes(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r.doc_id: r.class_id for r in got.collect()} == want
+
+
 def test_prefix_filter_leaves_out_no_pair(spark):
     docs = [(k, t) for k, t in corpus(7, groups=6) if t and words(t)]
     texts = spark.createDataFrame(docs, "k long, t string")
