@@ -5,7 +5,8 @@ format by a keyed Feistel permutation, so equal values get equal pseudonyms in e
 document and different values of a kind stay different:
 
 * card numbers (13 to 19 digits, Luhn): all digits but the last are permuted, the
-  check digit is made anew; separators stay;
+  check digit is made anew; separators stay; they are found among the groups of a
+  longer run of digits too, as before an expiry date or behind a reference;
 * IBANs (mod 97): the digits of the account part are permuted, the check digits are
   made anew; country and letters stay;
 * telephone numbers: North American numbers stay in the numbering plan, others keep
@@ -21,7 +22,8 @@ addresses and secrets (access keys, passwords, tokens) have no format worth keep
 and become keyed tags.  Candidates that fail validation stay as they are.
 
 Defined results: null stays null, empty stays empty; every other column passes
-through; text without a digit, ``@`` or ``=`` is not scanned further.
+through; the noncharacters U+FDD0 and U+FDD1 are lost where they enclose a card number;
+text without a digit, ``@`` or ``=`` is not scanned further.
 """
 
 from __future__ import annotations
@@ -40,9 +42,15 @@ DATE = r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4
 IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 NANP = r"(?<![\d+])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\d)"
-CARD = r"(?<![\d+])\d(?:[ -]?\d){12,18}(?![\d])"
+CARD = r"\d(?:[ -]?\d){12,18}"
+#: Digit groups that may hold cards; no repeated group, so that a long run needs no deep stack.
+RUN = r"(?<![\d+])\d[\d -]{11,}\d"
+USUAL_CARD = r"\d{13,19}|\d{4}([ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5}"
+OPEN, CLOSE = "\ufdd0", "\ufdd1"
+MARKED = rf"{OPEN}\d[\d -]++{CLOSE}"
 PHONE = r"\+\d(?:[ .()-]{0,2}\d){7,14}(?!\d)"
-PATTERN = "|".join([EMAIL, ACCESS_KEY, SECRET, IBAN, DATE, IP, SSN, NANP, CARD, PHONE])
+PATTERN = "|".join([MARKED, EMAIL, ACCESS_KEY, SECRET, IBAN, DATE, IP, SSN, NANP, PHONE])
+RUNS = "|".join([EMAIL, ACCESS_KEY, SECRET, IBAN, DATE, IP, SSN, NANP, RUN, PHONE])
 KINDS = ("email", "secret", "iban", "date", "ip", "ssn", "card", "phone")
 
 
@@ -113,10 +121,58 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _luhn_ok(d: Column) -> Column:
+    return _let(F.substr(d, F.lit(1), F.length(d) - 1), luhn) == F.right(d, F.lit(1))
+
+
+def _cards_marked(m: Column) -> Column:
+    """A run of digit groups with its card numbers enclosed.
+
+    From left to right, a group starts its valid card of usual form or else its longest;
+    one of unusual form gives way to a usual one that starts inside it.
+    """
+
+    def of(g: Column) -> Column:
+        def best(i: Column) -> Column:
+            """(n, odd): the card that starts at group i, counted from 0, has n groups; n is 0 without one."""
+            text = lambda n: F.ltrim(F.translate(F.array_join(F.slice(g, i + 1, n), ""), "-", " "))
+            each = F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(g) - i)), lambda n: F.struct(n.alias("n"), text(n).alias("t")))
+            cards = F.filter(each, lambda w: w["t"].rlike(f"^(?:{CARD})$") & _let(_only_digits(w["t"]), _luhn_ok))
+            ordered = F.array_sort(F.transform(cards, lambda w: F.struct((~w["t"].rlike(f"^(?:{USUAL_CARD})$")).alias("odd"), (-w["n"]).alias("n"))))
+            return _let(F.get(ordered, F.lit(0)), lambda w: F.struct(F.coalesce(-w["n"], F.lit(0)).alias("n"), F.coalesce(w["odd"], F.lit(True)).alias("odd")))
+
+        def taken(c: Column) -> Column:
+            """[first, last, first, last ...] of the cards taken."""
+
+            def step(kept: Column, i: Column) -> Column:
+                n, odd = c[i]["n"], c[i]["odd"]
+                free = (n > 0) & (F.coalesce(F.element_at(kept, -1), F.lit(-1)) < i)
+                gives_way = odd & F.exists(F.slice(c, i + 2, F.greatest(n - 1, F.lit(0))), lambda w: ~w["odd"])
+                return F.when(free & ~gives_way, F.concat(kept, F.array(i, i + n - 1))).otherwise(kept)
+
+            start = F.array(F.lit(-1), F.lit(-1))
+            return F.aggregate(F.sequence(F.lit(0), F.size(g) - 1), start, step)
+
+        def joined(kept: Column) -> Column:
+            ends = lambda k: F.filter(kept, lambda _, i: i % 2 == k)
+            mark = lambda of, i, sign: F.when(F.array_contains(of, i), sign).otherwise("")
+            put = lambda e: F.array_join(F.transform(g, lambda x, i: F.concat(F.regexp_extract(x, r"^\D*", 0), mark(e["a"], i, OPEN), _only_digits(x), mark(e["b"], i, CLOSE))), "")
+            return _let(F.struct(ends(0).alias("a"), ends(1).alias("b")), put)
+
+        return _let(_let(F.transform(F.sequence(F.lit(0), F.size(g) - 1), best), taken), joined)
+
+    return F.when(m.rlike(f"^{RUN}$"), _let(F.regexp_extract_all(m, F.lit(r"[ -]*\d+"), F.lit(0)), of)).otherwise(m)
+
+
+def _between(text: Column, pattern: str, values: Column) -> Column:
+    """``text`` with the matches of ``pattern`` replaced, in order, by ``values``."""
+    return F.array_join(F.transform(F.arrays_zip(F.split(text, pattern, -1).alias("p"), values.alias("v")), lambda s: F.concat(s["p"], F.coalesce(s["v"], F.lit("")))), "")
+
+
 def _card(m: Column, key: Column) -> Column:
     def of(d: Column) -> Column:
         head = F.substr(d, F.lit(1), F.length(d) - 1)
-        return F.when(luhn(head) == F.right(d, F.lit(1)), _let(digits_permuted(head, "card", key), lambda h: refilled(m, F.concat(h, luhn(h)))))
+        return F.when(_luhn_ok(d), _let(digits_permuted(head, "card", key), lambda h: refilled(m, F.concat(h, luhn(h)))))
 
     return F.when((F.length(_only_digits(m)).between(13, 19)) & m.rlike(r"^\d[\d -]+$"), _let(_only_digits(m), of))
 
@@ -217,11 +273,12 @@ def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY, cou
     work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text, secret = F.col(f"row.`{text_col}`"), F.lit(key)
     scan = text.rlike(r"[0-9@=]")
-    work = work.withColumn("found", F.when(scan, F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))))
-    work = work.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(m, secret))))
-    pieces = F.split(text, PATTERN, -1)
-    whole = F.array_join(F.transform(F.arrays_zip(pieces.alias("p"), F.col("new.value").alias("v")), lambda s: F.concat(s["p"], F.coalesce(s["v"], F.lit("")))), "")
-    work = work.withColumn("text", F.when(F.size("new") > 0, whole).otherwise(text))
+    runs = F.regexp_extract_all(text, F.lit(RUNS), F.lit(0))
+    work = work.withColumn("marked", F.when(text.rlike(RUN), _between(text, RUNS, F.transform(runs, _cards_marked))).otherwise(text))
+    work = work.withColumn("found", F.when(scan, F.regexp_extract_all("marked", F.lit(PATTERN), F.lit(0))))
+    bare = lambda m: F.translate(m, OPEN + CLOSE, "")
+    work = work.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(bare(m), secret))))
+    work = work.withColumn("text", F.when(F.size("new") > 0, _between(F.col("marked"), PATTERN, F.col("new.value"))).otherwise(text))
     extra = []
     if counts:
         number = lambda test: F.when(F.col("new").isNull(), 0).otherwise(F.size(F.filter("new.kind", test))).cast("bigint")

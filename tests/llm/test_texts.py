@@ -209,6 +209,15 @@ def test_what_is_masked_and_what_stays(spark):
     assert "joe@" not in masked(spark, long)[0]
 
 
+def test_cards_among_other_digits(spark):
+    card = "4111 1111 1111 1111"
+    forms = ["{} 12/27", "{} 123", "ref 12 {}", "12 {} 123 12/27", "{}, {}", "{} {}", "{}  7", "5 4-{}"]
+    solid, phone, long = "4111111111111111 123", "555-523-4567", "7" * 20_000
+    new, phoned, *got = masked(spark, card, phone, *[f.replace("{}", card) for f in forms], f"{card} {phone}", solid, long)
+    assert luhn_ok(new.replace(" ", "")) and new != card
+    assert got == [f.replace("{}", new) for f in forms] + [f"{new} {phoned}", new.replace(" ", "") + " 123", long]
+
+
 def test_pii_counts(spark):
     df = spark.createDataFrame([(1, "a@b.co 42.144.35.254 x"), (2, None), (3, "none 1")], "doc_id long, text string")
     r = {x.doc_id: x for x in pii.pseudonymise(df, counts=True).collect()}
