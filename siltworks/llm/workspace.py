@@ -1,14 +1,55 @@
 """Tables between steps, in the shared checkpoint folder."""
 
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from siltworks.operators.checkpoints import with_checkpoints
 
-__all__ = ["scratch", "with_checkpoints"]
+__all__ = ["Tables", "scratch", "with_checkpoints"]
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
     return f"{with_checkpoints(spark).sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Within it, Spark deletes a query's shuffle files as soon as the query has ended."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
+class Tables:
+    """Compressed Parquet tables of one job: they cut lineage, outlive executors and can be dropped early."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.path = scratch(spark, name)
+        self.names: set[str] = set()
+
+    def keep(self, frame: DataFrame, name: str) -> DataFrame:
+        with shuffles_freed(self.spark):
+            frame.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
+        self.names.add(name)
+        return self.spark.read.schema(frame.schema).parquet(f"{self.path}/{name}")
+
+    def drop_others(self, *names: str) -> None:
+        self.drop(*self.names.difference(names))
+
+    def drop(self, *names: str) -> None:
+        for name in self.names.intersection(names):
+            self.names.discard(name)
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

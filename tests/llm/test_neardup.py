@@ -7,6 +7,7 @@ from test_decontaminate import words
 
 from siltworks.llm import neardup as N
 from siltworks.llm import textbytes as tb
+from siltworks.llm.workspace import Tables
 
 
 def shingle_set(t):
@@ -108,8 +109,13 @@ def test_signatures_estimate_weighted_similarity():
 
 def test_long_chain_of_links(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
-    got = {r.k: r.c for r in N.components(edges).collect()}
+    got = {r.k: r.c for r in N.components(edges, Tables(spark, "chain"), "c").collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100}
+    parents = edges.filter("a < 50").selectExpr("b as k", "a as p")
+    tables = Tables(spark, "forest")
+    assert {r.k: r.c for r in N.forest_roots(parents, tables).collect()} == {i: 0 for i in range(1, 41)}
+    assert len(tables.names) == 1
+    assert N.components(edges.filter("a > 1000"), Tables(spark, "none"), "c").isEmpty()
 
 
 def test_repeated_rows_null_ids_and_empty_tables(spark):
@@ -118,6 +124,38 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert sorted((r.doc_id or 0) for r in N.drop_near_duplicates(df).collect()) == [0, 0, 1]
     assert N.classes(df).count() == 5
     assert N.classes(spark.createDataFrame([], kind)).count() == 0
+    assert N.drop_near_duplicates(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_an_id_with_several_texts_has_a_class_for_each(spark):
+    copy, own = "one two three four five six seven", "alpha beta gamma delta epsilon zeta eta"
+    df = spark.createDataFrame([(1, copy), (2, copy), (2, own), (2, own), (3, own + " x"), (4, "")], "doc_id long, text string")
+    got = {(r.doc_id, r.text) for r in N.drop_near_duplicates(df).collect()}
+    assert got == {(1, copy), (2, own), (3, own + " x"), (4, "")}
+    assert sorted((r.doc_id, r.class_id, r.class_size) for r in N.classes(df).collect()) == [(1, 1, 2), (2, 1, 2), (2, 2, 2), (2, 2, 2), (3, 3, 1), (4, 4, 1)]
+
+
+def test_text_ids_and_clashing_columns(spark):
+    t = "a b c d e f g h"
+    df = spark.createDataFrame([("x", t, 1, 2, 3), ("w", t, 4, 5, 6), (None, t, 7, 8, 9)], "k string, t string, x1 int, id int, row int")
+    assert sorted((r.k or "", r.class_id, r.class_size) for r in N.classes(df, id_col="k", text_col="t").collect()) == [("", "w", 2), ("w", "w", 2), ("x", "w", 2)]
+    kept = N.drop_near_duplicates(df, id_col="k", text_col="t")
+    assert kept.columns == df.columns and {r.x1 for r in kept.collect()} == {4, 7}
+
+
+def test_links_are_counted(spark):
+    base = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join(base[:-1] + [f"end{i}"])) for i in range(6)] + [(9, "quite another text of seven words")]
+    got = {r.doc_id: (r.class_id, r.class_size, r.n_links) for r in N.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got[9] == (9, 1, 0) and all(got[i][:2] == (0, 6) and got[i][2] >= 5 for i in range(6))
+
+
+def test_a_very_long_text_meets_its_copy(spark):
+    rng = random.Random(3)
+    long = [f"w{rng.randrange(10**5)}" for _ in range(300_000)]
+    docs = [(1, " ".join(long)), (2, " ".join(long[:-500])), (3, "short text of a few words here")]
+    got = {r.doc_id: r.class_id for r in N.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
 
 
 def test_short_texts_are_one_shingle():
