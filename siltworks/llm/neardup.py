@@ -49,6 +49,8 @@ from siltworks.llm.workspace import Tables
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 25, 5
+#: Texts whose arrivals are made at once; each has about registers x (ln(registers) + 3) of them.
+SIGNED_AT_ONCE = 256
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 
 
@@ -134,7 +136,7 @@ def _band_lists(frame: DataFrame, bands: int, rows: int, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offsets in tb.slices(batch.column(3)):
+            for a, b, data, offsets in tb.slices(batch.column(3), rows=SIGNED_AT_ONCE):
                 sh, sr, w = weighted(*shingles(data, offsets, n))
                 key = np.zeros((b - a, 2 * bands), np.uint64)
                 key[:, :bands] = _band_keys(sh, sr, w, b - a, bands, rows) ^ place

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _b = np.arange(256)
 LOWER = np.where((_b >= 65) & (_b <= 90), _b + 32, _b).astype(np.uint8)
@@ -43,12 +43,12 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) over runs of rows of about ``limit`` bytes."""
+def slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) over runs of at most ``rows`` rows of about ``limit`` bytes."""
     data, offsets = flat(column)
     a, n = 0, len(column)
     while a < n:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, side="right")) - 1)
+        b = min(max(a + 1, int(np.searchsorted(offsets, offsets[a] + limit, side="right")) - 1), a + rows)
         yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
         a = b
 

@@ -9,7 +9,8 @@ from siltworks.operators.checkpoints import with_checkpoints
 
 __all__ = ["Tables", "scratch", "with_checkpoints"]
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Within ``Tables.keep`` shuffle files go as soon as a query has ended, and Python gets small batches.
+SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -18,17 +19,18 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def shuffles_freed(spark: SparkSession):
-    """Within it, Spark deletes a query's shuffle files as soon as the query has ended."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+def with_settings(spark: SparkSession):
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 class Tables:
@@ -40,7 +42,7 @@ class Tables:
         self.names: set[str] = set()
 
     def keep(self, frame: DataFrame, name: str) -> DataFrame:
-        with shuffles_freed(self.spark):
+        with with_settings(self.spark):
             frame.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
         self.names.add(name)
         return self.spark.read.schema(frame.schema).parquet(f"{self.path}/{name}")
