@@ -1,10 +1,10 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
-The benchmark is a named, small table.  It is cut into blocks of at most
-``BLOCK_WORDS`` words; one automaton per block is built from the broadcast words,
-so what is broadcast at once has a proven bound and a larger benchmark only takes
-more passes inside the task.  Training text streams through the automaton and
-keeps the longest matching length at each word.
+The benchmark's items are dealt by hash into blocks of about ``BLOCK_WORDS`` words.
+One block at a time reaches the driver and is broadcast, a task builds its automaton
+once, and training text streams through it and keeps the longest matching length at
+each word.  A benchmark of one block takes one pass; a larger one takes a pass for
+each block, and every pass adds to what the one before it found and is written.
 
 Defined results: a null or word-less text has no words and no hits; an item
 without words is ignored; repeated items each count under their own id; items
@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm import textbytes as tb
+from siltworks.llm.workspace import Tables
 
 WINDOW = 13
-BLOCK_WORDS = 1_000_000
-MAX_BENCHMARK_BYTES = 512 << 20
+BLOCK_WORDS = 400_000
 
 
 class Automaton:
@@ -129,17 +129,9 @@ class Automaton:
         return found, seen, most
 
 
-def _blocks(rows: list[tuple], limit: int) -> list[list[tuple[str | None, np.ndarray]]]:
-    blocks, size = [[]], 0
-    for (item, _), hashed in zip(rows, tb.word_hashes([t for _, t in rows])):
-        if not len(hashed):
-            continue
-        if size and size + len(hashed) > limit:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((None if item is None else str(item), hashed))
-        size += len(hashed)
-    return blocks
+def _items(rows: list[tuple]) -> list[tuple[str | None, np.ndarray]]:
+    """The items of one block that have words."""
+    return [(item, hashed) for (item, _), hashed in zip(rows, tb.word_hashes([t for _, t in rows])) if len(hashed)]
 
 
 def _merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -152,44 +144,33 @@ def _merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def match(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_col: str = "item_id",
-    item_text_col: str = "text",
-    window: int = WINDOW,
-    max_benchmark_bytes: int = MAX_BENCHMARK_BYTES,
-) -> DataFrame:
-    """One row per document: id, n_words, n_hit, longest, spans, items, spans_bytes.
+SPANS = "array<struct<start:bigint,end:bigint>>"
 
-    ``spans`` are merged hit word ranges [start, end), ``spans_bytes`` the same as
-    byte ranges of the UTF-8 text, ``longest`` the longest matched length in words.
-    """
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length(item_text_col)), F.lit(0))).first()[0]
-    if size > max_benchmark_bytes:
-        raise ValueError(f"benchmark of {size} bytes exceeds max_benchmark_bytes={max_benchmark_bytes}")
-    rows = [tuple(r) for r in benchmark.select(F.col(item_col).cast("string"), item_text_col).distinct().collect()]
-    frame, text_of = tb.text_input(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(_blocks(sorted(rows, key=str), BLOCK_WORDS))
+
+def _pass(frame: DataFrame, text_of, items: list, window: int) -> DataFrame:
+    """``frame`` with what one block's items add to its last four columns (longest, spans, spans_bytes, items)."""
+    shared = frame.sparkSession.sparkContext.broadcast(items)
+    names = frame.columns
+    plain = ["n_words", "longest", "spans", "spans_bytes", "items"]
+    keep = [c for c in names if c not in plain]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = shared.value
-        machines = [Automaton(b, window) for b in blocks] if sum(len(h) for b in blocks for _, h in b) <= BLOCK_WORDS else None
+        block = shared.value
+        auto = Automaton(block, window) if block else None
+        pairs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in batches:
             for a, b, data, offsets in tb.slices(text_of(batch)):
                 starts, ends, bounds = tb.words(data, offsets)
-                hashed = tb.hashes(data, starts, ends)
                 n_rows = b - a
-                found: list[list] = [[] for _ in range(n_rows)]
-                items: list[set] = [set() for _ in range(n_rows)]
+                spans: list[list] = [[] for _ in range(n_rows)]
+                seen_items: list[set] = [set() for _ in range(n_rows)]
                 longest = [0] * n_rows
-                for k, block in enumerate(blocks):
-                    if not block:
-                        continue
-                    auto = machines[k] if machines else Automaton(block, window)
+                if "longest" in names:
+                    longest = batch.column("longest").slice(a, n_rows).to_pylist()
+                    spans = [[(s["start"], s["end"]) for s in x] for x in batch.column("spans").slice(a, n_rows).to_pylist()]
+                    seen_items = [set(x) for x in batch.column("items").slice(a, n_rows).to_pylist()]
+                if auto:
+                    hashed = tb.hashes(data, starts, ends)
                     at = np.minimum(np.searchsorted(auto.vocab, hashed), len(auto.vocab) - 1)
                     known = auto.vocab[at] == hashed
                     # A word outside the vocabulary resets the automaton, so runs of known words stand alone.
@@ -197,34 +178,54 @@ def match(
                     long = (r1 - r0) >= auto.shortest
                     row = np.searchsorted(bounds, r0, side="right") - 1
                     for s, e, i in zip(r0[long].tolist(), r1[long].tolist(), row[long].tolist()):
-                        f, seen, most = auto.stream(at[s:e].tolist())
+                        found, seen, most = auto.stream(at[s:e].tolist())
                         longest[i] = max(longest[i], most)
-                        if f:
+                        if found:
                             base = s - int(bounds[i])
-                            found[i] += [(x + base, y + base) for x, y in f]
-                            items[i] |= {block[j][0] for j in seen}
-                spans = [_merged(f) if f else [] for f in found]
+                            spans[i] += [(x + base, y + base) for x, y in found]
+                            seen_items[i] |= {block[j][0] for j in seen}
+                spans = [_merged(x) if x else [] for x in spans]
                 text_start = offsets[:-1]
-                spans_b = [[(int(starts[bounds[i] + x] - text_start[i]), int(ends[bounds[i] + y - 1] - text_start[i])) for x, y in s] for i, s in enumerate(spans)]
-                yield pa.record_batch(
-                    [
-                        batch.column(0).slice(a, n_rows),
-                        pa.array(np.diff(bounds).astype(np.int64)),
-                        pa.array([sum(y - x for x, y in s) for s in spans], pa.int64()),
-                        pa.array(longest, pa.int64()),
-                        pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                        pa.array([[{"start": x, "end": y} for x, y in s] for s in spans_b], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                        pa.array([sorted(x for x in s if x is not None) for s in items], pa.list_(pa.string())),
-                        pa.array([sum(x is not None for x in s) for s in items], pa.int64()),
-                    ],
-                    names=["_id", "n_words", "n_hit", "longest", "spans", "spans_bytes", "items", "n_items"],
-                )
-
-    out = frame.mapInArrow(
-        run,
-        f"_id {frame.schema['_id'].dataType.simpleString()}, n_words bigint, n_hit bigint, longest bigint, spans array<struct<start:bigint,end:bigint>>, "
-        "spans_bytes array<struct<start:bigint,end:bigint>>, items array<string>, n_items bigint",
-    )
+                as_bytes = [[(int(starts[bounds[i] + x] - text_start[i]), int(ends[bounds[i] + y - 1] - text_start[i])) for x, y in s] for i, s in enumerate(spans)]
+                lists = [pa.array([[{"start": x, "end": y} for x, y in s] for s in each], pairs) for each in (spans, as_bytes)]
+                listed = pa.array([sorted(x for x in s if x is not None) for s in seen_items], pa.list_(pa.string()))
+                own = [batch.column(c).slice(a, n_rows) for c in keep]
+                yield pa.record_batch([*own, pa.array(np.diff(bounds).astype(np.int64)), pa.array(longest, pa.int64()), *lists, listed], names=[*keep, *plain])
+
+    kinds = ", ".join(f"`{c}` {frame.schema[c].dataType.simpleString()}" for c in keep)
+    return frame.mapInArrow(run, f"{kinds}, n_words bigint, longest bigint, spans {SPANS}, spans_bytes {SPANS}, items array<string>")
+
+
+def match(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    window: int = WINDOW,
+    block_words: int | None = None,
+) -> DataFrame:
+    """One row per document: id, n_words, n_hit, longest, spans, items, spans_bytes.
+
+    ``spans`` are merged hit word ranges [start, end), ``spans_bytes`` the same as
+    byte ranges of the UTF-8 text, ``longest`` the longest matched length in words.
+    """
+    item = F.col(item_col).cast("string")
+    words = benchmark.agg(F.coalesce(F.sum(F.regexp_count(F.coalesce(item_text_col, F.lit("")), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))), F.lit(0))).first()[0]
+    blocks = max(1, -(-words // (block_words or BLOCK_WORDS)))
+    frame, text_of = tb.text_input(docs, id_col, text_col)
+    tables = Tables(docs.sparkSession, "decontaminate") if blocks > 1 else None
+    for k in range(blocks):
+        part = benchmark if blocks == 1 else benchmark.filter(F.pmod(F.xxhash64(item, item_text_col), F.lit(blocks)) == k)
+        rows = [tuple(r) for r in part.select(item, item_text_col).distinct().collect()]
+        frame = _pass(frame, text_of, _items(sorted(rows, key=str)), window)
+        if k + 1 < blocks:
+            frame = tables.keep(frame, f"pass-{k}")
+            tables.drop(f"pass-{k - 1}")
+    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda acc, s: acc + s["end"] - s["start"])
+    out = frame.select(F.col("_id"), "n_words", hit.alias("n_hit"), "longest", "spans", "spans_bytes", "items", F.size("items").cast("bigint").alias("n_items"))
     return out.withColumnRenamed("_id", id_col)
 
 
@@ -233,16 +234,13 @@ def contaminated():
     return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
 
 
-def excise(batch_text: str | None, spans: list) -> str | None:
-    """The text without the given byte spans."""
-    if batch_text is None or not spans:
-        return batch_text
-    raw = batch_text.encode()
-    keep, at = [], 0
-    for s in spans:
-        keep.append(raw[at : s["start"]])
-        at = s["end"]
-    return b"".join([*keep, raw[at:]]).decode()
+def without_spans(text, spans):
+    """The text without the given byte spans, which lie in order and apart, as a column."""
+    raw = F.encode(text, "UTF-8")
+    begins = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(spans, lambda s: s["end"]))
+    ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.octet_length(text).cast("bigint")))
+    pieces = F.zip_with(begins, ends, lambda a, b: F.decode(F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")), "UTF-8"))
+    return F.array_join(pieces, "")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", max_span: int | None = None, **options) -> DataFrame:
@@ -254,9 +252,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     """
     kept = match(tb.as_rows(docs), benchmark, id_col="row", text_col=f"row.{text_col}", **options).filter(~contaminated())
     if max_span is not None:
-        cut = F.udf(lambda text, spans: excise(text, spans), "string")
         long = F.expr(f"transform(filter(arrays_zip(spans, spans_bytes), s -> s.spans.end - s.spans.start > {int(max_span)}), s -> s.spans_bytes)")
-        kept = kept.withColumn("row", F.col("row").withField(text_col, F.when(F.size("spans") > 0, cut(F.col(f"row.{text_col}"), long)).otherwise(F.col(f"row.{text_col}"))))
+        text = F.col(f"row.{text_col}")
+        kept = kept.withColumn("_cut", long)
+        kept = kept.withColumn("row", F.when(F.size("_cut") > 0, F.col("row").withField(text_col, without_spans(text, F.col("_cut")))).otherwise(F.col("row")))
     return kept.select("row.*")
 
 

@@ -4,7 +4,8 @@ Character trigrams inside words are counted per language over all labelled rows
 (dense hashed counters in each task, summed by Spark).  A word's likelihood under a
 language is the product of its trigrams'; expectation-maximisation over a document's
 words gives its language proportions, and the set of languages is the one whose
-log-likelihood less ``penalty`` x size x ln(words) is the highest.
+log-likelihood less ``penalty`` x size x ln(words) is the highest; sets grow by the next
+largest share until the penalty alone forbids another language.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and
 so is every text when no row is labelled; ties go to the smaller language name; a
@@ -104,7 +105,8 @@ def mixture(log_p: np.ndarray, data: np.ndarray, offsets: np.ndarray, penalty: f
     has = np.flatnonzero(n_all)
     if not len(has) or not log_p.shape[1]:
         return out
-    word = np.add.reduceat(log_p[gram], first, axis=0)
+    # A few languages at a time: each takes a number for every trigram.
+    word = np.concatenate([np.add.reduceat(log_p[:, k : k + 16][gram], first, axis=0) for k in range(0, log_p.shape[1], 16)], axis=1)
     like = np.exp(np.maximum(word - word.max(axis=1, keepdims=True), -60))
     n = n_all[has]
     row = np.repeat(np.arange(len(has)), n)
@@ -112,16 +114,26 @@ def mixture(log_p: np.ndarray, data: np.ndarray, offsets: np.ndarray, penalty: f
     full, _ = _em(like, row, at, n, np.full((len(has), log_p.shape[1]), 1 / log_p.shape[1], np.float32), ROUNDS)
     rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
     best, best_value = None, None
-    for k in range(1, min(4, log_p.shape[1]) + 1):
-        pi = np.where(rank < k, full, 0)
+    live = np.arange(len(has))
+    for k in range(1, log_p.shape[1] + 1):
+        if best is not None:
+            # No likelihood exceeds 1, so a set whose penalty alone is worse than the best value is forbidden.
+            live = live[best_value[live] < -penalty * k * np.log(n[live] + 1.0)]
+            if not len(live):
+                break
+        mine = np.isin(row, live) if len(live) < len(has) else np.ones(len(row), bool)
+        own_n = n[live]
+        own_row = np.repeat(np.arange(len(live)), own_n)
+        own_at = np.cumsum(own_n) - own_n
+        pi = np.where(rank[live] < k, full[live], 0)
         pi /= np.maximum(pi.sum(axis=1, keepdims=True), 1e-30)
-        pi, value = _em(like, row, at, n, pi.astype(np.float32), 0 if k == 1 else 3)
-        value = value - penalty * k * np.log(n + 1.0)
+        pi, value = _em(like[mine], own_row, own_at, own_n, pi.astype(np.float32), 0 if k == 1 else 3)
+        value = value - penalty * k * np.log(own_n + 1.0)
         if best is None:
             best, best_value = pi, value
         else:
-            better = value > best_value
-            best[better], best_value[better] = pi[better], value[better]
+            better = value > best_value[live]
+            best[live[better]], best_value[live[better]] = pi[better], value[better]
     out[has] = best
     return out
 
@@ -135,7 +147,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str
         names, log_p = shared.value
         for batch in batches:
             texts = text_of(batch)
-            for a, b, data, offsets in tb.slices(texts):
+            for a, b, data, offsets in tb.slices(texts, max(1 << 14, tb.SLICE_BYTES * 8 // max(8, len(names)))):
                 pi = mixture(log_p, data, offsets)
                 ascii_letters = np.concatenate([[0], np.cumsum((LETTER[data] != 32) & (data < 128), dtype=np.int64)])
                 sure = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]

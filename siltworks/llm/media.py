@@ -195,7 +195,7 @@ def read_back(spark, path: str, *, reader) -> DataFrame:
     names = schema_names(schema)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             out = []
             for row in batch.to_pylist():
                 held = {c["digest"]: c["bytes"] for c in row.get("held") or []}
@@ -205,7 +205,9 @@ def read_back(spark, path: str, *, reader) -> DataFrame:
                         part = row["inside"][at : at + c["size"]]
                         at += c["size"]
                     else:
-                        part = held[c["digest"]]
+                        part = held.get(c["digest"])
+                        if part is None:
+                            raise ValueError(f"a chunk of document {row['doc_id']} is lost")
                     if hashlib.sha256(part).digest() != c["digest"]:
                         raise ValueError(f"a chunk of document {row['doc_id']} is damaged")
                     parts.append(part)
@@ -221,7 +223,7 @@ def read_back(spark, path: str, *, reader) -> DataFrame:
     part = media.filter(outside)
     wanted = part.select("uid", F.explode(F.array_distinct(F.expr("transform(filter(chunks, c -> not c.inside), c -> c.digest)"))).alias("digest"))
     held = wanted.join(chunks, "digest").groupBy("uid").agg(F.collect_list(F.struct("digest", "bytes")).alias("held"))
-    joined = part.join(held, "uid").select(*fields, "held").mapInArrow(build, schema)
+    joined = part.join(held, "uid", "left").select(*fields, "held").mapInArrow(build, schema)
     return complete.unionByName(joined)
 
 

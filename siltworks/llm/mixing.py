@@ -102,9 +102,9 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
     """(doc_id, size, source_size, target, taken) of every document."""
     spark = with_checkpoints(docs.sparkSession)
     sizes = sized(docs, id_col, text_col, source_col).checkpoint()
-    plan = targets(sizes, weights=weights, share=share, epochs=epochs).checkpoint()
-    if plan.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
+    if sizes.select("source").distinct().limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
+    plan = targets(sizes, weights=weights, share=share, epochs=epochs).checkpoint()
     plan = block_lengths(plan, plan.agg(F.sum("source_size")).first()[0] or 0)
     rows = plan.select("nth", "target", "length").orderBy("nth").collect()
     # The plan has at most MAX_SOURCES rows of five short values.

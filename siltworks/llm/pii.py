@@ -13,7 +13,8 @@ document and different values of a kind stay different:
   the plus sign and two leading digits;
 * social security numbers (AAA-GG-SSSS, valid areas, groups and serials);
 * dates from 1700-01-01 to 2099-12-31 (ISO, slashed, dotted): another day of the same
-  four hundred years in the same notation;
+  four hundred years in the same notation and order; a date that only month first can be
+  read stays one, as the permutation is repeated until its day exceeds 12;
 * IPv4 addresses (four octets): another address.
 
 A permutation of a x b values keeps a value as two residues and adds, in turn, a
@@ -22,8 +23,11 @@ addresses and secrets (access keys, passwords, tokens) have no format worth keep
 and become keyed tags.  Candidates that fail validation stay as they are.
 
 Defined results: null stays null, empty stays empty; every other column passes
-through; the noncharacters U+FDD0 and U+FDD1 are lost where they enclose a card number;
-text without a digit, ``@`` or ``=`` is not scanned further.
+through; the noncharacters U+FDD0 and U+FDD1 are lost where they enclose a card number.
+
+The key is a parameter.  It is a literal of the plan, so plans and event logs are as
+secret as the key.  The queries take it from ``spark.siltworks.pii.key``; where that is
+unset they use a public key that is good for tests only.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "siltworks-default-key"
+KEY_SETTING, TEST_KEY = "spark.siltworks.pii.key", "siltworks-test-key"
 ROUNDS = 8
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -240,15 +244,19 @@ def _date(m: Column, key: Column) -> Column:
         date = F.try_to_date(F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), "yyyy-MM-dd")
         # The 146,097 days of four hundred years are 189 x 773.
         n = F.datediff(date, F.lit("1700-01-01").cast("date"))
-        new = permuted(F.floor(n / 773), n % 773, 189, 773, "date", key)
+        turned = lambda s: permuted(s["x"], s["y"], 189, 773, "date", key)
+        day_of = lambda s: F.date_add(F.lit("1700-01-01").cast("date"), (s["x"] * 773 + s["y"]).cast("int"))
+        new = turned(F.struct(F.floor(n / 773).alias("x"), (n % 773).alias("y")))
+        # Three in five days exceed 12: the chance that 64 turns find none is below 1e-26.
+        walked = F.aggregate(F.sequence(F.lit(1), F.lit(64)), new, lambda s, _: F.when(F.day(day_of(s)) > 12, s).otherwise(turned(s)))
 
         def text(s: Column) -> Column:
-            d = F.date_add(F.lit("1700-01-01").cast("date"), (s["x"] * 773 + s["y"]).cast("int"))
+            d = day_of(s)
             same = lambda old, v, k: F.when(F.length(old) == 2, F.lpad(v.cast("string"), 2, "0")).otherwise(v.cast("string"))
             y, mo, da = F.lpad(F.year(d).cast("string"), 4, "0"), same(month, F.month(d), 2), same(day, F.day(d), 2)
-            return F.when(iso, F.concat_ws("-", y, mo, da)).when(month_first & (F.day(d) > 12), F.concat_ws("-", mo, da, y)).otherwise(F.concat_ws("-", da, mo, y))
+            return F.when(iso, F.concat_ws("-", y, mo, da)).when(month_first, F.concat_ws("-", mo, da, y)).otherwise(F.concat_ws("-", da, mo, y))
 
-        return F.when(n.between(0, 146_096), _let(new, lambda s: F.replace(text(s), F.lit("-"), sep)))
+        return F.when(n.between(0, 146_096), _let(F.when(month_first, walked).otherwise(new), lambda s: F.replace(text(s), F.lit("-"), sep)))
 
     return F.when(m.rlike(r"^\d{1,4}([-/.])\d{1,2}\1\d{1,4}$"), _let(parts, of))
 
@@ -267,15 +275,18 @@ def pseudonym(m: Column, key: Column) -> Column:
     return F.coalesce(chain, rest, F.struct(F.lit(None).cast("string").alias("kind"), m.alias("value")))
 
 
-def pseudonymise(docs: DataFrame, *, text_col: str = "text", key: str = KEY, counts: bool = False) -> DataFrame:
+def key_of(spark) -> str:
+    return spark.conf.get(KEY_SETTING, TEST_KEY)
+
+
+def pseudonymise(docs: DataFrame, *, key: str, text_col: str = "text", counts: bool = False) -> DataFrame:
     """``docs`` with its text pseudonymised; with ``counts``, n_<kind> columns and n_pii follow."""
     # Rows travel as one struct, so that no column of theirs can clash with the steps' own.
     work = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     text, secret = F.col(f"row.`{text_col}`"), F.lit(key)
-    scan = text.rlike(r"[0-9@=]")
     runs = F.regexp_extract_all(text, F.lit(RUNS), F.lit(0))
     work = work.withColumn("marked", F.when(text.rlike(RUN), _between(text, RUNS, F.transform(runs, _cards_marked))).otherwise(text))
-    work = work.withColumn("found", F.when(scan, F.regexp_extract_all("marked", F.lit(PATTERN), F.lit(0))))
+    work = work.withColumn("found", F.regexp_extract_all("marked", F.lit(PATTERN), F.lit(0)))
     bare = lambda m: F.translate(m, OPEN + CLOSE, "")
     work = work.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(bare(m), secret))))
     work = work.withColumn("text", F.when(F.size("new") > 0, _between(F.col("marked"), PATTERN, F.col("new.value"))).otherwise(text))
@@ -292,4 +303,4 @@ def _is(kind: str):
 
 def op5_pii(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return pseudonymise(docs, counts=True)
+    return pseudonymise(docs, key=key_of(spark), counts=True)

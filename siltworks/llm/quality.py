@@ -5,8 +5,9 @@ labels lines good or bad.  Each labelled document lends its label to its lines.
 Forward-backward gives each line's marginal, and the document's score is their
 mean weighted by line length.
 
-The fit uses a bounded sample of labelled rows (``MAX_FIT_DOCS``, lowest id hash)
-in one task; scoring is one narrow pass over whole texts.
+The fit uses a bounded sample of labelled rows (``MAX_FIT_DOCS`` documents of lowest id
+hash, one text of each, none of over ``MAX_FIT_BYTES``), dealt by lines to tasks whose
+weights are averaged; scoring is one narrow pass over whole texts.
 
 Defined results: null and empty texts are one empty line; rows with a null label or
 id are not learnt from; of several labels of a document the lowest counts; without
@@ -23,9 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm import textbytes as tb
+from siltworks.llm.workspace import Tables
 
 #: Labelled documents used for the fit: those whose id hashes lowest.
 MAX_FIT_DOCS = 6_000
+LINES_PER_TASK = 200_000
+#: Longer texts are scored whole but not learnt from.
+MAX_FIT_BYTES = 256 << 10
 FOLDS = 5
 THRESHOLD = 0.3
 
@@ -206,11 +211,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in xs])])
         y = np.repeat([min(max(y, 0), 1) for _, y, _ in rows], np.diff(bounds))
         w, trans = train_crf(with_neighbours(np.concatenate(xs), bounds), y, bounds)
-        yield pa.record_batch([pa.array([w.tobytes()], pa.binary()), pa.array([trans.tobytes()], pa.binary())], names=["w", "t"])
-
-    sample = docs.select(key.alias("_k"), F.col(text_col).alias("_t")).join(F.broadcast(picked), "_k").select("_k", "_t", "_y")
-    got = sample.mapInArrow(extract, "k bigint, y int, x binary").groupBy(F.lit(0).alias("all")).applyInArrow(train, "w binary, t binary").collect()
-    return (np.frombuffer(got[0].w).reshape(-1, 2), np.frombuffer(got[0].t).reshape(2, 2)) if got else None
+        theta = np.concatenate([w.reshape(-1), trans.reshape(-1)])
+        yield pa.record_batch([pa.array(np.arange(len(theta))), pa.array(theta)], names=["i", "w"])
+
+    # The picked rows are at most max_fit_docs of two numbers.
+    found = docs.select(key.alias("_k"), F.col(text_col).alias("_t")).join(F.broadcast(picked), "_k").filter(F.coalesce(F.octet_length("_t"), F.lit(0)) <= MAX_FIT_BYTES)
+    # One text of an id, however often it is repeated: the one that hashes lowest.
+    tables = Tables(docs.sparkSession, "quality")
+    sample = tables.keep(found.groupBy("_k", "_y").agg(F.min(F.struct(F.xxhash64("_t"), "_t")).alias("_m")).select("_k", "_m._t", "_y"), "sample")
+    n_lines = sample.agg(F.sum(F.regexp_count(F.coalesce("_t", F.lit("")), F.lit("\n")) + 1)).first()[0]
+    tasks = -(-(n_lines or 0) // LINES_PER_TASK)
+    dealt = sample.mapInArrow(extract, f"k {sample.schema['_k'].dataType.simpleString()}, y int, x binary").withColumn("task", F.pmod(F.xxhash64("k"), F.lit(max(1, tasks))))
+    fits = dealt.groupBy("task").applyInArrow(train, "i bigint, w double").groupBy("i").agg(F.avg("w").alias("w")).orderBy("i").collect() if tasks else []
+    tables.drop_others()
+    theta = np.array([r.w for r in fits])
+    return (theta[:-4].reshape(-1, 2), theta[-4:].reshape(2, 2)) if fits else None
 
 
 def score(docs: DataFrame, model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

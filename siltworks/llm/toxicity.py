@@ -2,8 +2,8 @@
 
 Features of a text are the distinct hashes of its words, the first bytes of its
 longer words, its word pairs and its pairs that skip one word.  The model is fitted
-on a bounded sample of labelled rows (``max_fit_docs``, documented below), dealt to
-a few tasks that each run FTRL-proximal; per-coordinate rates and the L1 term leave
+on a bounded sample of labelled rows (``max_fit_docs`` documents, one text of each, none of
+over ``MAX_FIT_BYTES``), dealt by documents and bytes to a few tasks that each run FTRL-proximal; per-coordinate rates and the L1 term leave
 few weights, whose mean over the tasks is broadcast (at most 2**BITS numbers).
 
 Defined results: null, empty and word-less texts have no features and score the
@@ -23,11 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.llm import textbytes as tb
+from siltworks.llm.workspace import Tables
 
 BITS = 20
 #: Labelled documents used for the fit: those whose id hashes lowest.
 MAX_FIT_DOCS = 20_000
-DOCS_PER_TASK = 5_000
+DOCS_PER_TASK, BYTES_PER_TASK = 5_000, 64 << 20
+#: Longer texts are scored whole but not learnt from.
+MAX_FIT_BYTES = 4 << 20
 FOLDS = 5
 PREFIX = 4
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -87,9 +90,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         .orderBy(F.xxhash64("_k"), "_k")
         .limit(max_fit_docs)
     )
-    n = picked.count()
-    tasks = max(1, n // DOCS_PER_TASK)
-    sample = docs.select(key.alias("_k"), F.col(text_col).alias("_t")).join(F.broadcast(picked), "_k")
+    # The picked rows are at most max_fit_docs of two numbers.
+    found = docs.select(key.alias("_k"), F.col(text_col).alias("_t")).join(F.broadcast(picked), "_k").filter(F.coalesce(F.octet_length("_t"), F.lit(0)) <= MAX_FIT_BYTES)
+    # One text of an id, however often it is repeated: the one that hashes lowest.
+    tables = Tables(docs.sparkSession, "toxicity")
+    sample = tables.keep(found.groupBy("_k", "_y").agg(F.min(F.struct(F.xxhash64("_t"), "_t")).alias("_m")).select("_k", "_m._t", "_y"), "sample")
+    n, size = sample.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("_t")), F.lit(0))).first()
+    tasks = max(1, n // DOCS_PER_TASK, size // BYTES_PER_TASK)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -106,8 +113,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         at = np.flatnonzero(w)
         yield pa.record_batch([pa.array(np.append(at, -1)), pa.array(np.append(w[at], bias))], names=["i", "w"])
 
-    dealt = sample.select("_k", "_t", "_y").mapInArrow(extract, "k bigint, x binary, y int").withColumn("task", F.pmod(F.xxhash64("k"), F.lit(tasks)))
+    dealt = sample.select("_k", "_t", "_y").mapInArrow(extract, f"k {sample.schema['_k'].dataType.simpleString()}, x binary, y int").withColumn("task", F.pmod(F.xxhash64("k"), F.lit(tasks)))
     rows = dealt.groupBy("task").applyInArrow(train, "i bigint, w double").groupBy("i").agg((F.sum("w") / tasks).alias("w")).collect() if n else []
+    tables.drop_others()
     found = sorted((r.i, r.w) for r in rows)
     bias = found[0][1] if found and found[0][0] == -1 else -35.0
     found = [x for x in found if x[0] >= 0]

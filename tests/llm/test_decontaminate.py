@@ -65,6 +65,20 @@ def test_spans_and_removal(spark):
     assert set(kept) == {1, 3, 4} and kept[1].text == text and kept[1].row == 9
     cut = {r.doc_id: r.text for r in D.decontaminate(docs, b, max_span=15).collect()}
     assert cut[1] == text.replace(item.upper(), "") and cut[3] is None
+    both = item + " \U0001f600 " + "y " * 900 + item
+    odd = spark.createDataFrame([(1, both), (2, "é" + item + "x " * 900)], "doc_id long, text string")
+    cut = {r.doc_id: r.text for r in D.decontaminate(odd, b, max_span=12).collect()}
+    # "éw0" and "w19x" are other words.
+    assert cut[1] == " \U0001f600 " + "y " * 900 and cut[2] == "éw0  w19" + "x " * 900
+
+
+def test_a_very_long_text_and_a_large_benchmark(spark):
+    rng = random.Random(3)
+    items = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))) for i in range(200)]
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(200_000))
+    docs = spark.createDataFrame([(1, long + " " + items[7][1]), (2, items[150][1])], "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in D.match(docs, spark.createDataFrame(items, "item_id long, text string"), block_words=2000).collect()}
+    assert got == {1: (40, ["7"]), 2: (40, ["150"])}
 
 
 def test_empty_tables(spark):

@@ -135,3 +135,91 @@ def test_counts_do_not_depend_on_partitions(spark):
     docs = spark.createDataFrame(pd.DataFrame({"doc_id": range(50), "text": ["abc déf " * i for i in range(50)], "lang": ["a", "b"] * 25}))
     one, many = langid.fit(docs.repartition(1)), langid.fit(docs.repartition(7))
     assert one[0] == many[0] and np.array_equal(one[1], many[1])
+
+
+def test_ftrl_against_plain_python():
+    docs = [np.array(x, np.int32) for x in ([1, 2], [2, 3], [1], [4, 2, 7], [3, 7])]
+    labels = np.array([1.0, 0, 1, 0, 1])
+    alpha, beta, l1, l2 = 0.5, 1.0, 0.05, 0.1
+    w, bias = toxicity.ftrl(docs, labels, alpha=alpha, beta=beta, l1=l1, l2=l2, epochs=3, seed=11)
+    z, n, zb, nb = {}, {}, 0.0, 0.0
+
+    def weight(i):
+        zi, ni = z.get(i, 0.0), n.get(i, 0.0)
+        return 0.0 if abs(zi) <= l1 else -(zi - np.sign(zi) * l1) / ((beta + ni**0.5) / alpha + l2)
+
+    order = np.random.Generator(np.random.PCG64(11))
+    for _ in range(3):
+        for k in order.permutation(5):
+            own = {int(i): weight(int(i)) for i in docs[k]}
+            b = -zb / ((beta + nb**0.5) / alpha)
+            g = 1 / (1 + np.exp(-(sum(own.values()) + b))) - labels[k]
+            for i, v in own.items():
+                old = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / alpha * v
+                n[i] = old + g * g
+            zb += g - ((nb + g * g) ** 0.5 - nb**0.5) / alpha * b
+            nb += g * g
+    assert np.allclose([w[i] for i in range(9)], [weight(i) for i in range(9)]) and np.isclose(bias, b)
+
+
+def test_mixture_against_plain_python():
+    rng = np.random.default_rng(8)
+    log_p = np.log(rng.dirichlet(np.full(1 << langid.BITS, 0.02), 6).T + 1e-6).astype(np.float32)
+    texts = ["".join(rng.choice(list("abcdefgh "), 60)) for _ in range(8)]
+    for text in texts:
+        data, offsets = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)])
+        got = langid.mixture(log_p, data, offsets, penalty=0.2)[0]
+        gram, first, _ = langid.trigrams(data, offsets)
+        words = np.split(gram, first[1:])
+        like = np.array([np.exp(np.maximum((s := log_p[w].sum(axis=0)) - s.max(), -60)) for w in words], float)
+
+        def em(pi, rounds):
+            for _ in range(rounds):
+                part = like * pi
+                pi = (part / part.sum(axis=1, keepdims=True)).mean(axis=0)
+            return pi, np.log((like * pi).sum(axis=1)).sum()
+
+        full, _ = em(np.full(6, 1 / 6), langid.ROUNDS)
+        rank, best = np.argsort(-full, kind="stable"), None
+        for k in range(1, 7):
+            pi = np.zeros(6)
+            pi[rank[:k]] = full[rank[:k]]
+            pi, value = em(pi / pi.sum(), 0 if k == 1 else 3)
+            value -= 0.2 * k * np.log(len(words) + 1)
+            if best is None or value > best[1] + 1e-9:
+                best = pi, value
+        assert np.allclose(got, best[0], atol=2e-3)
+
+
+def test_an_id_repeated_very_often_is_learnt_once(spark, corpus):
+    docs, labels, _ = corpus
+    many = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("other text "), F.col("id").cast("string")).alias("text"), F.lit("x").alias("score"), F.lit(1).alias("row"))
+    assert len(toxicity.fit(docs.union(many), labels).index) < 5000
+    model = quality.fit(docs.union(many), labels)
+    again = quality.fit(docs, labels)
+    assert np.abs(model[0] - again[0]).max() < 1.0
+
+
+def test_quality_fits_are_averaged(spark, corpus, monkeypatch):
+    docs, labels, truth = corpus
+    monkeypatch.setattr(quality, "LINES_PER_TASK", 900)
+    got = {r.doc_id: r.score for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+    out = [k for k in truth if held(k, 5) == 0]
+    assert np.mean([(got[k] >= 0.3) == (truth[k][0] == 1) for k in out]) > 0.95
+
+
+def test_columns_with_the_operators_own_names(spark, corpus):
+    docs, labels, _ = corpus
+    odd = docs.selectExpr("doc_id", "text", "text as _id", "text as _text", "row", "score")
+    model = toxicity.fit(docs, labels)
+    assert toxicity.drop_toxic(odd, model).columns == odd.columns
+    assert langid.predict(docs.selectExpr("doc_id", "text", "1 as lang_pred", "2 as score", "3 as _id"), (["a"], np.zeros((1 << langid.BITS, 1), np.float32))).count() == docs.count()
+
+
+def test_many_languages(spark):
+    names = [f"l{i:03d}" for i in range(120)]
+    rows = [(i, " ".join(f"{names[i % 120][1:].translate(str.maketrans('0123456789', 'abcdefghij'))}{x}" for x in "qrstuvwxyz"), names[i % 120]) for i in range(480)]
+    docs = spark.createDataFrame(rows + [(1000, None, "l001"), (1001, "abc def", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, langid.fit(docs)).collect()}
+    assert np.mean([got[k] == lang for k, _, lang in rows]) > 0.9 and got[1000] == "und"
