@@ -49,7 +49,8 @@ def test_repeated_runs_are_those_of_brute_force():
             mark -= 1
             stream += [*p, mark]
             page += [i] * (len(p) + 1)
-        got = htmltext.repeated(np.array(stream), np.array(page), 3)
+        start, n, run_at = htmltext.supports(np.array(stream, np.int64), np.array(page), 3)
+        got = htmltext.covered(run_at, n > 1, 3)
         grams = {}
         for i in range(len(stream) - 2):
             if min(stream[i : i + 3]) >= 0:
@@ -59,6 +60,7 @@ def test_repeated_runs_are_those_of_brute_force():
             if len(grams.get(tuple(stream[i : i + 3]), ())) > 1:
                 want[i : i + 3] = True
         assert (got == want).all()
+        assert {tuple(stream[k : k + 3]): c for k, c in zip(start.tolist(), n.tolist())} == {g: len(x) for g, x in grams.items()}
 
 
 def test_boilerplate_without_structure():
@@ -79,12 +81,29 @@ def test_extract_rows(spark):
     assert htmltext.op3_html_extract(spark, SMALL).count() == spark.read.parquet(f"{SMALL}/pages.parquet").count()
 
 
-def test_large_hosts_are_dealt(spark, monkeypatch):
-    monkeypatch.setattr(htmltext, "GROUP_PAGES", 4)
-    same = "Follow us on every network and win many prizes today"
-    rows = [(i, f"https://h.org/{i}", f"<div>{same}</div><div>own{i} a{i} b{i} c{i} d{i} e{i}</div>") for i in range(40)]
-    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got == {i: f"own{i} a{i} b{i} c{i} d{i} e{i}" for i in range(40)}
+def test_text_does_not_depend_on_how_a_host_is_dealt(spark, monkeypatch):
+    same, rare = "Follow us on every network and win many prizes today", "Only two pages of this host carry these very words"
+    own = lambda i: " ".join(f"{w}{i}" for w in "own a b c d e f g".split())
+    rows = [(str(i), f"https://h.org/{i}", f"<div>{same}</div><div>{own(i)}</div>" + f"<div>{rare}</div>" * (i in (3, 31))) for i in range(40)]
+    # Without article elements a main element may hold all of a site's page.
+    rows += [(f"m{i}", f"https://h.org/m{i}", f"<main><p>{own(100 + i)} {own(200 + i)}</p><p>{same}</p><p>{rare} again{i % 2}</p></main>") for i in range(2)]
+    rows += [("copy1", "https://h.org/c1", f"<article><p>{same}</p></article>"), ("copy2", "https://h.org/c2", f"<article><p>{same}</p></article>")]
+    want = {str(i): own(i) for i in range(40)} | {f"m{i}": f"{own(100 + i)} {own(200 + i)}\n{rare} again{i % 2}" for i in range(2)} | {"copy1": same, "copy2": same}
+    frame = spark.createDataFrame(rows, "page_id string, url string, html string")
+    for pages in (4, 16, 1000):
+        monkeypatch.setattr(htmltext, "GROUP_PAGES", pages)
+        got = {r.page_id: r.text for r in htmltext.extract(frame).collect()}
+        assert got == want
+
+
+def test_hostile_pages_are_read_in_linear_time():
+    import time
+
+    began = time.process_time()
+    for piece in ("<a ", "<!", "<a '", '<p title="', "<div>", "</span>", "&"):
+        htmltext.blocks(piece * (300_000 // len(piece)))
+    htmltext.blocks("<div>" * 60_000 + "</span>" * 60_000)
+    assert time.process_time() - began < 20
 
 
 def test_media_round_trip(spark, tmp_path):
