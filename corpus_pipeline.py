@@ -2,14 +2,20 @@
 
 1. ``toxicity``: documents that the model scores 0.5 or more go.
 2. ``near_duplicates``: one document of each class stays, that of the smallest id.
-3. ``decontamination``: documents that the contamination rule names go; others keep
-   their text as it is.
+3. ``decontamination``: documents that the contamination rule names go; from the others
+   spans of ``MAX_SPAN`` words or more that stand in the benchmark are cut.
 4. ``pii``: texts are pseudonymised.
 5. ``mixing``: every document left is a row with the words that the mix takes of it.
 
 Each function takes (spark, docs, sf_dir) and returns a DataFrame, which ``run``
 writes as Parquet in the shared folder and reads again as the next stage's docs.
 All but the last return the columns of ``documents``.
+
+Null, empty and word-less texts pass every stage (no rule names them) and have size 0 in
+the mix.  Rows that repeat an id and its text are one document from ``near_duplicates``
+on; an id with several texts keeps each text that is first of its class.  Rows without
+an id stay.  Empty tables give empty results; further columns pass through whatever
+their names, but for the last stage, which returns its own.
 """
 
 from __future__ import annotations
@@ -18,6 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltworks.llm import decontaminate, mixing, neardup, pii, toxicity, workspace
 
+#: Words of the benchmark in a row that are cut from documents that stay: the contract's window.
+MAX_SPAN = decontaminate.WINDOW
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled rows of ``documents`` and applies the model to ``docs``."""
@@ -30,11 +39,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), max_span=MAX_SPAN - 1)
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(docs)
+    return pii.pseudonymise(docs, key=pii.key_of(spark))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
