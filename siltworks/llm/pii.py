@@ -54,6 +54,8 @@ OPEN, CLOSE = "\ufdd0", "\ufdd1"
 MARKED = rf"{OPEN}\d[\d -]++{CLOSE}"
 PHONE = r"\+\d(?:[ .()-]{0,2}\d){7,14}(?!\d)"
 PATTERN = "|".join([MARKED, EMAIL, ACCESS_KEY, SECRET, IBAN, DATE, IP, SSN, NANP, PHONE])
+#: What every candidate has: a digit, an at sign, or the word or prefix that its pattern begins with.
+SIGN = r"[0-9@]|A[KS]IA|(?i:passw|pwd|secret|token|api_?key)"
 RUNS = "|".join([EMAIL, ACCESS_KEY, SECRET, IBAN, DATE, IP, SSN, NANP, RUN, PHONE])
 KINDS = ("email", "secret", "iban", "date", "ip", "ssn", "card", "phone")
 
@@ -286,7 +288,7 @@ def pseudonymise(docs: DataFrame, *, key: str, text_col: str = "text", counts: b
     text, secret = F.col(f"row.`{text_col}`"), F.lit(key)
     runs = F.regexp_extract_all(text, F.lit(RUNS), F.lit(0))
     work = work.withColumn("marked", F.when(text.rlike(RUN), _between(text, RUNS, F.transform(runs, _cards_marked))).otherwise(text))
-    work = work.withColumn("found", F.regexp_extract_all("marked", F.lit(PATTERN), F.lit(0)))
+    work = work.withColumn("found", F.when(text.rlike(SIGN), F.regexp_extract_all("marked", F.lit(PATTERN), F.lit(0))))
     bare = lambda m: F.translate(m, OPEN + CLOSE, "")
     work = work.withColumn("new", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(bare(m), secret))))
     work = work.withColumn("text", F.when(F.size("new") > 0, _between(F.col("marked"), PATTERN, F.col("new.value"))).otherwise(text))
