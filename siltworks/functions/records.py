@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -113,8 +115,13 @@ def focus_context(terms: Column) -> Column:
     return F.when(F.size(kept) > 0, F.concat(F.lit("watchlist_focus:"), F.array_join(kept, ","))).otherwise("")
 
 
-MONTH = "(?:January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sept|Sep|Oct|Nov|Dec)"
-VISIBLE_DATE = rf"(?i)\b20\d{{2}}[./-]\d{{1,2}}[./-]\d{{1,2}}\b|\b{MONTH}\s+\d{{1,2}},\s+20\d{{2}}\b"
+def _seen_as(format: str) -> str:
+    """A pattern of the texts that a date format may fit; what it finds is parsed afterwards."""
+    parts = {"yyyy": r"\d{4}", "MMMM": r"\p{L}{3,9}", "MMM": r"\p{L}{3,4}", "M": r"\d{1,2}", "d": r"\d{1,2}", " ": r"\s+"}
+    return re.sub("yyyy|M+|d| |[^\\w\\s]", lambda m: parts.get(m[0]) or re.escape(m[0]), format)
+
+
+VISIBLE_DATE = r"\b(?:" + "|".join(map(_seen_as, times.DATE_FORMATS)) + r")\b"
 
 
 def nearby_date(page: Column, start: Column, end: Column, reach: int = 700) -> Column:

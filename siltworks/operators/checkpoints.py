@@ -1,7 +1,5 @@
 """The checkpoint folder that iterative operators cut their lineage with."""
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -11,5 +9,6 @@ def with_checkpoints(spark: SparkSession) -> SparkSession:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="siltworks-"))
+        # On one machine the warehouse is as shared as any folder.
+        spark.sparkContext.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
     return spark

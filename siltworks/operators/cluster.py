@@ -6,9 +6,10 @@ leads is the lexicographically first independent set of the similarity graph: a
 that no earlier similar title precedes leads, titles next to a leader do not, and the
 rest is settled in a few rounds.  So no publisher is gathered anywhere.
 
-Pairs come from a prefix filter on the rarest tokens: every pair with a token Jaccard
-of ``TOKEN_FLOOR`` is compared in full, which holds all pairs that reach the threshold
-by tokens; a pair alike by characters alone is found if half its tokens are equal.
+Pairs come from a prefix filter on the rarest tokens and one on the rarest pairs of
+neighbouring characters.  The first holds every pair that reaches the threshold by
+tokens, the second every pair that reaches it by characters, such as titles without
+spaces that differ in one of them.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from pyspark.sql import functions as F
 
 from siltworks.functions.ids import candidate_id
 from siltworks.functions.text import STOP_WORDS, jaccard, normalize_title, tokens
+from siltworks.functions.times import iso
 from siltworks.operators.checkpoints import with_checkpoints
 
 THRESHOLD = 0.9
-TOKEN_FLOOR = 0.5
 
 
 def title_similarity(a: str, b: str, least: float = 0.0) -> float:
@@ -42,33 +43,63 @@ def title_similarity(a: str, b: str, least: float = 0.0) -> float:
     return max(overlap, matcher.ratio())
 
 
-def candidate_pairs(titles: DataFrame, floor: float) -> DataFrame:
-    """Pairs (a, b, x, y, place) of one publisher that can reach a token Jaccard of ``floor``; none that does is left out.
+def _met(each: DataFrame, kept: Column, reach) -> DataFrame:
+    """Pairs of a publisher's titles that share one of their rarest elements; a before b.
 
-    ``titles`` has id, publisher, norm and place, the order of a before b.
+    ``each`` has a row (id, publisher, norm, place, size, w) for each element w of a title;
+    ``kept`` says of a row, by ``size`` and its place ``i`` among the title's elements from
+    the rarest on, whether a pair that counts must share one of these; ``reach`` bounds
+    the overlap of two rows.
     """
-    words = F.filter(F.split("norm", " "), lambda w: (F.length(w) > 1) & ~w.isin(*STOP_WORDS))
-    listed = titles.withColumn("words", F.array_distinct(words)).withColumn("size", F.size("words"))
-    each = listed.select("id", "publisher", "norm", "place", "size", F.explode("words").alias("w"))
     held = each.groupBy("publisher", "w").agg(F.count("*").alias("df")).filter("df > 1")
     same = (F.col("each.publisher").eqNullSafe(F.col("held.publisher"))) & (F.col("each.w") == F.col("held.w"))
     own = Window.partitionBy("id")
     ranked = each.alias("each").join(held.alias("held"), same).select("each.*", "df")
     ranked = ranked.withColumn("i", F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "w")) - 1)
-    head = ranked.filter(F.col("i") <= F.col("size") - F.ceil(F.col("size") * floor - 1e-9))
+    head = ranked.filter(kept)
     p, q = head.alias("p"), head.alias("q")
-    reach = F.least(F.col("p.size") - F.col("p.i"), F.col("q.size") - F.col("q.i")) >= floor / (1 + floor) * (F.col("p.size") + F.col("q.size")) - 1e-9
     pairs = p.join(q, (F.col("p.w") == F.col("q.w")) & F.col("p.publisher").eqNullSafe(F.col("q.publisher")) & (F.col("p.place") < F.col("q.place")) & reach)
     return pairs.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.col("p.norm").alias("x"), F.col("q.norm").alias("y"), F.col("p.place").alias("place")).distinct()
 
 
+def candidate_pairs(titles: DataFrame, floor: float) -> DataFrame:
+    """Pairs (a, b, x, y, place) of one publisher that can reach a token Jaccard of ``floor``; none that does is left out.
+
+    ``titles`` has id, publisher, norm and place, the order of a before b.
+    """
+    words = F.filter(F.split("norm", " "), lambda w: (F.length(w) > 1) & ~w.isin(*STOP_WORDS))
+    listed = titles.withColumn("words", F.array_distinct(words)).withColumn("size", F.size("words"))
+    each = listed.select("id", "publisher", "norm", "place", "size", F.explode("words").alias("w"))
+    left = F.least(F.col("p.size") - F.col("p.i"), F.col("q.size") - F.col("q.i"))
+    return _met(each, F.col("i") <= F.col("size") - F.ceil(F.col("size") * floor - 1e-9), left >= floor / (1 + floor) * (F.col("p.size") + F.col("q.size")) - 1e-9)
+
+
+def ratio_pairs(titles: DataFrame, threshold: float) -> DataFrame:
+    """Pairs that can reach a sequence ratio of ``threshold`` (over 2/3); none that does is left out.
+
+    A ratio t of titles of L characters together leaves at most (1 - t) L unmatched, so the
+    matched t L / 2 lie in at most (1 - t) L + 1 pieces and share t L / 2 less that many
+    pairs of neighbouring characters, each counted as often as it occurs.  The shorter title
+    has at least t / (2 - t) of the longer's length.
+    """
+    size = F.length("norm") - 1
+    grams = F.transform(F.sequence(F.lit(1), size), lambda i: F.substr("norm", i, F.lit(2)))
+    listed = titles.filter(size > 0).select("id", "publisher", "norm", "place", size.alias("size"), F.posexplode(grams).alias("at", "g"))
+    nth = F.row_number().over(Window.partitionBy("id", "g").orderBy("at"))
+    each = listed.withColumn("w", F.concat_ws("\u0001", "g", nth.cast("string"))).drop("at", "g")
+    share = 1.5 * threshold - 1
+    least = F.greatest(F.lit(1), F.ceil((F.col("size") + 1) * (1 + threshold / (2 - threshold)) * share - 1 - 1e-9))
+    left = F.least(F.col("p.size") - F.col("p.i"), F.col("q.size") - F.col("q.i"))
+    return _met(each, F.col("i") <= F.col("size") - least, left >= share * (F.col("p.size") + F.col("q.size") + 2) - 1 - 1e-9)
+
+
 def jaccard_pairs(titles: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity) of all pairs of a publisher whose token Jaccard reaches the threshold."""
     pairs = candidate_pairs(titles, threshold).withColumn("similarity", jaccard(tokens(F.col("x")), tokens(F.col("y"))))
     return pairs.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
 
 
-def similar_titles(titles: DataFrame, threshold: float = THRESHOLD, floor: float = TOKEN_FLOOR) -> DataFrame:
+def similar_titles(titles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Pairs (a, b, place) of similar titles of one publisher, a before b."""
 
     @F.pandas_udf("boolean")
@@ -76,7 +107,7 @@ def similar_titles(titles: DataFrame, threshold: float = THRESHOLD, floor: float
         # The later title is the first argument, as the ratio depends on the order.
         return pd.Series([title_similarity(b, a, threshold) >= threshold for a, b in zip(x, y)])
 
-    return candidate_pairs(titles, floor).filter(alike("x", "y")).select("a", "b", "place")
+    return candidate_pairs(titles, threshold).union(ratio_pairs(titles, threshold)).distinct().filter(alike("x", "y")).select("a", "b", "place")
 
 
 def leaders(titles: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -115,16 +146,19 @@ def cluster_key(source_name: Column, fixed: str | None, leader: Column) -> Colum
     return F.when(source_name == fixed, F.lit("fixed")).otherwise(leader.cast("string")) if fixed else leader.cast("string")
 
 
-def roll_up(grouped: DataFrame, *, fixed: str | None = None, bonus: int = 3) -> DataFrame:
+def roll_up(grouped: DataFrame, *, fixed: str | None = None, fixed_title: str | None = None, bonus: int = 3) -> DataFrame:
     """One candidate per cluster from (ord, leader, score, title, source_name, ...) rows.
 
-    The best member by score, the first of equals, lends title and routes; ids and
-    urls are in member order; the date is the earliest.
+    Members are ordered by score and title, those of the fixed cluster by date.  The best
+    member by score, the first of equals, lends title and routes, but for ``fixed_title``;
+    the id is made of the title and the first member's date; the date is the earliest.
     """
     rows = grouped.withColumn("cluster", cluster_key(F.col("source_name"), fixed, F.col("leader")))
-    first = F.struct((-F.col("score")).alias("s"), F.col("title").alias("t"), F.col("ord").alias("o"))
+    by_date = F.when(F.col("cluster") == "fixed", F.coalesce("published_at", F.lit("0001-01-01").cast("timestamp")))
+    best_first = F.struct((-F.col("score")).alias("s"), by_date.alias("d"), F.col("title").alias("t"), F.col("ord").alias("o"))
+    first = F.struct(by_date.alias("d"), F.when(by_date.isNull(), -F.col("score")).alias("s"), F.col("title").alias("t"), F.col("ord").alias("o"))
     listed = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(first.alias("k"), F.col(c).alias("v")))), lambda x: x["v"])
-    best = F.min_by(F.struct("title", "primary_route", "secondary_routes", "score", "source_id"), first)
+    best = F.min_by(F.struct("title", "primary_route", "secondary_routes", "score", "source_id"), best_first)
     out = rows.groupBy("cluster").agg(
         best.alias("best"),
         F.min_by("published_at", first).alias("lead_published"),
@@ -135,9 +169,10 @@ def roll_up(grouped: DataFrame, *, fixed: str | None = None, bonus: int = 3) ->
         F.count("*").alias("source_count"),
     )
     is_fixed = F.col("cluster") == "fixed"
+    title = F.when(is_fixed, F.lit(fixed_title)).otherwise(F.col("best.title")) if fixed_title else F.col("best.title")
     return out.select(
-        candidate_id(F.col("best.title"), F.col("lead_published").cast("string")).alias("candidate_id"),
-        F.col("best.title").alias("canonical_title"),
+        candidate_id(title, iso(F.col("lead_published"))).alias("candidate_id"),
+        title.alias("canonical_title"),
         F.col("best.primary_route").alias("primary_route"),
         F.col("best.secondary_routes").alias("secondary_routes"),
         (F.col("best.score") + F.when(is_fixed, bonus).otherwise(0)).alias("score"),

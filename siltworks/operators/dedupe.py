@@ -36,23 +36,33 @@ def collection_order(records: DataFrame) -> DataFrame:
     return records.orderBy(F.col("published_at").desc_nulls_last(), F.col("source_name").desc_nulls_last())
 
 
-def overlay_fallback(current: DataFrame, fallback: DataFrame, start: Column, end: Column) -> DataFrame:
+def overlay_fallback(current: DataFrame, fallback: DataFrame, start: Column, end: Column, *, failed: DataFrame | None = None, run_id: str | None = None) -> DataFrame:
     """A run whose failed sources take the in-window successes of an earlier run.
 
-    The current run wins each URL; its failed rows of restored sources go.  The result
-    has a column ``restored``.
+    ``failed`` has the registry_id of sources whose check failed, with or without records;
+    by default they are read from the records.  The current run wins each URL; of restored
+    sources its rows that were not successes go.  The result has a column ``restored``;
+    with ``run_id``, restored rows name the run they come from in ``discovery_context``.
     """
     from siltworks.operators.predicates import in_window
 
-    failed = current.groupBy("registry_id").agg(F.max(access_rank(F.col("access_status"))).alias("a")).filter("a <= 0").select("registry_id")
-    usable = fallback.filter((F.col("access_status") == "success") & in_window(F.col("published_at"), start, end)).join(failed, "registry_id", "left_semi")
-    restored_sources = usable.select("registry_id").distinct()
-    lost = current.filter(access_rank(F.col("access_status")) <= 0).join(restored_sources, "registry_id", "left_semi").select("ord", "registry_id")
-    kept = current.join(lost, ["ord", "registry_id"], "left_anti").withColumn("restored", F.lit(False))
+    if failed is None:
+        failed = current.groupBy("registry_id").agg(F.max(access_rank(F.col("access_status"))).alias("a")).filter("a <= 0")
+    usable = fallback.filter((F.col("access_status") == "success") & in_window(F.col("published_at"), start, end)).join(failed.select("registry_id").distinct(), "registry_id", "left_semi")
+    if run_id is not None:
+        usable = usable.withColumn("discovery_context", F.concat_ws("; ", F.nullif(F.col("discovery_context"), F.lit("")), F.lit(f"fallback_collection:{run_id}")))
+    restored = usable.select("registry_id").distinct().withColumn("_restored", F.lit(True))
+    gone = F.col("_restored").isNotNull() & ~F.coalesce(F.col("access_status") == "success", F.lit(False))
+    kept = current.join(restored, "registry_id", "left").filter(~gone).select(*current.columns).withColumn("restored", F.lit(False))
     both = kept.unionByName(usable.withColumn("restored", F.lit(True)))
     return best_per_key(both, ["canonical_url"], F.col("restored").asc(), access_rank(F.col("access_status")).desc(), F.col("ord").asc())
 
 
+def fallback_counts(overlaid: DataFrame) -> DataFrame:
+    """(registry_id, restored_records) of the sources that an earlier run stood in for."""
+    return overlaid.filter("restored").groupBy("registry_id").agg(F.count("*").alias("restored_records"))
+
+
 def union_override(base: DataFrame, extra: DataFrame, key: str) -> DataFrame:
     """Rows of both; where a key is in both, those of ``extra``."""
     return base.join(extra.select(key).distinct(), key, "left_anti").unionByName(extra)

@@ -53,12 +53,37 @@ def timeline(events: DataFrame, *, at: str = "event_at", category: str = "catego
     )
 
 
+def trend_members(events: DataFrame, found: DataFrame, *, route: str = "primary_route") -> DataFrame:
+    """(trend_id, event_id): the events of each trend, one row each."""
+    return events.join(found.select(F.col("route").alias(route), "trend_id"), route).select("trend_id", "event_id")
+
+
+def day_members(events: DataFrame, days: DataFrame, *, at: str = "event_at") -> DataFrame:
+    """(day, event_id, story_id): the events of each day of the timeline, one row each."""
+    span = days.agg(F.min("day").alias("start"), F.max("day").alias("end"))
+    placed = events.crossJoin(F.broadcast(span)).withColumn("day", F.least("end", F.greatest("start", F.to_date(at))))
+    return placed.select("day", "event_id", ids.story_id(F.col("event_id")).alias("story_id"))
+
+
+def ranked(events: DataFrame) -> DataFrame:
+    """``events`` with ``rank`` from 0 by priority, time and id.
+
+    Days are counted, the few counts are added up, and rows are ranked inside their day,
+    so no task sees more than a day's events of one priority.
+    """
+    dated = events.withColumn("_p", priority_rank()).withColumn("_d", F.to_date("event_at"))
+    per = dated.groupBy("_p", "_d").agg(F.count("*").alias("n"))
+    base = per.select("_p", "_d", (F.sum("n").over(Window.orderBy("_p", "_d")) - F.col("n")).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_p", "_d").orderBy("event_at", "event_id")) - 1
+    joined = dated.withColumn("_in", inside).alias("e").join(base.alias("b"), F.col("e._p").eqNullSafe(F.col("b._p")) & F.col("e._d").eqNullSafe(F.col("b._d")))
+    return joined.select(*[F.col(f"e.`{c}`") for c in events.columns], (F.col("_base") + F.col("_in")).alias("rank"))
+
+
 def stories(events: DataFrame, *, top: int = 5) -> DataFrame:
     """One story per event: deep dives first, with default score and reading time by rank."""
-    rank = F.row_number().over(Window.orderBy(priority_rank(), "event_at", "event_id")) - 1
     part = lambda text, kind: F.struct(text.alias("text"), F.col("claim_ids").alias("claim_ids"), F.lit(kind).alias("statement_type"))
     deep = F.col("rank") < top
-    return events.withColumn("rank", rank).select(
+    return ranked(events).select(
         ids.story_id(F.col("event_id")).alias("story_id"),
         F.col("event_id").alias("primary_event_id"),
         F.when(deep, "deep_dive").otherwise("brief").alias("article_type"),

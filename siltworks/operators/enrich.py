@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from siltworks.functions.text import excerpt
 
 ANALYSIS = "candidate_id string, intelligence_type string, intelligence_type_reason string, importance_score int, strategy_relevance_score int, confidence string, proposed_claims array<string>, verification_questions array<string>, recommended_disposition string, disposition_reason string, source_ids array<string>"
-#: What a model writes where it has no claim.
-NOISE = ("verification_questions", "verifiication_questions", "todo", "n/a")
+#: A claim that only repeats a field's name or an empty mark says nothing.
+FIELDS = tuple(part.split()[0] for part in ANALYSIS.split(", "))
+EMPTY_MARKS = ("", "-", "none", "null", "n/a", "todo", "tbd")
 Provider = Callable[[list[str]], list[str]]
 
 
@@ -76,9 +77,14 @@ def stub(texts: list[str]) -> list[str]:
 
 
 def enrich(wanted: DataFrame, cache: DataFrame | None = None, provider: Provider = stub, batch: int = 8) -> DataFrame:
-    """(candidate_id, fingerprint, analysis, cached): cached answers of equal inputs, else the provider's."""
+    """(candidate_id, fingerprint, answer, analysis, cached): cached answers of equal inputs, else the provider's.
+
+    A cached row without a fingerprint counts for no input; an answer that is no JSON of
+    the schema is an error.
+    """
     empty = wanted.sparkSession.createDataFrame([], "candidate_id string, fingerprint string, answer string")
-    known = (cache if cache is not None else empty).select("candidate_id", "fingerprint", "answer")
+    # A cache that was written twice has one answer of an input: the first in order.
+    known = (cache if cache is not None else empty).filter("fingerprint is not null").groupBy("candidate_id", "fingerprint").agg(F.min("answer").alias("answer"))
     joined = wanted.join(known, ["candidate_id", "fingerprint"], "left")
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,7 +98,7 @@ def enrich(wanted: DataFrame, cache: DataFrame | None = None, provider: Provider
 
     fresh = joined.filter("answer is null").select("candidate_id", "fingerprint", "input").mapInPandas(ask, "candidate_id string, fingerprint string, answer string")
     both = joined.filter("answer is not null").select("candidate_id", "fingerprint", "answer", F.lit(True).alias("cached")).unionByName(fresh.withColumn("cached", F.lit(False)))
-    return both.withColumn("analysis", F.from_json("answer", ANALYSIS, {"mode": "PERMISSIVE"}))
+    return both.withColumn("analysis", F.from_json("answer", ANALYSIS, {"mode": "FAILFAST"}))
 
 
 def clamp_sources(analyses: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -113,6 +119,6 @@ def violations(analyses: DataFrame, candidates: DataFrame, types: list[str]) ->
         "type_reason": F.btrim(F.coalesce("intelligence_type_reason", F.lit(""))) != "",
         "high_score_rejected": ~(high & (F.coalesce("recommended_disposition", F.lit("")) == "reject")),
         "overconfident": F.coalesce("confidence", F.lit("")) != "high",
-        "placeholder": ~F.exists(F.coalesce("proposed_claims", F.array().cast("array<string>")), lambda c: F.lower(F.btrim(c)).isin(*NOISE)),
+        "placeholder": ~F.exists(F.coalesce("proposed_claims", F.array().cast("array<string>")), lambda c: F.lower(F.btrim(c)).isin(*FIELDS, *EMPTY_MARKS)),
     }
     return row_rules(analyses, "candidate_id", rules).unionByName(coverage(candidates, analyses, "candidate_id").select(F.col("problem").alias("rule"), F.col("candidate_id").alias("key")))

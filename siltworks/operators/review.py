@@ -24,9 +24,10 @@ REVIEW = (
 
 
 def template(queue: DataFrame, sources: DataFrame) -> DataFrame:
-    """One pending review per queued candidate whose primary source exists."""
-    src = sources.select(F.col("source_id").alias("primary_source_id"), F.col("canonical_url").alias("url"))
-    return queue.join(src, "primary_source_id").select(
+    """One pending review per queued candidate; a candidate without its primary source is an error."""
+    src = sources.select(F.col("source_id").alias("primary_source_id"), F.col("canonical_url").alias("url"), F.lit(True).alias("_known"))
+    lost = F.raise_error(F.concat(F.lit("no source for candidate "), F.col("candidate_id"))).cast("boolean")
+    return queue.join(src, "primary_source_id", "left").filter(F.coalesce("_known", lost)).select(
         "candidate_id",
         F.col("primary_source_id").alias("source_id"),
         F.col("canonical_title").alias("title"),

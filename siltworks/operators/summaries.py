@@ -44,4 +44,4 @@ def top_per_group(df: DataFrame, group: str, n: int, *order: Column, rank: str =
 
 def decisions(reviews: DataFrame) -> DataFrame:
     is_ = lambda d: F.count_if(F.col("decision") == d)
-    return reviews.agg(F.count("*").alias("reviewed"), is_("include").alias("include"), is_("watch").alias("watch"), is_("reject").alias("reject"))
+    return reviews.agg(F.count("*").alias("reviewed"), is_("include").alias("include"), is_("watch").alias("watch"), is_("exclude").alias("exclude"))

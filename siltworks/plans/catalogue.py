@@ -78,13 +78,13 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = pages.select(F.col("page_id").alias("ord"), F.col("url").alias("source_url"), title.alias("raw_title"), text.clean_html(F.col("html")).alias("raw_text"), page_status(F.col("page_id")).alias("access_status"), F.lit("company_news").alias("source_type"), urls.host(F.col("url")).alias("source_name"), F.lit("pages").alias("registry_id"), F.lit("2024-01-31").cast("timestamp").alias("collected_at"))
     base = base.withColumn("failure_reason", F.when(F.col("access_status").isin("failed", "blocked"), "not readable"))
     # The page's number travels in the discovery context and comes back as the order.
-    made = records.to_source_record(base, raw_excerpt=F.substring("raw_text", 1, 400), discovery_context=F.col("ord").cast("string"))
+    made = records.to_source_record(base, raw_excerpt=F.col("raw_text"), discovery_context=F.col("ord").cast("string"))
     return made.withColumn("ord", F.col("discovery_context").cast("bigint"))
 
 
 SQL_RECORDS = f"""
 SELECT page_id AS ord, {SQL_URL} AS canonical_url, 'src_' || substr(sha256({SQL_URL}), 1, 20) AS source_id, {SQL_TITLE} AS raw_title, {SQL_STATUS} AS access_status,
-  sha256({SQL_TITLE} || chr(10) || coalesce({SQL_CLEAN}, '') || chr(10) || coalesce(substr({SQL_CLEAN}, 1, 400), '')) AS content_hash,
+  sha256({SQL_TITLE} || chr(10) || coalesce({SQL_CLEAN}, '') || chr(10) || coalesce({SQL_CLEAN}, '')) AS content_hash,
   CASE WHEN {SQL_STATUS} = 'success' THEN 'collected' ELSE 'needs_review' END AS processing_status
 FROM pages"""
 
@@ -222,7 +222,7 @@ def top_events(spark, sf_dir):
     c AS (SELECT * FROM e WHERE cur), b AS (SELECT * REPLACE ('success' AS st) FROM e WHERE NOT cur),
     failed AS (SELECT registry_id FROM c GROUP BY 1 HAVING max(CASE st WHEN 'success' THEN 3 WHEN 'partial' THEN 2 ELSE 0 END) <= 0),
     u AS (SELECT * FROM b WHERE registry_id IN (SELECT registry_id FROM failed) AND ts BETWEEN TIMESTAMP '{WINDOW[0]}' AND TIMESTAMP '{WINDOW[1]}'),
-    k AS (SELECT *, false AS restored FROM c WHERE NOT (st = 'failed' AND registry_id IN (SELECT registry_id FROM u)) UNION ALL SELECT *, true FROM u)
+    k AS (SELECT *, false AS restored FROM c WHERE NOT (st <> 'success' AND registry_id IN (SELECT registry_id FROM u)) UNION ALL SELECT *, true FROM u)
     SELECT url, ord, restored FROM k QUALIFY row_number() OVER (PARTITION BY url ORDER BY restored, CASE st WHEN 'success' THEN 3 WHEN 'partial' THEN 2 ELSE 0 END DESC, ord) = 1""",
 )
 def fallback_overlay(spark, sf_dir):
@@ -236,12 +236,12 @@ def fallback_overlay(spark, sf_dir):
 
 TERMS = ["licensed", "rights reserved", "password", "example.com"]
 EXCLUDED = ["!!", "***"]
-SQL_TITLE_OF = "substr(split_part(text, chr(10), 1), 1, 120)"
+SQL_TITLE_OF = "split_part(text, chr(10), 1)"
 
 
 def titled(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.col("source").alias("publisher"), "lang", "text", F.substring(F.substring_index("text", "\n", 1), 1, 120).alias("title"))
+    return docs.select("doc_id", F.col("source").alias("publisher"), "lang", "text", F.substring_index("text", "\n", 1).alias("title"))
 
 
 def _sql_any(column: str, terms: list[str]) -> str:
@@ -387,9 +387,10 @@ def near_dup_pairs(spark, sf_dir):
 
 @query("near_dup_groups", None)
 def near_dup_groups(spark, sf_dir):
-    """Every document with the one that leads its near-title group."""
-    rows = scored(spark, sf_dir).select(F.col("doc_id").alias("ord"), "publisher", "title", "score")
-    return cluster.group_titles(rows).select(F.col("ord").alias("doc_id"), F.col("leader").alias("leader_id"))
+    """Every page with the one that leads its host's group of near titles; pages have titles as such, documents a first line."""
+    title = F.regexp_extract("html", r"(?is)<title>(.*?)</title>", 1)
+    rows = table(spark, sf_dir, "pages").select(F.col("page_id").alias("ord"), urls.host(F.col("url")).alias("publisher"), title.alias("title"), F.pmod("page_id", F.lit(5)).cast("int").alias("score"))
+    return cluster.group_titles(rows).select(F.col("ord").alias("page_id"), F.col("leader").alias("leader_id"))
 
 
 @query(
@@ -563,13 +564,13 @@ def claim_ids(spark, sf_dir):
 
 @query(
     "ranked_stories",
-    "SELECT 'story_' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 12) AS story_id, CAST(rank AS INTEGER) AS rank, CASE WHEN rank < 5 THEN 'deep_dive' ELSE 'brief' END AS article_type, CAST(greatest(70, 96 - 3 * rank) AS INTEGER) AS editorial_score FROM (SELECT o_orderkey, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 9 END, o_orderdate, CAST(o_orderkey AS VARCHAR)) - 1 AS rank FROM orders WHERE o_totalprice > 400000)",
+    "SELECT 'story_' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 12) AS story_id, CAST(rank AS BIGINT) AS rank, CASE WHEN rank < 5 THEN 'deep_dive' ELSE 'brief' END AS article_type, CAST(greatest(70, 96 - 3 * rank) AS INTEGER) AS editorial_score FROM (SELECT o_orderkey, row_number() OVER (ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 ELSE 9 END, o_orderdate, CAST(o_orderkey AS VARCHAR)) - 1 AS rank FROM orders)",
 )
 def ranked_stories(spark, sf_dir):
-    """Stories of the few largest orders: an issue's events are a handful, so one ranking task is bounded."""
+    """A story of each order, in editorial order."""
     level = F.when(F.col("o_orderpriority") == "1-URGENT", "priority.p0").when(F.col("o_orderpriority") == "2-HIGH", "priority.p1").when(F.col("o_orderpriority") == "3-MEDIUM", "priority.p2").otherwise("none")
-    rows = table(spark, sf_dir, "orders").filter("o_totalprice > 400000").select(F.col("o_orderkey").cast("string").alias("event_id"), level.alias("priority"), F.col("o_orderdate").alias("event_at"), F.lit("order").alias("canonical_title"), F.lit("order").alias("fact_summary"), F.lit("none").alias("limitations"), F.array(F.lit("clm")).alias("claim_ids"))
-    return editorial.stories(rows).select("story_id", F.col("rank").cast("int").alias("rank"), "article_type", F.col("editorial_score").cast("int").alias("editorial_score"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("event_id"), level.alias("priority"), F.col("o_orderdate").alias("event_at"), F.lit("order").alias("canonical_title"), F.lit("order").alias("fact_summary"), F.lit("none").alias("limitations"), F.array(F.lit("clm")).alias("claim_ids"))
+    return editorial.stories(rows).select("story_id", "rank", "article_type", F.col("editorial_score").cast("int").alias("editorial_score"))
 
 
 # ---------------------------------------------------------------- parsers, fed with bodies made of the tables

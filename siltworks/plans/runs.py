@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions import records, scoring, text
-from siltworks.operators import cluster, dedupe, predicates, review, select, summaries, validate
+from siltworks.operators import cluster, dedupe, editorial, enrich, joins, predicates, review, select, summaries, validate
+from siltworks.sources import sinks
 
 #: The states of a run and where each may go.
 MOVES = {"initialized": {"running"}, "running": {"waiting_for_review", "completed", "failed"}, "waiting_for_review": {"running"}, "failed": {"running"}, "completed": set()}
@@ -58,15 +59,17 @@ class Structured:
     summary: DataFrame
 
 
-def structure(source_records: DataFrame, rules: scoring.Rules, quota: select.Quota, fixed: str | None = None) -> Structured:
+def structure(source_records: DataFrame, rules: scoring.Rules, quota: select.Quota, fixed: str | None = None, fixed_title: str | None = None) -> Structured:
     """Readable records to a shortlist: score, split, group near titles, roll up, select."""
     readable = source_records.filter("access_status = 'success'").withColumn("ord", F.xxhash64("source_id"))
     scored = scoring.score_records(readable, rules, title="raw_title", excerpt="raw_excerpt", source_name=F.col("source_name"), context=F.col("discovery_context"))
     scored = predicates.split_scored(scored.withColumn("title", F.col("raw_title")), rules.minimum_score)
     signals = text.matches(F.concat_ws(" ", "raw_title", F.coalesce("raw_excerpt", F.lit(""))), sorted({t for r in rules.routes.values() for t in r}))
     routed = scored.filter("decision in ('eligible', 'below_threshold')").withColumn("signals", signals)
-    grouped = cluster.group_titles(routed)
-    rolled = cluster.roll_up(grouped, fixed=fixed)
+    # Records of the fixed source are a cluster of their own and lead no title group.
+    ours = F.coalesce(F.col("source_name") == fixed, F.lit(False)) if fixed else F.lit(False)
+    grouped = cluster.group_titles(routed.filter(~ours)).unionByName(routed.filter(ours).withColumn("leader", F.col("ord")))
+    rolled = cluster.roll_up(grouped, fixed=fixed, fixed_title=fixed_title)
     members = rolled.select("candidate_id", F.explode("source_ids").alias("source_id")).join(readable.select("source_id", "source_type", F.concat_ws(" ", "raw_title", F.coalesce("raw_excerpt", F.lit(""))).alias("said")), "source_id")
     own = members.groupBy("candidate_id").agg(F.collect_list("source_type").alias("types"), F.lower(F.array_join(F.array_sort(F.collect_list("said")), " ")).alias("said"))
     typed = rolled.join(own, "candidate_id").withColumn("type", scoring.classify_type(F.col("said"), F.col("types"), rules)["kind"]).withColumn("tags", scoring.atomic_tags(F.col("said"), F.col("primary_route"), rules) if rules.tags else F.lit(None)).drop("said", "types")
@@ -109,18 +112,26 @@ def latest(folder: str) -> Run:
     return Run.load(folder, (Path(folder) / "latest").read_text().strip())
 
 
-def start(run: Run, source_records: DataFrame, rules: scoring.Rules, quota: select.Quota, tables: str, *, most: int = 10, fixed: str | None = None) -> DataFrame:
-    """Validates, structures and writes the queue, then waits for a person; returns the queue."""
+def start(run: Run, source_records: DataFrame, rules: scoring.Rules, quota: select.Quota, tables: str, *, most: int = 10, fixed: str | None = None, fixed_title: str | None = None, provider: enrich.Provider | None = None, cache: DataFrame | None = None, settings: enrich.Settings | None = None) -> DataFrame:
+    """Validates, structures, enriches and writes the queue, then waits for a person; returns the queue.
+
+    With a ``provider`` the best of the shortlist, at most ``settings.most_candidates``, get
+    a model's type, priority and relevance; its answers are written for the next run's ``cache``.
+    """
     spark = source_records.sparkSession
     run.move("running")
     try:
         broken = validate.source_records(source_records)
         if not broken.isEmpty():
             raise ValueError(f"source records break {sorted(r.rule for r in broken.select('rule').distinct().collect())}")
-        made = structure(source_records, rules, quota, fixed)
+        made = structure(source_records, rules, quota, fixed, fixed_title)
         made.candidates.write.mode("overwrite").parquet(f"{tables}/{run.run_id}/candidates")
         kept = spark.read.parquet(f"{tables}/{run.run_id}/candidates").filter("status = 'selected'")
-        queue = select.review_queue(kept.withColumn("model_priority", F.lit(None).cast("string")).withColumn("relevance", F.lit(0)), most=most, type_minimums={})
+        if provider is None:
+            judged = kept.withColumn("model_priority", F.lit(None).cast("string")).withColumn("relevance", F.lit(0))
+        else:
+            judged = enriched(kept, source_records, rules, provider, cache, settings or enrich.Settings(), f"{tables}/{run.run_id}/answers")
+        queue = select.review_queue(judged, most=most, type_minimums=quota.type_minimums)
         queue.write.mode("overwrite").parquet(f"{tables}/{run.run_id}/queue")
     except Exception:
         run.move("failed")
@@ -129,14 +140,59 @@ def start(run: Run, source_records: DataFrame, rules: scoring.Rules, quota: sele
     return spark.read.parquet(f"{tables}/{run.run_id}/queue")
 
 
+def enriched(kept: DataFrame, source_records: DataFrame, rules: scoring.Rules, provider: enrich.Provider, cache: DataFrame | None, settings: enrich.Settings, path: str) -> DataFrame:
+    """``kept`` with the model's type where it gave one, ``model_priority`` and ``relevance``; answers go to ``path``."""
+    asked = kept.orderBy(F.col("score").desc(), "title", "candidate_id").limit(settings.most_candidates)
+    wanted = enrich.inputs(asked, joins.members(asked, source_records))
+    enrich.enrich(wanted, cache, provider, settings.batch).write.mode("overwrite").parquet(path)
+    answers = kept.sparkSession.read.parquet(path)
+    analyses = enrich.clamp_sources(answers.select("analysis.*"), asked)
+    broken = enrich.violations(analyses, asked, list(rules.types))
+    found = sorted({r.rule for r in broken.select("rule").distinct().collect()})
+    if found:
+        raise ValueError(f"the model's answers break {', '.join(found)}")
+    told = analyses.select("candidate_id", F.col("intelligence_type").alias("_type"), F.col("recommended_disposition").alias("model_priority"), F.col("strategy_relevance_score").alias("relevance"), F.col("verification_questions").alias("model_questions"))
+    return kept.join(told, "candidate_id", "left").withColumn("type", F.coalesce("_type", "type")).drop("_type")
+
+
+def publish(run: Run, spark: SparkSession, tables: str) -> dict[str, DataFrame]:
+    """Writes and validates the issue of the run's claims and events: stories, trends, days, their events, and a report."""
+    base = f"{tables}/{run.run_id}"
+    claims, events = (spark.read.parquet(f"{base}/{n}") for n in ("claims", "events"))
+    days, trends = editorial.timeline(events, category="event_type"), editorial.trends(events)
+    made = {
+        "stories": editorial.stories(events),
+        "days": days,
+        "trends": trends,
+        "day_members": editorial.day_members(events, days),
+        "trend_members": editorial.trend_members(events, trends),
+        "issue": editorial.issue(events),
+    }
+    for name, frame in made.items():
+        frame.write.mode("overwrite").parquet(f"{base}/{name}")
+    made = {name: spark.read.parquet(f"{base}/{name}") for name in made}
+    broken = validate.issue(made["stories"], events, claims, made["days"], made["trends"])
+    rules = sorted({r.rule for r in broken.select("rule").distinct().collect()})
+    if rules:
+        raise ValueError(f"the issue breaks {', '.join(rules)}")
+    report = sinks.event_report(review.ranked_events(events), made["days"])
+    spark.createDataFrame([(report,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/report", lineSep="\n")
+    return made
+
+
 def resume(run: Run, spark: SparkSession, reviews: DataFrame, tables: str, **gate) -> tuple[DataFrame, DataFrame]:
-    """(claims, events) of the approved review; a review that breaks a rule leaves the run waiting."""
+    """(claims, events) of the approved review, with the issue written; a review that breaks a rule leaves the run waiting."""
     if run.state != "waiting_for_review":
         raise ValueError(f"a run in state {run.state} does not wait for a review")
     candidates, queue = (spark.read.parquet(f"{tables}/{run.run_id}/{n}") for n in ("candidates", "queue"))
     claims, events = review.build(reviews, candidates.filter("status = 'selected'"), queue, **gate)
     run.move("running")
-    claims.write.mode("overwrite").parquet(f"{tables}/{run.run_id}/claims")
-    events.write.mode("overwrite").parquet(f"{tables}/{run.run_id}/events")
+    try:
+        claims.write.mode("overwrite").parquet(f"{tables}/{run.run_id}/claims")
+        events.write.mode("overwrite").parquet(f"{tables}/{run.run_id}/events")
+        publish(run, spark, tables)
+    except Exception:
+        run.move("failed")
+        raise
     run.move("completed")
     return spark.read.parquet(f"{tables}/{run.run_id}/claims"), spark.read.parquet(f"{tables}/{run.run_id}/events")

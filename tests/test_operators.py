@@ -22,6 +22,12 @@ def test_best_access_and_overlay(spark):
     kind = "registry_id string, canonical_url string, access_status string, ord long, published_at timestamp"
     got = dedupe.overlay_fallback(spark.createDataFrame(cur, kind), spark.createDataFrame(old, kind), T("2026-08-05"), T("2026-08-12"))
     assert {(r.canonical_url, r.restored) for r in got.collect()} == {("u2", False), ("u3", True)}
+    # A failed source without records, named by its check; of a restored source what was no success goes.
+    cur = [("a", "u1", "blocked", 1, at), ("a", "u6", "success", 7, at), ("c", "u7", "partial", 8, at)]
+    failed = spark.createDataFrame([("a",), ("b",)], "registry_id string")
+    made = dedupe.overlay_fallback(*[spark.createDataFrame(x, kind).withColumn("discovery_context", F.lit("")) for x in (cur, old)], T("2026-08-05"), T("2026-08-12"), failed=failed, run_id="r9")
+    assert {(r.canonical_url, r.restored, r.discovery_context) for r in made.collect()} == {("u6", False, ""), ("u7", False, ""), *((u, True, "fallback_collection:r9") for u in ("u2", "u3", "u5"))}
+    assert {(r.registry_id, r.restored_records) for r in dedupe.fallback_counts(made).collect()} == {("a", 2), ("b", 1)}
 
 
 def greedy(rows, threshold=0.9):
@@ -54,6 +60,44 @@ def test_near_title_groups_are_the_greedy_ones(spark):
     assert got == greedy([(p, s, t, norm[o], o) for o, p, t, s in rows])
 
 
+def test_titles_without_spaces_are_compared_by_characters(spark):
+    rng = random.Random(9)
+    letters = [chr(0x4E00 + i) for i in range(60)]
+    base = ["".join(rng.choices(letters, k=rng.choice([9, 12, 20, 31]))) for _ in range(10)] + ["one-word-title here", "ab", "a"]
+    titles = []
+    for _ in range(110):
+        t = list(rng.choice(base))
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(t))
+            t[k : k + rng.randrange(2)] = rng.choice(letters) if rng.random() < 0.7 else ""
+            t = t or ["x"]
+        titles.append("".join(t))
+    rows = [(i, rng.choice(["p", None]), t, rng.randrange(4)) for i, t in enumerate(titles)]
+    df = spark.createDataFrame(rows, "ord long, publisher string, title string, score int")
+    got = {r.ord: r.leader for r in cluster.group_titles(df).collect()}
+    norm = {r.ord: r.n for r in df.select("ord", normalize_title(F.col("title")).alias("n")).collect()}
+    want = greedy([(p, s, t, norm[o], o) for o, p, t, s in rows])
+    assert got == want and len(set(want.values())) < len(set(zip(norm.values(), [r[1] for r in rows])))
+
+
+def test_candidate_ids_and_the_fixed_cluster(spark):
+    import hashlib
+
+    day = lambda d: dt.datetime(2026, 8, d)
+    rows = [(1, 1, 5, "late", "repo", "r", [], "s1", "u1", day(9), []), (2, 2, 9, "best", "repo", "r2", [], "s2", "u2", day(8), []), (3, 3, 1, "early", "repo", "r", [], "s3", "u3", day(7), [])]
+    df = spark.createDataFrame(rows, "ord long, leader long, score int, title string, source_name string, primary_route string, secondary_routes array<string>, source_id string, canonical_url string, published_at timestamp, signals array<string>")
+    (r,) = cluster.roll_up(df, fixed="repo", fixed_title="The repository").collect()
+    assert r.candidate_id == "cand_" + hashlib.sha256(b"The repository2026-08-07T00:00:00Z").hexdigest()[:16]
+    assert (r.canonical_title, r.source_ids, r.score, r.primary_route) == ("The repository", ["s3", "s2", "s1"], 12, "r2")
+
+
+def test_stories_are_ranked_without_one_task(spark):
+    rows = [(f"e{i:03d}", ["priority.p0", "priority.p1", "none"][i % 3], dt.datetime(2026, 8, 1 + i % 4, i % 7)) for i in range(90)] + [("e900", "none", None)]
+    df = spark.createDataFrame(rows, "event_id string, priority string, event_at timestamp")
+    want = sorted(rows, key=lambda r: ({"priority.p0": 0, "priority.p1": 1}.get(r[1], 9), r[2] or dt.datetime(1, 1, 1), r[0]))
+    assert [r.event_id for r in editorial.ranked(df).orderBy("rank").collect()] == [r[0] for r in want]
+
+
 def test_roll_up(spark):
     at = dt.datetime(2026, 8, 5)
     rows = [(1, 1, 5, "b", "repo", "r", [], "s1", "u1", at, ["x"]), (2, 1, 9, "a", "blog", "r2", ["r"], "s2", "u2", None, ["y", "x"]), (3, 3, 1, "c", "fixed", "r", [], "s3", "u3", at, [])]

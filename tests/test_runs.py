@@ -53,6 +53,12 @@ def test_run_waits_for_a_person(spark, collected, tmp_path):
     assert run.state == "waiting_for_review"
     claims, events = runs.resume(run, spark, spark.createDataFrame(rows, review.REVIEW), str(tmp_path / "tables"), **gate)
     assert claims.count() == events.count() == 6
+    base = tmp_path / "tables" / "run_1"
+    stories = spark.read.parquet(str(base / "stories")).orderBy("rank").collect()
+    assert [s.article_type for s in stories] == ["deep_dive"] * 5 + ["brief"] and spark.read.parquet(str(base / "days")).count() == 7
+    assert {r.event_id for r in spark.read.parquet(str(base / "trend_members")).collect()} == {f"e{i}" for i in range(6)}
+    assert {r.story_id for r in spark.read.parquet(str(base / "day_members")).collect()} == {s.story_id for s in stories}
+    assert "# Verified events" in spark.read.text(str(base / "report")).first().value and spark.read.parquet(str(base / "issue")).first().events == 6
     assert runs.Run.load(str(tmp_path / "state"), "run_1").history == ["initialized", "running", "waiting_for_review", "running", "completed"]
     with pytest.raises(ValueError):
         run.move("running")
@@ -63,3 +69,33 @@ def test_bad_records_fail_the_run(spark, collected, tmp_path):
     with pytest.raises(ValueError, match="canonical_url"):
         runs.start(run, collected[0][0].withColumn("canonical_url", F.lit("nope")), RULES, QUOTA, str(tmp_path / "t"))
     assert run.state == "failed"
+
+
+def test_enriched_run(spark, collected, tmp_path):
+    records, asked = collected[0][0], str(tmp_path / "asked")
+
+    def provider(texts):
+        import json
+        from pathlib import Path
+
+        from siltworks.operators import enrich
+
+        with open(asked, "a") as file:
+            file.write("x" * len(texts))
+        assert Path(asked).exists()
+        return [json.dumps(json.loads(a) | {"intelligence_type": "t.y", "strategy_relevance_score": 40, "recommended_disposition": "p2"}) for a in enrich.stub(texts)]
+
+    run = runs.Run(str(tmp_path / "state"), "run_e")
+    settings = enrich_settings(4)
+    queue = runs.start(run, records, RULES, QUOTA, str(tmp_path / "tables"), provider=provider, settings=settings).collect()
+    assert len(open(asked).read()) == 4 and sum(r.model_priority == "p2" for r in queue) == 4 and all(r.type == "t.y" for r in queue if r.model_priority)
+    # Equal inputs are not asked again.
+    cache = spark.read.parquet(str(tmp_path / "tables" / "run_e" / "answers"))
+    again = runs.start(runs.Run(str(tmp_path / "state"), "run_f"), records, RULES, QUOTA, str(tmp_path / "tables"), provider=provider, cache=cache.union(cache), settings=settings)
+    assert again.count() == len(queue) and len(open(asked).read()) == 4
+
+
+def enrich_settings(most):
+    from siltworks.operators import enrich
+
+    return enrich.Settings(most_candidates=most)
