@@ -671,10 +671,39 @@ def verification_questions(spark, sf_dir):
     return scored(spark, sf_dir).select("doc_id", F.array_join(asked, "|").alias("questions"))
 
 
-@query(
-    "processing_summary",
-    "SELECT CASE WHEN n > 1 THEN 'near_title' ELSE 'single' END AS method, count(*) AS candidates, CAST(sum(n) AS BIGINT) AS members, CAST(sum(n - 1) AS BIGINT) AS collapsed FROM (SELECT source, text, count(*) AS n FROM documents GROUP BY 1, 2) GROUP BY 1",
-)
+SQL_ROLLED = """
+WITH o AS (SELECT o_orderkey AS ord, o_custkey AS leader, CAST(floor(o_totalprice / 10000) AS INTEGER) AS score, o_orderpriority || ' ' || o_orderstatus AS title, o_orderdate AS day FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY leader ORDER BY score DESC, title, ord) AS r FROM o),
+c AS (SELECT leader, max(title) FILTER (r = 1) AS title, max(score) FILTER (r = 1) AS score, max(day) FILTER (r = 1) AS lead_at, min(day) AS first_at, string_agg('s' || ord, ',' ORDER BY r) AS source_ids, CAST(count(*) AS INTEGER) AS source_count FROM r GROUP BY 1)
+SELECT 'cand_' || substr(sha256(title || strftime(lead_at, '%Y-%m-%dT%H:%M:%SZ')), 1, 16) AS candidate_id, title AS canonical_title, score, source_ids, source_count, CAST(CAST(first_at AS DATE) AS VARCHAR) AS first_day,
+  CASE WHEN source_count > 1 THEN 'near_title' ELSE 'single' END AS method FROM c"""
+
+
+def rolled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer's orders as the members of one group, rolled up to a candidate."""
+    none = F.array().cast("array<string>")
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("ord"),
+        F.col("o_custkey").alias("leader"),
+        F.floor(F.col("o_totalprice") / 10000).cast("int").alias("score"),
+        F.concat_ws(" ", "o_orderpriority", "o_orderstatus").alias("title"),
+        F.lit("orders").alias("source_name"),
+        F.col("o_orderpriority").alias("primary_route"),
+        none.alias("secondary_routes"),
+        F.concat(F.lit("s"), F.col("o_orderkey").cast("string")).alias("source_id"),
+        F.concat(F.lit("https://o.org/"), F.col("o_orderkey").cast("string")).alias("canonical_url"),
+        F.col("o_orderdate").cast("timestamp").alias("published_at"),
+        none.alias("signals"),
+    )
+    return cluster.roll_up(rows)
+
+
+@query("candidate_rollup", SQL_ROLLED)
+def candidate_rollup(spark, sf_dir):
+    rolled = rolled_orders(spark, sf_dir)
+    return rolled.select("candidate_id", "canonical_title", "score", F.array_join("source_ids", ",").alias("source_ids"), "source_count", F.to_date("published_at").cast("string").alias("first_day"), "method")
+
+
+@query("processing_summary", f"SELECT method, count(*) AS candidates, CAST(sum(source_count) AS BIGINT) AS members, CAST(sum(source_count - 1) AS BIGINT) AS collapsed FROM ({SQL_ROLLED}) GROUP BY 1")
 def processing_summary(spark, sf_dir):
-    same = table(spark, sf_dir, "documents").groupBy("source", F.sha2(F.col("text").cast("binary"), 256).alias("h")).agg(F.count("*").alias("source_count"))
-    return summaries.processing_summary(same.withColumn("method", F.when(F.col("source_count") > 1, "near_title").otherwise("single")))
+    return summaries.processing_summary(rolled_orders(spark, sf_dir))
