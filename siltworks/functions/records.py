@@ -111,7 +111,7 @@ def focused_excerpt(pages: Column, terms: list[str], *, max_pages: int = 5, befo
 
 def focus_context(terms: Column) -> Column:
     """``watchlist_focus:a,b`` of the non-empty terms, or an empty string."""
-    kept = F.filter(F.transform(terms, F.btrim), lambda t: t != "")
+    kept = F.filter(F.transform(terms, lambda t: F.btrim(t)), lambda t: t != "")
     return F.when(F.size(kept) > 0, F.concat(F.lit("watchlist_focus:"), F.array_join(kept, ","))).otherwise("")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.functions import ids
-from siltworks.operators.review import priority_rank
+from siltworks.operators.review import ranked
 
 
 def trends(events: DataFrame, *, route: str = "primary_route", name: str = "entity_name", order: str = "event_id", top: int = 4) -> DataFrame:
@@ -65,20 +65,6 @@ def day_members(events: DataFrame, days: DataFrame, *, at: str = "event_at") ->
     return placed.select("day", "event_id", ids.story_id(F.col("event_id")).alias("story_id"))
 
 
-def ranked(events: DataFrame) -> DataFrame:
-    """``events`` with ``rank`` from 0 by priority, time and id.
-
-    Days are counted, the few counts are added up, and rows are ranked inside their day,
-    so no task sees more than a day's events of one priority.
-    """
-    dated = events.withColumn("_p", priority_rank()).withColumn("_d", F.to_date("event_at"))
-    per = dated.groupBy("_p", "_d").agg(F.count("*").alias("n"))
-    base = per.select("_p", "_d", (F.sum("n").over(Window.orderBy("_p", "_d")) - F.col("n")).alias("_base"))
-    inside = F.row_number().over(Window.partitionBy("_p", "_d").orderBy("event_at", "event_id")) - 1
-    joined = dated.withColumn("_in", inside).alias("e").join(base.alias("b"), F.col("e._p").eqNullSafe(F.col("b._p")) & F.col("e._d").eqNullSafe(F.col("b._d")))
-    return joined.select(*[F.col(f"e.`{c}`") for c in events.columns], (F.col("_base") + F.col("_in")).alias("rank"))
-
-
 def stories(events: DataFrame, *, top: int = 5) -> DataFrame:
     """One story per event: deep dives first, with default score and reading time by rank."""
     part = lambda text, kind: F.struct(text.alias("text"), F.col("claim_ids").alias("claim_ids"), F.lit(kind).alias("statement_type"))
@@ -100,3 +86,16 @@ def stories(events: DataFrame, *, top: int = 5) -> DataFrame:
 def issue(events: DataFrame) -> DataFrame:
     """One row: the issue's id by the ISO week of its last event, and its size."""
     return events.agg(F.max(F.to_date("event_at")).alias("last_day"), F.count("*").alias("events")).select(ids.issue_id(F.col("last_day")).alias("issue_id"), "last_day", "events")
+
+
+def bundle(stories: DataFrame, events: DataFrame, claims: DataFrame, reviews: DataFrame) -> DataFrame:
+    """One row per story with its event, the review behind it and its claims in the event's order.
+
+    An event's claims are one review's, so what is collected for a story is small.
+    """
+    cited = events.select("event_id", F.posexplode("claim_ids").alias("place", "claim_id")).join(claims, "claim_id")
+    claim = F.struct("place", "claim_id", "claim_text", "claim_kind", "source_locator", "source_id")
+    own = cited.groupBy("event_id").agg(F.array_sort(F.collect_list(claim)).alias("claims"), F.min("candidate_id").alias("candidate_id"))
+    told = reviews.select("candidate_id", F.struct("candidate_id", "url", "verification_status", "decision", "decision_reason").alias("review"))
+    whole = events.select("event_id", F.struct(*events.columns).alias("event")).join(own, "event_id", "left").join(told, "candidate_id", "left").drop("candidate_id")
+    return stories.join(whole, F.col("primary_event_id") == F.col("event_id"), "left").drop("event_id")

@@ -116,10 +116,23 @@ def priority_rank(column: str = "priority"):
     return rank
 
 
+def ranked(events: DataFrame) -> DataFrame:
+    """``events`` with ``rank`` from 0 by priority, time and id.
+
+    Days are counted, the few counts are added up, and rows are ranked inside their day,
+    so no task sees more than a day's events of one priority.
+    """
+    dated = events.withColumn("_p", priority_rank()).withColumn("_d", F.to_date("event_at"))
+    per = dated.groupBy("_p", "_d").agg(F.count("*").alias("n"))
+    base = per.select("_p", "_d", (F.sum("n").over(Window.orderBy("_p", "_d")) - F.col("n")).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("_p", "_d").orderBy("event_at", "event_id")) - 1
+    joined = dated.withColumn("_in", inside).alias("e").join(base.alias("b"), F.col("e._p").eqNullSafe(F.col("b._p")) & F.col("e._d").eqNullSafe(F.col("b._d")))
+    return joined.select(*[F.col(f"e.`{c}`") for c in events.columns], (F.col("_base") + F.col("_in")).alias("rank"))
+
+
 def ranked_events(found: DataFrame, top: int = 5) -> DataFrame:
-    """Events with their rank by priority, then the oldest, and whether they are among the first."""
-    rank = F.row_number().over(Window.orderBy(priority_rank(), "event_at", "event_id"))
-    return found.withColumn("rank", rank).withColumn("is_top", F.col("rank") <= top)
+    """Events with their rank from 1 by priority, then the oldest, and whether they are among the first."""
+    return ranked(found).withColumn("rank", F.col("rank") + 1).withColumn("is_top", F.col("rank") <= top)
 
 
 def independent_publishers(found: DataFrame, sources: DataFrame) -> DataFrame:

@@ -48,8 +48,13 @@ def collect(pages: DataFrame, registry: DataFrame, adapters: dict[str, Adapter],
     made = records.to_source_record(rows, collected_at=F.lit(collected_at).cast("timestamp"), discovery_context=F.coalesce(F.col("discovery_context") if "discovery_context" in rows.columns else F.lit(None).cast("string"), F.col("adapter")))
     # The content hash orders records of one url that have the same access.
     best = dedupe.best_access(made.withColumn("ord", F.xxhash64("source_url", "content_hash"))).drop("ord")
-    checks = specs.select("registry_id", "adapter").join(best.groupBy("registry_id").agg(F.count_if(F.col("access_status") == "success").alias("accepted"), F.max("failure_reason").alias("reason")), "registry_id", "left")
-    return best, checks.select("registry_id", "adapter", F.when(F.coalesce("accepted", F.lit(0)) > 0, "success").when(F.col("reason").isNotNull(), "failed").otherwise("success").alias("status"), F.coalesce("accepted", F.lit(0)).alias("accepted"), "reason")
+    # A source without any landed page was not fetched; one whose pages gave nothing new is a success.
+    landed = pages.select("registry_id").distinct().withColumn("_landed", F.lit(True))
+    found = best.groupBy("registry_id").agg(F.count_if(F.col("access_status") == "success").alias("accepted"), F.max("failure_reason").alias("reason"))
+    checks = specs.select("registry_id", "adapter").join(found, "registry_id", "left").join(landed, "registry_id", "left")
+    accepted = F.coalesce("accepted", F.lit(0))
+    why = F.when(F.col("_landed").isNull(), "not fetched").otherwise(F.col("reason"))
+    return best, checks.select("registry_id", "adapter", F.when(accepted > 0, "success").when(why.isNotNull(), "failed").otherwise("success").alias("status"), accepted.alias("accepted"), why.alias("reason"))
 
 
 @dataclass
@@ -155,8 +160,8 @@ def enriched(kept: DataFrame, source_records: DataFrame, rules: scoring.Rules, p
     return kept.join(told, "candidate_id", "left").withColumn("type", F.coalesce("_type", "type")).drop("_type")
 
 
-def publish(run: Run, spark: SparkSession, tables: str) -> dict[str, DataFrame]:
-    """Writes and validates the issue of the run's claims and events: stories, trends, days, their events, and a report."""
+def publish(run: Run, spark: SparkSession, tables: str, reviews: DataFrame) -> dict[str, DataFrame]:
+    """Writes and validates the issue of the run's claims and events: stories, trends, days, their events, the bundle and reports."""
     base = f"{tables}/{run.run_id}"
     claims, events = (spark.read.parquet(f"{base}/{n}") for n in ("claims", "events"))
     days, trends = editorial.timeline(events, category="event_type"), editorial.trends(events)
@@ -175,11 +180,18 @@ def publish(run: Run, spark: SparkSession, tables: str) -> dict[str, DataFrame]:
     rules = sorted({r.rule for r in broken.select("rule").distinct().collect()})
     if rules:
         raise ValueError(f"the issue breaks {', '.join(rules)}")
-    report = sinks.event_report(review.ranked_events(events), made["days"])
-    spark.createDataFrame([(report,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/report", lineSep="\n")
+    editorial.bundle(made["stories"], events, claims, reviews).write.mode("overwrite").json(f"{base}/bundle")
+    candidates, queue = (spark.read.parquet(f"{base}/{n}") for n in ("candidates", "queue"))
+    sizes = {"candidates": candidates, "queued": queue, "reviewed": reviews, "claims": claims, "events": events, "stories": made["stories"]}
+    write_text(spark, f"{base}/report", sinks.event_report(review.ranked_events(events), made["days"]))
+    write_text(spark, f"{base}/run_report", sinks.run_report(run.run_id, run.history, {name: frame.count() for name, frame in sizes.items()}))
     return made
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path, lineSep="\n")
+
+
 def resume(run: Run, spark: SparkSession, reviews: DataFrame, tables: str, **gate) -> tuple[DataFrame, DataFrame]:
     """(claims, events) of the approved review, with the issue written; a review that breaks a rule leaves the run waiting."""
     if run.state != "waiting_for_review":
@@ -190,7 +202,7 @@ def resume(run: Run, spark: SparkSession, reviews: DataFrame, tables: str, **gat
     try:
         claims.write.mode("overwrite").parquet(f"{tables}/{run.run_id}/claims")
         events.write.mode("overwrite").parquet(f"{tables}/{run.run_id}/events")
-        publish(run, spark, tables)
+        publish(run, spark, tables, reviews)
     except Exception:
         run.move("failed")
         raise

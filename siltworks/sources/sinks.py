@@ -49,6 +49,11 @@ def event_report(events: DataFrame, days: DataFrame, top: int = 5) -> str:
     return "\n".join(lines) + "\n"
 
 
+def run_report(run_id: str, history: list[str], sizes: dict[str, int]) -> str:
+    """The states a run went through and how many rows each of its tables has."""
+    return "\n".join([f"# Run {run_id}", "", "States: " + ", ".join(history), "", *(f"- {name}: {n}" for name, n in sizes.items()), ""])
+
+
 def review_instructions(run_id: str, queued: int) -> str:
     return "\n".join([f"# Review of {run_id}", "", f"{queued} candidates wait.", "", "1. Check each primary source and set verification_status.", "2. Give every candidate claims with text, kind and locator, a limitation, a decision and its reason.", "3. Set review_status to approved, with verified_at and verified_by.", ""])
 

@@ -1,7 +1,7 @@
 import pytest
 from conftest import SMALL, table
 
-from siltworks.plans import catalogue
+from siltworks.plans import catalogue, run_queries  # noqa: F401
 
 
 @pytest.mark.parametrize("name", list(catalogue.QUERIES))
