@@ -194,7 +194,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, n: int) -> D
     return both.select("ta", "tb", "a", "b", *more).mapInArrow(run, ", ".join(f"{c} bigint" for c in ["a", "b", *more]))
 
 
-def _prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int) -> DataFrame:
+def _prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int, keep=lambda frame, name: frame) -> DataFrame:
     """Pairs (a, b) of different classes (ca, cb) that can reach the threshold; none that does is left out.
 
     Prefix filter: with each text's shingles ordered by how few texts hold them, two
@@ -211,7 +211,9 @@ def _prefix_pairs(rest: DataFrame, texts: DataFrame, threshold: float, n: int) -
                 take = pa.array(sr)
                 yield pa.record_batch([batch.column(0).slice(a, b - a).take(take), batch.column(2).slice(a, b - a).take(take), pa.array(size[sr]), pa.array(sh.view(np.int64))], names=["k", "c", "n", "s"])
 
-    each = texts.filter(may_be_in(rest.select("k"), F.col("k"))).join(rest, "k").select("k", "t", "c").mapInArrow(run, "k bigint, c bigint, n bigint, s bigint")
+    # Written before the next step, so that a task needs one Python worker at a time.
+    near = keep(texts.filter(may_be_in(rest.select("k"), F.col("k"))).join(rest, "k").select("k", "t", "c"), "near")
+    each = near.mapInArrow(run, "k bigint, c bigint, n bigint, s bigint")
     held = each.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1")
     shared = each.join(held, "s")
     own = Window.partitionBy("k")
@@ -317,7 +319,8 @@ def text_classes(docs: DataFrame, tables: Tables, *, id_col: str, text_col: str,
         members = stars.select("k", F.explode("in.h").alias("h"))
         members = members.filter(may_be_in(mixed, F.col("h"))).join(mixed, "h", "left_semi").select("k").distinct()
         rest = tables.keep(members.join(_all_roots(stand, root), "k"), "rest")
-        across = tables.keep(_prefix_pairs(rest, texts, threshold, shingle), "across")
+        across = tables.keep(_prefix_pairs(rest, texts, threshold, shingle, tables.keep), "across")
+        tables.drop("near")
         if not across.isEmpty():
             third = tables.keep(_verified(across, texts, threshold, shingle), "links-3")
             joined = components(third.select(F.col("ca").alias("a"), F.col("cb").alias("b")), tables, "merged-2")
