@@ -121,6 +121,9 @@ def text_input(docs, key_col: str, text_col: str):
     """
     from pyspark.sql import functions as F
 
+    from siltworks.llm.workspace import bounded_batches
+
+    bounded_batches(docs.sparkSession)
     inside = text_col.removeprefix(f"{key_col}.") if text_col.startswith(f"{key_col}.") else None
     frame = docs.select(F.col(key_col).alias("_id"), *([] if inside else [F.col(text_col).alias("_text")]))
     return frame, lambda batch: batch.column(0).field(inside) if inside else batch.column(1)

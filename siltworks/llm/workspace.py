@@ -7,10 +7,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltworks.operators.checkpoints import with_checkpoints
 
-__all__ = ["Tables", "scratch", "with_checkpoints"]
+__all__ = ["Tables", "bounded_batches", "scratch", "with_checkpoints"]
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 #: Within ``Tables.keep`` shuffle files go as soon as a query has ended, and Python gets small batches.
-SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", BATCH_SETTING: str(BATCH_BYTES)}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of about ``BATCH_BYTES``, where the session names no size of its own."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
