@@ -125,15 +125,34 @@ def walked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a = b
 
 
-FOLDED = "conv_id {id}, part bigint, state int, piece string, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, n_parts bigint"
+FOLDED = "conv_id {id}, part bigint, rows array<int>, roles array<string>, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, audit string, n_parts bigint"
+ARROW = {"string": pa.string(), "int": pa.int32(), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
 LEGAL = {"su", "ua", "au"}
 
 
+#: The role that the grammar wants next, and the state after a role.
+WANTED = {NOTHING: "user", SYSTEM: "user", USER: "assistant", ASSISTANT: "user"}
+AFTER = {"s": SYSTEM, "u": USER, "a": ASSISTANT}
+
+
+def planned(state: int, piece: str, inits: str) -> tuple[list[int], list[str | None]]:
+    """The turns that a part's letters leave: each one's row (from 1; 0: inserted) and its new role."""
+    rows, roles, at = [], [], 0
+    for letter in piece:
+        at += letter != "I"
+        if letter != "D":
+            role = None if letter == "K" else WANTED[state]
+            rows.append(0 if letter == "I" else at)
+            roles.append(role)
+            state = AFTER[(role or inits[at - 1])[0]]
+    return rows, roles
+
+
 class Fold:
     """One conversation's parts, in order: counts, and the best way into each state."""
 
     def __init__(self):
-        self.parts: list[int] = []
+        self.parts: list[tuple[int, str]] = []
         self.faults = {"b": 0, "d": 0, "t": 0}
         self.illegal = self.n_turns = 0
         self.first = self.last = None
@@ -142,7 +161,7 @@ class Fold:
         self.ways: list[tuple | None] = [(0, "", None), None, None, None]
 
     def add(self, part: int, inits: str, faults: str, first: int | None, last: int | None, n_turns: int, costs: list, audits: list) -> None:
-        self.parts.append(part)
+        self.parts.append((part, inits))
         for k in self.faults:
             self.faults[k] += faults.count(k)
         chain = self.role + inits
@@ -165,9 +184,9 @@ class Fold:
         cost, audit, chain = min((w for w in (self.ways[NOTHING], self.ways[ASSISTANT]) if w), key=lambda w: w[:2])
         n = len(self.parts)
         gaps = self.last - self.first + 1 - self.n_turns if self.first is not None else 0
-        for part in reversed(self.parts):
+        for part, inits in reversed(self.parts):
             chain, state, piece = chain
-            yield conv, part, state, piece, *[None] * 7, n
+            yield conv, part, *planned(state, piece, inits), *[None] * 7, n
         yield conv, None, None, None, gaps, self.faults["b"], self.faults["d"], self.faults["t"], self.illegal, cost, audit, n
 
 
@@ -193,32 +212,6 @@ def folded(schema: pa.Schema):
     return fold
 
 
-def apply_piece(state: int, piece: str, rows: list[tuple[str, str]]) -> list[dict]:
-    """The part's rows after the edits that the letters name."""
-    out, at = [], iter(rows)
-    wanted = {NOTHING: "user", SYSTEM: "user", USER: "assistant", ASSISTANT: "user"}
-    state_of = {"s": SYSTEM, "u": USER, "a": ASSISTANT}
-    for letter in piece:
-        role, text = (wanted[state], "") if letter == "I" else next(at)
-        if letter == "D":
-            continue
-        role = wanted[state] if letter in "IR" else role
-        out.append({"role": role, "text": text})
-        state = state_of[role[0]]
-    return out
-
-
-TURNS = pa.list_(pa.struct([("role", pa.string()), ("text", pa.string())]))
-
-
-def edited(rows: pa.Table, pieces: pa.Table) -> pa.Table:
-    """One part: its rows by position, and its piece of the audit."""
-    order = sorted(zip(*(rows.column(c).to_pylist() for c in ("pos", "role", "text"))), key=lambda r: r[0])
-    state, piece, n_parts = (pieces.column(c)[0].as_py() for c in ("state", "piece", "n_parts"))
-    turns = apply_piece(state, piece, [r[1:] for r in order])
-    return pa.table({"conv_id": rows.column("conv_id").slice(0, 1), "part": rows.column("part").slice(0, 1), "n_parts": pa.array([n_parts], pa.int64()), "turns": pa.array([turns], TURNS)})
-
-
 def repair(turns: DataFrame) -> Repair:
     """Decisions and repaired turns of the conversations of (conv_id, turn, role, text)."""
     spark = turns.sparkSession
@@ -257,11 +250,18 @@ def repair(turns: DataFrame) -> Repair:
     )
     kind = rows.schema["conv_id"].dataType.simpleString()
     ways = parts.mapInArrow(walked, WALKED.format(id=kind)).repartition("conv_id").sortWithinPartitions("conv_id", "part")
-    arrow = pa.schema([(f, {"string": pa.string(), "int": pa.int32()}.get(t, pa.int64())) for f, t in (x.split() for x in FOLDED.format(id=kind).split(", "))])
+    arrow = pa.schema([(f, ARROW.get(t, pa.int64())) for f, t in (x.split() for x in FOLDED.format(id=kind).split(", "))])
     fold = tables.keep(ways.mapInArrow(folded(arrow), FOLDED.format(id=kind)), "folded")
     decisions = fold.filter("part IS NULL").select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "n_parts")
-    pieces = fold.filter("part IS NOT NULL").select("conv_id", "part", "state", "piece", "n_parts")
-    out = placed.select("conv_id", "part", "pos", "role", "text").groupBy("conv_id", "part").cogroup(pieces.groupBy("conv_id", "part")).applyInArrow(edited, f"conv_id {kind}, part bigint, n_parts bigint, turns array<struct<role:string,text:string>>")
+    # A key that is never null, so that texts are shuffled once, by it, for grouping and join.
+    named = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("")).alias("name")
+    plans = fold.filter("part IS NOT NULL").select("conv_id", named, "part", "rows", "roles", "n_parts")
+    own = placed.select(named, "part", F.struct("pos", "role", "text").alias("own")).groupBy("name", "part").agg(F.sort_array(F.collect_list("own")).alias("own"))
+    turn = F.transform(
+        F.arrays_zip("rows", "roles"),
+        lambda p: F.struct(F.coalesce(p["roles"], F.get("own", p["rows"] - 1)["role"]).alias("role"), F.when(p["rows"] == 0, "").otherwise(F.get("own", p["rows"] - 1)["text"]).alias("text")),
+    )
+    out = own.join(plans, ["name", "part"]).select("conv_id", "part", "n_parts", turn.alias("turns"))
     repaired = tables.keep(out, "repaired")
     tables.drop("placed")
     return Repair(decisions, repaired)
