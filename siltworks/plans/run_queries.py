@@ -354,6 +354,28 @@ def card_rows(spark, sf_dir):
     return landed.issue_cards(pages.withColumn("body", twice)).select("registry_id", "place", "issue_url", "title", "excerpt", F.to_date("issue_date").cast("string").alias("d"))
 
 
+SQL_NULL_STATUS = "CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END"
+
+
+def null_status(x):
+    return F.when(x["o_orderstatus"] != "P", F.concat(F.lit('"'), x["o_orderstatus"], F.lit('"'))).otherwise("null")
+
+
+@query("nested_card_rows", f"SELECT registry_id, place, 'https://n.org/p/' || o_orderkey AS issue_url, '{{' || o_orderpriority || '}} \"co\"' AS title, {SQL_NULL_STATUS} AS excerpt, d FROM {SQL_PAGE}")
+def nested_card_rows(spark, sf_dir):
+    """Cards with an author object that has a title too, null excerpts and members in two orders, in a string of a script."""
+    author = F.lit('"author":{"title":"Dr","tags":["]",{"date":"x"}]}')
+    named = lambda x: F.concat(F.lit('"title":"{'), x["o_orderpriority"], F.lit('} \\"co\\""'))
+    link = lambda x: F.concat(F.lit('"href":"/p/'), key_of(x), F.lit('"'))
+    rest = lambda x: F.concat(F.lit('"excerpt":'), null_status(x), F.lit(',"date":"'), day_of(x), F.lit('"'))
+    card = lambda x: F.concat(F.lit("{"), F.when(x["o_orderkey"] % 2 == 0, F.concat_ws(",", named(x), author, link(x), rest(x))).otherwise(F.concat_ws(",", rest(x), link(x), author, named(x))), F.lit("}"))
+    pages = customer_pages(spark, sf_dir, card, '["$","ul",null,{"cards":[', "]}]", ",")
+    # As frameworks do: the data is a string that JavaScript passes on, with other brackets around.
+    escaped = F.replace(F.replace("body", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    body = F.concat(F.lit('<p>{"title":"not a script"}</p><script>var a={b:[1,};</script><script>self.push([1,"1:'), escaped, F.lit('"])</script>'))
+    return landed.issue_cards(pages.withColumn("body", body)).select("registry_id", "place", "issue_url", "title", "excerpt", F.to_date("issue_date").cast("string").alias("d"))
+
+
 @query("item_rows", f"SELECT registry_id, place, 'https://n.org/i/' || o_orderkey AS url, o_orderpriority AS name FROM {SQL_PAGE} WHERE place < 20")
 def item_rows(spark, sf_dir):
     """The linked data's list of at most twenty items."""
@@ -369,6 +391,22 @@ def embedded_rows(spark, sf_dir):
     return landed.embedded_documents(customer_pages(spark, sf_dir, piece, "<script>window.x=[", "]</script>", ",")).select("registry_id", "place", "title", "url", F.to_date("published_at").cast("string").alias("d"))
 
 
+@query("nested_embedded_rows", f"SELECT registry_id, place, 'paper \"' || o_orderkey || '\"' AS title, 'https://n.org/en-US/document-' || o_orderkey AS url, d FROM {SQL_PAGE}")
+def nested_embedded_rows(spark, sf_dir):
+    """Documents with members in another order, numbers as text and objects between them; one without a time is left out."""
+    ms = lambda x: (F.unix_timestamp(x["o_orderdate"].cast("timestamp")) * 1000).cast("string")
+    time = lambda x: F.when(x["o_orderkey"] % 3 == 0, F.concat(F.lit('"'), ms(x), F.lit('"'))).otherwise(ms(x))
+    piece = lambda x: F.concat(F.lit('{"documentTitle":"paper \\"'), key_of(x), F.lit('\\"","more":[{"documentId":0,"documentTitle":"part"},[null,{}]],"documentPublishTime":'), time(x), F.lit(',"documentId":"'), key_of(x), F.lit('"},{"documentId":1,"documentTitle":"none"}'))
+    return landed.embedded_documents(customer_pages(spark, sf_dir, piece, "<script>if(a<b){x={y:", "}</script>", "}{").withColumn("body", F.replace("body", F.lit("{y:"), F.lit("[")))).select("registry_id", "place", "title", "url", F.to_date("published_at").cast("string").alias("d"))
+
+
+@query("unclosed_link_rows", f"SELECT registry_id, place, 'Report of order ' || o_orderkey AS title, 'https://n.org/r/' || o_orderkey AS url, d FROM {SQL_PAGE}")
+def unclosed_link_rows(spark, sf_dir):
+    """Links in list items that nobody ends, below more than a hundred elements."""
+    piece = lambda x: F.concat(F.lit('<li><p><a href="/r/'), key_of(x), F.lit('">Report of <b>order '), key_of(x), F.lit("</b></a> <i>"), day_of(x, "yyyy.M.d"), F.lit("</i>"))
+    return landed.dated_links(customer_pages(spark, sf_dir, piece, "<div>" * 120 + "<ul>", "</ul>")).select("registry_id", "place", "title", "url", F.to_date("published_at").cast("string").alias("d"))
+
+
 @query("dated_link_rows", f"SELECT registry_id, place, 'Report of order ' || o_orderkey AS title, 'https://n.org/r/' || o_orderkey AS url, d FROM {SQL_PAGE}")
 def dated_link_rows(spark, sf_dir):
     """Links with the date that follows each."""
@@ -391,6 +429,22 @@ def section_rows(spark, sf_dir):
     return landed.sections(pages).select("url", "author", "place", "section_id", "title", F.array_join("paragraphs", "|").alias("paragraphs"))
 
 
+@query("unclosed_section_rows", f"SELECT 'https://n.org/news?c=' || registry_id AS url, 'A. Writer' AS author, CAST(place + 1 AS INTEGER) AS place, 's' || o_orderkey AS section_id, o_orderpriority AS title, o_orderstatus || ' & ' || d || '|' || d || '|one' AS paragraphs FROM {SQL_PAGE}")
+def unclosed_section_rows(spark, sf_dir):
+    """Sections whose paragraphs, list items and table cells nobody ends, deep in the page."""
+    deep = "<span>" * 90
+    piece = lambda x: F.concat(F.lit('<h1 id="s'), key_of(x), F.lit(f'">{deep}'), x["o_orderpriority"], F.lit(f"</h1><p>{deep}"), x["o_orderstatus"], F.lit(" &amp; "), day_of(x), F.lit("<script>no()</script><p>"), day_of(x), F.lit("<table><tr><td><p>one<td>two<tr><td>three</table><ul><li>four<li>five</ul>"))
+    pages = customer_pages(spark, sf_dir, piece, '<meta name="author" content="A. Writer"><h1 id="intro">Hello</h1><p>no<h1 id="news">News</h1>')
+    return landed.sections(pages).select("url", "author", "place", "section_id", "title", F.array_join("paragraphs", "|").alias("paragraphs"))
+
+
+@query("unclosed_announcement_rows", f"SELECT registry_id, place, o_orderstatus AS category, 'Notice ' || o_orderkey AS title, 'https://n.org/n/' || o_orderkey || '.pdf' AS url, CAST(CAST(o_orderdate AS TIMESTAMP) + INTERVAL 90 MINUTE AS VARCHAR) AS at FROM {SQL_PAGE}")
+def unclosed_announcement_rows(spark, sf_dir):
+    """Rows and cells of an exchange's table that nobody ends."""
+    piece = lambda x: F.concat(F.lit("<tr><td>"), day_of(x, "dd/MM/yyyy"), F.lit(' 09:30<td><div class="headline">'), x["o_orderstatus"], F.lit('</div><div class="doc-link"><a href="/n/'), key_of(x), F.lit('.pdf">Notice '), key_of(x), F.lit("</a></div>"))
+    return landed.announcements(customer_pages(spark, sf_dir, piece, "<div>" * 100 + "<table><tbody>", "</table>")).select("registry_id", "place", "category", "title", "url", text_of("published_at").alias("at"))
+
+
 @query("api_rows", f"SELECT registry_id, 'https://n.org/a/' || o_orderkey AS url, CAST(o_orderkey AS VARCHAR) AS raw_title, o_orderstatus AS publisher, d FROM {SQL_PAGE} WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND CAST(o_orderdate AS TIMESTAMP) BETWEEN TIMESTAMP '{SINCE}' AND TIMESTAMP '{UNTIL}'")
 def api_rows(spark, sf_dir):
     """Articles of landed API pages: allowed feeds, in the window."""
