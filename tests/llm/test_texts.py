@@ -40,6 +40,62 @@ def test_pages(page, want):
     assert one(page) == want
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ('<article><p>Before the link <a class="share">Share</a> after it.</p></article>', "Before the link Share after it."),
+        ('<article><p>One <span class="ad-break"></span>two.</p></article>', "One two."),
+        ('<article><p>T<p class="share">u<p>v</article>', "T\nu\nv"),
+        ('<body class="has-sidebar"><div class="with-sidebar no-comments"><div class="social-history"><p>all of it</p></div></div>', "all of it"),
+        ('<div class="social-history"><article><p>kept</p></article></div>', "kept"),
+        ('<div class="sidebar"><article><p>kept</p></article></div><p>x</p>', "kept"),
+        ('<article><h1>T</h1><p>main words</p></article><section class="comments"><article><p>reader</p></article></section>', "T\nmain words"),
+        ('<article><h1>T</h1><p>main words</p><div class="comment-list"><article><p>reader</p></article></div><ul class="share-buttons"><li>s<li>t</ul></article>', "T\nmain words"),
+        ('<article><h1>T</h1><div class="social">' + "<p>word word word word</p>" * 5 + "</div></article>", "T\n" + "\n".join(["word word word word"] * 5)),
+        ('<div class="promo"><p>only this</p></div>', "only this"),
+        ("<article><p>a <span hidden>not seen</span>b</p><p hidden>no<p>yes<ul><li hidden>no<li>yes</ul></article>", "a b\nyes\nyes"),
+        ("<main><table><tr><td>1<td>2<tr><td>3</table><p>x<div>y</div></main>", "1 2\n3\nx\ny"),
+    ],
+)
+def test_classes_and_open_elements_lose_no_article_text(page, want):
+    assert one(page) == want
+
+
+def test_classes_and_inline_elements_never_remove_a_word():
+    rng = random.Random(5)
+    names = ["share", "ad", "comments", "has-sidebar", "social", "ad-break", "x"]
+    for _ in range(300):
+        words = iter(f"w{i}" for i in range(1000))
+
+        def inline(depth=0):
+            out = []
+            for _ in range(rng.randint(1, 3)):
+                tag = rng.choice(["b", "a", "span", "em"])
+                out.append(next(words) + " " if depth > 2 or rng.random() < 0.5 else f"<{tag}{label()}>" + inline(depth + 1) + (f"</{tag}>" if rng.random() < 0.8 else ""))
+            return "".join(out)
+
+        def label():
+            return f' class="{rng.choice(names)}"' if rng.random() < 0.5 else f" id={rng.choice(names)}" if rng.random() < 0.3 else ""
+
+        parts = []
+        for _ in range(rng.randint(1, 6)):
+            tag = rng.choice(["p", "h2", "li", "blockquote", "pre"])
+            end = "" if tag in ("p", "li") and rng.random() < 0.5 else f"</{tag}>"
+            parts.append(f"<{tag}{label()}>{inline()}{end}")
+        page = f"<body{label()}><div{label()}><section{label()}><article>{''.join(parts)}</article></section></div><footer>f</footer>"
+        used = next(words)
+        assert one(page).split() == [f"w{i}" for i in range(int(used[1:]))], page
+
+
+def test_pages_without_ids_are_dealt_and_count_each(spark, monkeypatch):
+    same = "Follow us on every network and win many prizes today"
+    rows = [(None, None, f"<div>{same}</div><div>{' '.join(f'{w}{i}' for w in 'a b c d e f g h'.split())}</div>") for i in range(40)]
+    frame = spark.createDataFrame(rows, "page_id string, url string, html string")
+    for pages in (4, 1000):
+        monkeypatch.setattr(htmltext, "GROUP_PAGES", pages)
+        assert sorted(r.text for r in htmltext.extract(frame).collect()) == sorted(" ".join(f"{w}{i}" for w in "a b c d e f g h".split()) for i in range(40))
+
+
 def test_repeated_runs_are_those_of_brute_force():
     rng = random.Random(1)
     for _ in range(30):
@@ -103,6 +159,8 @@ def test_hostile_pages_are_read_in_linear_time():
     for piece in ("<a ", "<!", "<a '", '<p title="', "<div>", "</span>", "&"):
         htmltext.blocks(piece * (300_000 // len(piece)))
     htmltext.blocks("<div>" * 60_000 + "</span>" * 60_000)
+    htmltext.blocks("<article><p>" + "<b>" * 60_000 + "x<p>" * 60_000 + "<li><ul>" * 30_000)
+    assert htmltext.blocks("<article><p>" + "word " * 500_000 + "</article>")[0][1].count("word") == 500_000
     assert time.process_time() - began < 20
 
 
