@@ -6,16 +6,17 @@ leads is the lexicographically first independent set of the similarity graph: a
 that no earlier similar title precedes leads, titles next to a leader do not, and the
 rest is settled in a few rounds.  So no publisher is gathered anywhere.
 
-Pairs come from a prefix filter on the rarest tokens and one on the rarest pairs of
-neighbouring characters.  The first holds every pair that reaches the threshold by
-tokens, the second every pair that reaches it by characters, such as titles without
-spaces that differ in one of them.
+Pairs come from a prefix filter on the rarest tokens and one on the rarest runs of two,
+three or four characters, the longer the title the longer the run.  The first holds every
+pair that reaches the threshold by tokens, the second every pair that reaches it by
+characters, such as titles without spaces that differ in one of them.
 """
 
 from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,23 +44,25 @@ def title_similarity(a: str, b: str, least: float = 0.0) -> float:
     return max(overlap, matcher.ratio())
 
 
-def _met(each: DataFrame, kept: Column, reach) -> DataFrame:
+def _met(each: DataFrame, kept: Column, reach, sure: Column | None = None) -> DataFrame:
     """Pairs of a publisher's titles that share one of their rarest elements; a before b.
 
     ``each`` has a row (id, publisher, norm, place, size, w) for each element w of a title;
     ``kept`` says of a row, by ``size`` and its place ``i`` among the title's elements from
     the rarest on, whether a pair that counts must share one of these; ``reach`` bounds
-    the overlap of two rows.
+    what two rows that share an element may be, and ``sure`` (of x and y) is asked of the
+    titles met before they are shuffled.
     """
     held = each.groupBy("publisher", "w").agg(F.count("*").alias("df")).filter("df > 1")
     same = (F.col("each.publisher").eqNullSafe(F.col("held.publisher"))) & (F.col("each.w") == F.col("held.w"))
-    own = Window.partitionBy("id")
+    own = Window.partitionBy(*[c for c in ("id", "q") if c in each.columns])
     ranked = each.alias("each").join(held.alias("held"), same).select("each.*", "df")
     ranked = ranked.withColumn("i", F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "w")) - 1)
     head = ranked.filter(kept)
     p, q = head.alias("p"), head.alias("q")
     pairs = p.join(q, (F.col("p.w") == F.col("q.w")) & F.col("p.publisher").eqNullSafe(F.col("q.publisher")) & (F.col("p.place") < F.col("q.place")) & reach)
-    return pairs.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.col("p.norm").alias("x"), F.col("q.norm").alias("y"), F.col("p.place").alias("place")).distinct()
+    pairs = pairs.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.col("p.norm").alias("x"), F.col("q.norm").alias("y"), F.col("p.place").alias("place"))
+    return (pairs if sure is None else pairs.filter(sure)).distinct()
 
 
 def candidate_pairs(titles: DataFrame, floor: float) -> DataFrame:
@@ -74,23 +77,109 @@ def candidate_pairs(titles: DataFrame, floor: float) -> DataFrame:
     return _met(each, F.col("i") <= F.col("size") - F.ceil(F.col("size") * floor - 1e-9), left >= floor / (1 + floor) * (F.col("p.size") + F.col("q.size")) - 1e-9)
 
 
+#: Length of the runs of characters by which titles meet, from the shorter title's length on.
+RUNS = ((40, 4), (16, 3), (0, 2))
+
+
+def run_length(size: Column) -> Column:
+    found = F.when(F.lit(False), 0)
+    for least, q in RUNS:
+        found = found.when(size >= least, q)
+    return found
+
+
+def least_shared(total, q, threshold: float):
+    """Runs of ``q`` characters that titles of ``total`` characters together share at least.
+
+    A ratio t matches t x total / 2 characters, in at most as many pieces as there are
+    unmatched characters and one more; a piece has q - 1 runs less than characters.
+    """
+    return total * (threshold / 2) - (q - 1) * (total * (1 - threshold) + 1)
+
+
+def _runs(texts: list[str], q: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, bounds): the runs of q characters of each text, repeats told apart, sorted."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = np.array([len(t) for t in texts], np.int64)
+    owner = np.repeat(np.arange(len(texts)), size)
+    m = max(len(points) - q + 1, 0)
+    h = np.zeros(m, np.uint64)
+    for k in range(q):
+        h = (h + points[k : k + m] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    inside = owner[:m] == owner[len(points) - m :]
+    h, owner = h[inside], owner[:m][inside]
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+    first = np.maximum.accumulate(np.where(fresh, np.arange(len(h)), 0))
+    h = h + (np.arange(len(h)) - first).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    return h, np.searchsorted(owner, np.arange(len(texts) + 1))
+
+
+def shared_runs(x: list[str], y: list[str], q: int) -> np.ndarray:
+    """Runs of q characters that the texts of each row share, counted as often as they occur."""
+    place = {t: i for i, t in enumerate(dict.fromkeys([*x, *y]))}
+    h, bounds = _runs(list(place), q)
+    pair, keys = [], []
+    for side in (x, y):
+        at = np.array([place[t] for t in side], np.int64)
+        size = np.diff(bounds)[at]
+        begin = np.repeat(bounds[at] - (np.cumsum(size) - size), size)
+        pair.append(np.repeat(np.arange(len(at)), size))
+        keys.append(h[begin + np.arange(len(begin))])
+    pair, keys = np.concatenate(pair), np.concatenate(keys)
+    # The row's number, spread over 64 bits, sets rows apart in one sort.
+    keys = keys ^ (pair.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    order = np.argsort(keys)
+    keys, pair = keys[order], pair[order]
+    return np.bincount(pair[1:][keys[1:] == keys[:-1]], minlength=len(x))
+
+
+def enough_shared(x: Column, y: Column, threshold: float) -> Column:
+    """False where two texts share too few runs of characters for the ratio; many rows at once."""
+
+    @F.pandas_udf("boolean")
+    def test(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        a, b = xs.to_numpy(), ys.to_numpy()
+        n, m = xs.str.len().to_numpy(), ys.str.len().to_numpy()
+        lesser, out = np.minimum(n, m), np.zeros(len(a), bool)
+        above = np.iinfo(np.int64).max
+        for least, q in RUNS:
+            for at in np.array_split(np.flatnonzero((lesser >= least) & (lesser < above)), -(-len(a) // 4096)):
+                if len(at):
+                    out[at] = shared_runs(list(a[at]), list(b[at]), q) >= least_shared(n[at] + m[at], q, threshold) - 1e-9
+            above = least
+        return pd.Series(out)
+
+    return test(x, y)
+
+
 def ratio_pairs(titles: DataFrame, threshold: float) -> DataFrame:
-    """Pairs that can reach a sequence ratio of ``threshold`` (over 2/3); none that does is left out.
+    """Pairs that can reach a sequence ratio of ``threshold`` (over 0.86); none that does is left out.
 
-    A ratio t of titles of L characters together leaves at most (1 - t) L unmatched, so the
-    matched t L / 2 lie in at most (1 - t) L + 1 pieces and share t L / 2 less that many
-    pairs of neighbouring characters, each counted as often as it occurs.  The shorter title
-    has at least t / (2 - t) of the longer's length.
+    The shorter title has at least t / (2 - t) of the longer's length and says how long the
+    runs are by which the two meet, so a title stands under its own length's and, where
+    that differs, under that of the shortest title it can meet.  Runs are counted as often
+    as they occur.  A run that each title has once is matched, if at all, not further apart
+    than the characters that the longer one has unmatched.
     """
-    size = F.length("norm") - 1
-    grams = F.transform(F.sequence(F.lit(1), size), lambda i: F.substr("norm", i, F.lit(2)))
-    listed = titles.filter(size > 0).select("id", "publisher", "norm", "place", size.alias("size"), F.posexplode(grams).alias("at", "g"))
-    nth = F.row_number().over(Window.partitionBy("id", "g").orderBy("at"))
-    each = listed.withColumn("w", F.concat_ws("\u0001", "g", nth.cast("string"))).drop("at", "g")
-    share = 1.5 * threshold - 1
-    least = F.greatest(F.lit(1), F.ceil((F.col("size") + 1) * (1 + threshold / (2 - threshold)) * share - 1 - 1e-9))
+    n, short = F.length("norm"), threshold / (2 - threshold)
+    lengths = F.array_distinct(F.array(run_length(n), run_length(F.ceil(n * short - 1e-9))))
+    listed = titles.select("id", "publisher", "norm", "place", n.alias("n"), F.explode(lengths).alias("q")).filter(F.col("n") >= F.col("q"))
+    grams = F.transform(F.sequence(F.lit(1), F.col("n") - F.col("q") + 1), lambda i: F.substr("norm", i, F.col("q")))
+    spread = listed.withColumn("size", F.col("n") - F.col("q") + 1).select("id", "publisher", "norm", "place", "n", "q", "size", F.posexplode(grams).alias("at", "g"))
+    own = Window.partitionBy("id", "q", "g")
+    spread = spread.withColumn("nth", F.row_number().over(own.orderBy("at"))).withColumn("once", F.count("*").over(own) == 1)
+    each = spread.withColumn("w", F.concat_ws("\u0001", "g", F.col("nth").cast("string"))).drop("g", "nth")
+    least = F.greatest(F.lit(1), F.ceil(least_shared(F.col("n") * (1 + short), F.col("q"), threshold) - 1e-9))
+    total = F.col("p.n") + F.col("q.n")
+    lesser, longer = F.least("p.n", "q.n"), F.greatest("p.n", "q.n")
     left = F.least(F.col("p.size") - F.col("p.i"), F.col("q.size") - F.col("q.i"))
-    return _met(each, F.col("i") <= F.col("size") - least, left >= share * (F.col("p.size") + F.col("q.size") + 2) - 1 - 1e-9)
+    reach = (F.col("p.q") == F.col("q.q")) & (F.col("p.q") == run_length(lesser)) & (2 * lesser >= threshold * total - 1e-9) & (left >= least_shared(total, F.col("p.q"), threshold) - 1e-9)
+    beside = ~(F.col("p.once") & F.col("q.once")) | (F.abs(F.col("p.at") - F.col("q.at")) <= longer - threshold / 2 * total + 1e-9)
+    return _met(each, F.col("i") <= F.col("size") - least, reach & beside, enough_shared(F.col("x"), F.col("y"), threshold))
 
 
 def jaccard_pairs(titles: DataFrame, threshold: float) -> DataFrame:

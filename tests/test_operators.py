@@ -257,3 +257,30 @@ def test_enrichment(spark):
     with pytest.raises(ValueError):
         enrich.Settings.from_env({"SILTWORKS_MODEL_BASE_URL": "http://example.org"})
     assert enrich.Settings.from_env({"SILTWORKS_MODEL_BATCH": "3"}).batch == 3
+
+
+def test_runs_by_length_lose_no_pair(spark):
+    from collections import Counter
+    from difflib import SequenceMatcher
+
+    rng, rows = random.Random(4), []
+    for letters in ("ab", "abcdefgh ", "机器学习模型视频生成论文", "abcdefghijklmnopqrstuvwxyz "):
+        for n in (2, 3, 5, 9, 14, 17, 19, 24, 38, 42, 47, 60, 110, 230):
+            base = [rng.choice(letters) for _ in range(n)]
+            for _ in range(5):
+                title = list(base)
+                for _ in range(rng.randint(0, max(1, n // 8))):
+                    i = rng.randrange(len(title) + 1)
+                    title[i : i + rng.randint(0, 1)] = rng.choice([[], [rng.choice(letters)]])
+                if title:
+                    rows.append("".join(title))
+    rows = [(i, "p" if i % 50 else None, t, i) for i, t in enumerate(dict.fromkeys(rows))]
+    titles = spark.createDataFrame(rows, "id int, publisher string, norm string, place int")
+    want = {(a, b) for a, p, x, _ in rows for b, q, y, _ in rows if a < b and p == q and min(len(x), len(y)) > 1 and SequenceMatcher(None, y, x).ratio() >= 0.9}
+    got = {(r.a, r.b) for r in cluster.ratio_pairs(titles, 0.9).collect()}
+    assert len(want) > 100 and want <= got
+    texts = [t for _, _, t, _ in rows]
+    for q in (2, 3, 4):
+        counts = [Counter(t[i : i + q] for i in range(len(t) - q + 1)) for t in texts]
+        assert cluster.shared_runs(texts[1:], texts[:-1], q).tolist() == [(a & b).total() for a, b in zip(counts[1:], counts)]
+    assert {(r.a, r.b) for r in cluster.similar_titles(titles).collect()} == {(a, b) for a, p, x, _ in rows for b, q, y, _ in rows if a < b and p == q and cluster.title_similarity(y, x) >= 0.9 and min(len(x), len(y)) > 1}
