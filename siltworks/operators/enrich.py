@@ -22,6 +22,11 @@ ANALYSIS = "candidate_id string, intelligence_type string, intelligence_type_rea
 #: A claim that only repeats a field's name or an empty mark says nothing.
 FIELDS = tuple(part.split()[0] for part in ANALYSIS.split(", "))
 EMPTY_MARKS = ("", "-", "none", "null", "n/a", "todo", "tbd")
+#: The fields of an answer by kind, all required and no others, and the values that some are limited to.
+TEXT_FIELDS = "candidate_id canonical_title intelligence_type intelligence_type_reason primary_route track same_event_group what why confidence recommended_disposition disposition_reason".split()
+LIST_FIELDS = "secondary_routes proposed_claims missing_evidence verification_questions source_ids".split()
+SCORE_FIELDS = "importance_score novelty_score strategy_relevance_score".split()
+VALUES = {"track": ["track.fixed", "track.emerging"], "confidence": ["low", "medium", "high"], "recommended_disposition": ["p1", "p2", "watch", "reject"]}
 Provider = Callable[[list[str]], list[str]]
 
 
@@ -122,3 +127,36 @@ def violations(analyses: DataFrame, candidates: DataFrame, types: list[str]) ->
         "placeholder": ~F.exists(F.coalesce("proposed_claims", F.array().cast("array<string>")), lambda c: F.lower(F.btrim(c)).isin(*FIELDS, *EMPTY_MARKS)),
     }
     return row_rules(analyses, "candidate_id", rules).unionByName(coverage(candidates, analyses, "candidate_id").select(F.col("problem").alias("rule"), F.col("candidate_id").alias("key")))
+
+
+def schema_violations(answers: DataFrame, types: list[str], routes: list[str]) -> DataFrame:
+    """(rule, key, field) of the JSON texts (candidate_id, answer) that break the closed schema.
+
+    Rules: not_json (no object), missing, extra, type (text, list of texts, whole number)
+    and value (outside the listed values, or a score outside 0 to 100).  JSON null is a type.
+    """
+    rows = answers.select(F.col("candidate_id").alias("key"), "answer", F.try_parse_json("answer").alias("v"))
+    rows = rows.withColumn("ok", F.coalesce(F.schema_of_variant("v").startswith("OBJECT<"), F.lit(False)))
+    allowed = VALUES | {"intelligence_type": types, "primary_route": routes, "secondary_routes": routes}
+
+    def checked(name: str):
+        value = F.try_variant_get("v", f"$.{name}", "variant")
+        kind = F.schema_of_variant(value)
+        listed = F.array(*[F.lit(x) for x in allowed.get(name, [])]).cast("array<string>")
+        if name in SCORE_FIELDS:
+            good, number = kind == "BIGINT", F.try_variant_get("v", f"$.{name}", "bigint")
+            inside = number.between(0, 100)
+        elif name in LIST_FIELDS:
+            good = kind.isin("ARRAY<STRING>", "ARRAY<VOID>") & (F.try_variant_get("v", f"$.{name}[0]", "string").isNotNull() | (kind == "ARRAY<VOID>"))
+            inside = F.forall(F.try_variant_get("v", f"$.{name}", "array<string>"), lambda x: F.array_contains(listed, x)) if name in allowed else F.lit(True)
+        else:
+            good = kind == "STRING"
+            inside = F.array_contains(listed, F.try_variant_get("v", f"$.{name}", "string")) if name in allowed else F.lit(True)
+        rule = F.when(value.isNull(), "missing").when(~good, "type").when(~F.coalesce(inside, F.lit(False)), "value")
+        return F.struct(rule.alias("rule"), F.lit(name).alias("field"))
+
+    every = [*TEXT_FIELDS, *LIST_FIELDS, *SCORE_FIELDS]
+    extra = F.transform(F.array_except(F.json_object_keys("answer"), F.array(*[F.lit(x) for x in every])), lambda k: F.struct(F.lit("extra").alias("rule"), k.alias("field")))
+    broken = F.filter(F.concat(F.array(*[checked(x) for x in every]), extra), lambda x: x["rule"].isNotNull())
+    none = F.array(F.struct(F.lit("not_json").alias("rule"), F.lit("").alias("field")))
+    return rows.select("key", F.explode(F.when(F.col("ok"), broken).otherwise(none)).alias("x")).select("x.rule", "key", "x.field")

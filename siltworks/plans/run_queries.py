@@ -461,3 +461,64 @@ def extracted_rows(spark, sf_dir):
     payload = F.to_json(F.struct(F.concat_ws("/", text_of("conv_id"), text_of("turn")).alias("news_url"), F.col("role").alias("news_title"), F.col("text").alias("content")))
     got = landed.extracted_articles(turns.select(F.lit("x").alias("registry_id"), payload.alias("payload")))
     return got.select("url", "title", F.sha2(F.col("body").cast("binary"), 256).alias("body_hash"), "rights_scope")
+
+
+@query(
+    "extracted_upsert",
+    """WITH e AS (SELECT conv_id AS k, max(CASE WHEN role = 'user' AND trim(text) <> '' THEN {'a': turn, 't': text} END) AS good, max(CASE WHEN role <> 'user' OR trim(text) = '' THEN turn END) AS bad FROM conversations GROUP BY 1)
+    SELECT CAST(doc_id AS VARCHAR) AS source_id, sha256(CASE WHEN good IS NOT NULL THEN good.t ELSE text END) AS text_hash,
+      CASE WHEN good IS NOT NULL THEN 'internal_text' ELSE 'excerpt' END AS rights_scope, CASE WHEN good IS NULL AND bad IS NOT NULL THEN 'failed at ' || bad END AS failure_reason,
+      CASE WHEN good IS NOT NULL THEN sha256(lang || chr(10) || good.t || chr(10)) ELSE 'old' END AS content_hash
+    FROM documents LEFT JOIN e ON k = doc_id""",
+)
+def extracted_upsert(spark, sf_dir):
+    """Documents whose text the last user turn of the conversation of their number replaces; other turns are failures."""
+    docs, turns = table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations")
+    have = docs.select(text_of("doc_id").alias("source_id"), F.col("lang").alias("raw_title"), F.col("text").alias("raw_text"), F.lit(None).cast("string").alias("raw_excerpt"), F.lit("old").alias("content_hash"), F.lit("excerpt").alias("rights_scope"), F.lit("success").alias("access_status"), F.lit(None).cast("string").alias("failure_reason"))
+    found = turns.select(text_of("conv_id").alias("source_id"), F.col("turn").alias("attempt"), F.when(F.col("role") == "user", F.col("text")).alias("text"), F.concat(F.lit("failed at "), text_of("turn")).alias("reason"))
+    made = landed.upsert_texts(have, found)
+    return made.select("source_id", F.sha2(F.col("raw_text"), 256).alias("text_hash"), "rights_scope", "failure_reason", "content_hash")
+
+
+@query(
+    "api_health",
+    f"""WITH o AS (SELECT *, place // 2 AS page FROM {SQL_PAGE}), n AS (SELECT registry_id, count(*) AS total, CAST(registry_id AS BIGINT) AS c FROM o GROUP BY 1),
+    s AS (SELECT *, CASE WHEN c % 5 = 0 AND total > 2 THEN 2 WHEN c % 5 = 1 THEN least(total, 4) ELSE total END AS there FROM n),
+    a AS (SELECT registry_id, count(DISTINCT o_orderpriority) AS matched, list_sort(list_distinct(list_filter(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'], lambda x: NOT list_contains(list(o_orderpriority), x)))) AS missing FROM o GROUP BY 1)
+    SELECT registry_id, CASE WHEN c % 7 = 0 THEN 'no_login' WHEN least(total, 6) > there THEN 'gap' ELSE 'complete' END AS state, CASE WHEN c % 7 = 0 THEN 'failed' ELSE 'success' END AS status,
+      least(there, 6)::BIGINT AS scanned, total AS available, there AS accepted, 5::BIGINT AS configured, matched, array_to_string(missing, ',') AS missing
+    FROM s JOIN a USING (registry_id)""",
+)
+def api_health(spark, sf_dir):
+    """A customer's orders as pages of two; of some the second page, of others all from the third on, was not landed."""
+    orders = table(spark, sf_dir, "orders").filter("o_custkey is not null")
+    listed = F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority")))
+    rows = orders.groupBy(text_of("o_custkey").alias("registry_id")).agg(listed.alias("o"), F.min("o_custkey").alias("c"))
+    paged = rows.select("registry_id", "c", F.size("o").alias("total"), "o", F.explode(F.sequence(F.lit(0), F.expr("(size(o) - 1) div 2"))).alias("page"))
+    there = paged.filter(~((F.col("c") % 5 == 0) & (F.col("page") == 1)) & ~((F.col("c") % 5 == 1) & (F.col("page") >= 2)))
+    items = F.transform(F.slice("o", F.col("page") * 2 + 1, F.lit(2)), lambda x: F.struct(x["o_orderkey"].cast("string").alias("title")))
+    pages = there.select("registry_id", (F.col("page") * 2).alias("offset"), F.to_json(F.struct(items.alias("list"), "total")).alias("body"))
+    feeds = orders.select(text_of("o_custkey").alias("registry_id"), F.col("o_orderpriority").alias("mp_name")).distinct()
+    wanted = rows.select("registry_id", F.explode(F.array(*map(F.lit, ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]))).alias("account_name"), F.lit(True).alias("enabled"))
+    logins = rows.select("registry_id", F.to_json(F.struct((F.col("c") % 7 != 0).alias("login_status"))).alias("body"))
+    kept = landed.api_pages(pages, 1000).filter("reached").select("registry_id", F.explode(F.sequence(F.lit(1), F.col("items").cast("int"))))
+    made = landed.api_health(pages.union(pages), feeds, wanted, logins, kept, most=6)
+    return made.withColumn("missing", F.array_join("missing", ","))
+
+
+@query(
+    "schema_violations",
+    """WITH o AS (SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey % 12 AS k FROM orders)
+    SELECT rule, key, field FROM o JOIN (VALUES (0, 'not_json', ''), (1, 'missing', 'why'), (2, 'extra', 'more'), (3, 'type', 'importance_score'), (4, 'value', 'novelty_score'), (5, 'type', 'what'), (6, 'value', 'confidence'), (7, 'type', 'proposed_claims'), (8, 'value', 'secondary_routes'), (9, 'value', 'intelligence_type'), (10, 'not_json', '')) AS v(k, rule, field) USING (k)""",
+)
+def schema_violations(spark, sf_dir):
+    """Answers of which eleven in twelve break one rule each."""
+    k = F.col("o_orderkey") % 12
+    text, names = F.lit("said"), {"intelligence_type": "news", "primary_route": "r", "track": "track.fixed", "confidence": "low", "recommended_disposition": "p1"}
+    have = {f: F.lit(names.get(f, "said")) for f in enrich.TEXT_FIELDS} | {f: F.array(F.lit("r")) for f in enrich.LIST_FIELDS} | {f: F.lit(7) for f in enrich.SCORE_FIELDS}
+    have |= {"why": F.when(k != 1, text), "confidence": F.when(k == 6, "sure").otherwise("low"), "intelligence_type": F.when(k == 9, "odd").otherwise("news"), "novelty_score": F.when(k == 4, 101).otherwise(100)}
+    have |= {"secondary_routes": F.when(k == 8, F.array(F.lit("r"), F.lit("s"))).otherwise(F.array().cast("array<string>"))}
+    said = F.to_json(F.struct(*[v.alias(f) for f, v in have.items()]))
+    said = F.when(k == 2, F.replace(said, F.lit('{"'), F.lit('{"more":1,"'))).when(k == 3, F.replace(said, F.lit('"importance_score":7'), F.lit('"importance_score":7.5'))).when(k == 5, F.replace(said, F.lit('"what":"said"'), F.lit('"what":null'))).when(k == 7, F.replace(said, F.lit('"proposed_claims":["r"]'), F.lit('"proposed_claims":["r",{"a":1}]'))).otherwise(said)
+    answers = table(spark, sf_dir, "orders").select(text_of("o_orderkey").alias("candidate_id"), F.when(k == 0, F.lit("[1]")).when(k == 10, F.lit("{nope")).otherwise(said).alias("answer"))
+    return enrich.schema_violations(answers, ["news"], ["r"])

@@ -284,3 +284,20 @@ def test_runs_by_length_lose_no_pair(spark):
         counts = [Counter(t[i : i + q] for i in range(len(t) - q + 1)) for t in texts]
         assert cluster.shared_runs(texts[1:], texts[:-1], q).tolist() == [(a & b).total() for a, b in zip(counts[1:], counts)]
     assert {(r.a, r.b) for r in cluster.similar_titles(titles).collect()} == {(a, b) for a, p, x, _ in rows for b, q, y, _ in rows if a < b and p == q and cluster.title_similarity(y, x) >= 0.9 and min(len(x), len(y)) > 1}
+
+
+def test_closed_schema_names_each_fault(spark):
+    import json
+
+    good = {f: "x" for f in enrich.TEXT_FIELDS} | {f: ["r"] for f in enrich.LIST_FIELDS} | {f: 0 for f in enrich.SCORE_FIELDS}
+    good |= {"intelligence_type": "news", "primary_route": "r", "track": "track.emerging", "confidence": "high", "recommended_disposition": "watch"}
+    drop = lambda f: {k: v for k, v in good.items() if k != f}
+    rows = [("ok", json.dumps(good)), ("empty", json.dumps(good | {"source_ids": []})), ("null", None), ("list", "[]"), ("text", '"x"'), ("two", json.dumps(drop("why") | {"b": 1, "importance_score": "7"}))]
+    rows += [("mixed", json.dumps(good | {"source_ids": ["a", 1]})), ("nulls", json.dumps(good | {"what": None, "novelty_score": None, "source_ids": None})), ("low", json.dumps(good | {"importance_score": -1})), ("route", json.dumps(good | {"primary_route": "q"}))]
+    got = sorted(map(tuple, enrich.schema_violations(spark.createDataFrame(rows, "candidate_id string, answer string"), ["news"], ["r"]).collect()))
+    assert got == sorted(
+        [("not_json", k, "") for k in ("null", "list", "text")]
+        + [("missing", "two", "why"), ("extra", "two", "b"), ("type", "two", "importance_score"), ("type", "mixed", "source_ids")]
+        + [("type", "nulls", f) for f in ("what", "novelty_score", "source_ids")]
+        + [("value", "low", "importance_score"), ("value", "route", "primary_route")]
+    )

@@ -141,3 +141,31 @@ def test_streaming_inbox(spark, tmp_path):
             (src / "2.json").write_text(extra)
         inbox.write(inbox.once(inbox.read(spark, str(src))), out, check).awaitTermination(120)
     assert sorted(r.canonical_url for r in spark.read.parquet(out).collect()) == ["https://e.org/a", "https://e.org/b"]
+
+
+def test_api_pages_end_at_the_first_gap(spark):
+    def body(items, total):
+        return '{"list":[' + ",".join(['{"title":"t"}'] * items) + f'],"total":{total}}}'
+
+    rows = [("a", 0, body(2, 5)), ("a", 2, body(2, 5)), ("a", 4, body(1, 5)), ("a", 5, body(0, 5))]  # to the end; an empty page behind it
+    rows += [("b", 0, body(2, 9)), ("b", 0, body(1, 9)), ("b", 4, body(2, 9)), ("b", 6, body(2, 9))]  # a gap at 2; one offset twice
+    rows += [("c", 2, body(2, 4)), ("d", 0, "not json"), ("e", 0, None), ("f", 0, body(0, 0))]
+    pages = spark.createDataFrame(rows, "registry_id string, offset int, body string")
+    got = {(r.registry_id, r.offset): r.reached for r in landed.api_pages(pages).collect()}
+    assert got == {("a", 0): True, ("a", 2): True, ("a", 4): True, ("a", 5): False, ("b", 0): True, ("b", 4): False, ("b", 6): False, ("c", 2): False, ("d", 0): True, ("e", 0): True, ("f", 0): True}
+    feeds = spark.createDataFrame([(k, k, "N") for k in "abcdfg"], "registry_id string, mp_id string, mp_name string")
+    wanted = spark.createDataFrame([(k, n, on) for k in "abcdefg" for n, on in (("N", None), ("M", True), ("off", False))], "registry_id string, account_name string, enabled boolean")
+    logins = spark.createDataFrame([(k, '{"login_status":true}') for k in "abcdf"] + [("e", "{}"), ("g", None)], "registry_id string, body string")
+    health = {r.registry_id: (r.state, r.status, r.scanned, r.available, r.accepted, r.configured, r.matched, r.missing) for r in landed.api_health(pages, feeds, wanted, logins, pages.select("registry_id").limit(0)).collect()}
+    assert health["a"] == ("complete", "success", 5, 5, 0, 2, 1, ["M"]) and health["b"][:4] == ("gap", "success", 2, 9)
+    assert health["c"][:2] == ("gap", "failed") and health["d"][:2] == health["f"][:2] == ("sync_pending", "failed") and health["e"][:2] == health["g"][:2] == ("no_login", "failed")
+
+
+def test_upsert_of_texts_does_not_multiply_rows(spark):
+    columns = "source_id string, raw_title string, raw_text string, raw_excerpt string, content_hash string, rights_scope string, access_status string, failure_reason string, attempt int"
+    have = spark.createDataFrame([(k, "T", t, None, "old", "excerpt", "success", None, 9) for k, t in (("a", None), ("b", "own"), ("c", None), ("d", "x"), (None, "y"))], columns)
+    found = spark.createDataFrame([("a", 1, "first", None), ("a", 2, "second", None), ("a", 3, " ", "late"), ("b", 1, None, "HTTP 500"), ("c", 1, "", None), (None, 1, "z", None), ("zz", 1, "z", None)], "source_id string, attempt int, text string, reason string")
+    got = landed.upsert_texts(have, found)
+    assert got.columns == have.columns
+    rows = {r.source_id: (r.raw_text, r.access_status, r.failure_reason, r.content_hash == "old", r.attempt) for r in got.collect()}
+    assert got.count() == 5 and rows == {"a": ("second", "success", None, False, 9), "b": ("own", "success", "HTTP 500", True, 9), "c": (None, "failed", "no text", True, 9), "d": ("x", "success", None, True, 9), None: ("y", "success", None, True, 9)}
