@@ -99,3 +99,120 @@ def bundle(stories: DataFrame, events: DataFrame, claims: DataFrame, reviews: Da
     told = reviews.select("candidate_id", F.struct("candidate_id", "url", "verification_status", "decision", "decision_reason").alias("review"))
     whole = events.select("event_id", F.struct(*events.columns).alias("event")).join(own, "event_id", "left").join(told, "candidate_id", "left").drop("candidate_id")
     return stories.join(whole, F.col("primary_event_id") == F.col("event_id"), "left").drop("event_id")
+
+
+#: Stories that an issue may have; larger sets are no issue and are never gathered.
+LEAST_STORIES, MOST_STORIES, TOP = 5, 10, 5
+
+
+def reader_stories(events: DataFrame, claims: DataFrame, reviews: DataFrame, *, tops: DataFrame | None = None, numbers: DataFrame | None = None, labels: list[tuple[str, str]] = (), categories: dict[str, str] | None = None, watch: list[str] = (), by: str = "issue_key") -> DataFrame:
+    """A story of each event as readers see it: five sections, takeaway, numbers, links.
+
+    ``events`` has ``by``, event_id, canonical_title, priority, event_at, fact_summary,
+    limitations, claim_ids, primary_source_id, primary_route and entity_name; ``claims``
+    claim_id and claim_text; ``reviews`` event_id, url and decision_reason.  ``tops``
+    (``by``, place, event_id) names the long stories, the first five of those that are
+    events; without, the first five by rank are.  ``numbers`` has event_id, place, label,
+    value and claim_id; ``labels`` pairs a part of a url with the label of its link.
+
+    A null or blank text falls back: the deck and the section under the hood to the fact,
+    the reason to the fact; an event that two reviews name takes the first by url.
+    """
+    place = F.when(F.col("priority") == "priority.p0", 0).when(F.col("priority") == "priority.p1", 1).when(F.col("priority") == "priority.p2", 2).otherwise(9)
+    base = events.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(place, "event_at", "event_id")) - 1)
+    said = events.select("event_id", F.posexplode("claim_ids").alias("place", "claim_id")).join(claims.select("claim_id", "claim_text").dropDuplicates(["claim_id"]), "claim_id")
+    ends = said.groupBy("event_id").agg(F.min_by("claim_text", "place").alias("_first"), F.max_by("claim_text", "place").alias("_last"))
+    told = reviews.groupBy("event_id").agg(F.min_by(F.struct("url", "decision_reason"), "url").alias("_review"))
+    base = base.join(ends, "event_id", "left").join(told, "event_id", "left")
+    if numbers is None:
+        base = base.withColumn("_numbers", F.lit(None).cast("array<struct<place:int,label:string,value:string,claim_id:string>>"))
+    else:
+        base = base.join(numbers.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct(F.col("place").cast("int").alias("place"), "label", "value", "claim_id"))).alias("_numbers")), "event_id", "left")
+    if tops is None:
+        base = base.withColumn("_top", F.when(F.col("rank") < TOP, F.col("rank")))
+    else:
+        named = tops.select(F.col(by).alias("_by"), F.col("event_id").alias("_event"), F.col("place").alias("_at")).groupBy("_by", "_event").agg(F.min("_at").alias("_at"))
+        base = base.join(named, F.col(by).eqNullSafe(F.col("_by")) & (F.col("event_id") == F.col("_event")), "left")
+        order = F.row_number().over(Window.partitionBy(by).orderBy(F.col("_at").asc_nulls_last(), "rank")) - 1
+        base = base.withColumn("_top", F.when(F.col("_at").isNotNull() & (order < TOP), order))
+    whole = lambda c, other: F.when(F.btrim(F.coalesce(c, F.lit(""))) != "", c).otherwise(other)
+    section = lambda text, kind: F.struct(text.alias("text"), F.col("claim_ids").alias("claim_ids"), F.lit(kind).alias("statement_type"))
+    fact, deep = F.col("fact_summary"), F.col("_top").isNotNull()
+    reason, url = whole(F.col("_review.decision_reason"), fact), F.col("_review.url")
+    label = F.lit("Original source")
+    for part, name in reversed(list(labels)):
+        label = F.when(F.contains(url, F.lit(part)), name).otherwise(label)
+    kind = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in categories.items() for x in pair]), F.col("primary_route")), F.lit("general")) if categories else F.coalesce("primary_route", F.lit("general"))
+    take = F.concat(F.lit("Worth following: what "), F.coalesce("entity_name", F.lit("the source")), F.lit(" shows in use, at what cost and for which work."))
+    return base.select(
+        by,
+        ids.story_id(F.col("event_id")).alias("story_id"),
+        F.col("event_id").alias("primary_event_id"),
+        F.when(deep, "deep_dive").otherwise("brief").alias("article_type"),
+        F.col("canonical_title").alias("headline"),
+        whole(F.col("_first"), fact).alias("dek"),
+        reason.alias("one_line_takeaway"),
+        kind.alias("category"),
+        section(fact, "fact").alias("what_happened"),
+        section(reason, "judgment").alias("why_it_matters"),
+        F.when(deep, section(take, "judgment")).alias("our_take"),
+        section(whole(F.col("_last"), fact), "fact").alias("under_the_hood"),
+        section(F.col("limitations"), "judgment").alias("limitations"),
+        F.array(*[F.lit(w) for w in watch]).cast("array<string>").alias("watch_next"),
+        F.transform(F.coalesce("_numbers", F.array().cast("array<struct<place:int,label:string,value:string,claim_id:string>>")), lambda x: F.struct(x["label"].alias("label"), x["value"].alias("value"), x["claim_id"].alias("claim_id"))).alias("key_numbers"),
+        F.when(url.isNotNull(), F.array(F.struct(F.col("primary_source_id").alias("source_id"), label.alias("label"), url.alias("url"), F.lit("primary").alias("role")))).otherwise(F.array().cast("array<struct<source_id:string,label:string,url:string,role:string>>")).alias("source_links"),
+        F.array_distinct(F.array_compact(F.array(kind, F.col("entity_name")))).alias("primary_tags"),
+        F.greatest(F.lit(70), 96 - 3 * F.col("rank")).alias("editorial_score"),
+        F.when(deep, 5).otherwise(2).alias("reading_time_minutes"),
+        F.lit("fact_checked").alias("editorial_status"),
+        F.col("event_at").alias("published_at"),
+        "rank",
+        F.col("_top").alias("top_place"),
+    )
+
+
+def issue_documents(stories: DataFrame, events: DataFrame, claims: DataFrame, *, by: str = "issue_key") -> DataFrame:
+    """(``by``, document): each issue as one nested JSON text, from ordered member tables.
+
+    Only sets of ``LEAST_STORIES`` to ``MOST_STORIES`` stories are an issue, so a document is
+    small; others are left to ``validate.issue_sizes``.  Days, trends and claims are those
+    of the issue's own events; a day outside the last seven goes to the nearer end.
+    """
+    small = stories.groupBy(by).agg(F.count("*").alias("n")).filter(F.col("n").between(LEAST_STORIES, MOST_STORIES)).select(F.col(by).alias("_by"))
+    own = stories.join(small, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
+    mine = own.select(by, "story_id", "rank", F.col("primary_event_id").alias("event_id"), F.to_date("published_at").alias("d"))
+    listed = lambda *c: F.array_sort(F.collect_list(F.struct(*c)))
+    told = [c for c in own.columns if c not in (by, "rank", "top_place")]
+    told_struct = F.struct("rank", "top_place", F.struct(*told).alias("story"))
+    heads = own.groupBy(by).agg(F.array_sort(F.collect_list(told_struct)).alias("s"), F.to_date(F.min("published_at")).alias("low"), F.to_date(F.max("published_at")).alias("high"))
+    tops = F.transform(F.array_sort(F.transform(F.filter("s", lambda x: x["top_place"].isNotNull()), lambda x: F.struct(x["top_place"].alias("p"), x["story"]["story_id"].alias("i")))), lambda x: x["i"])
+    briefs = F.transform(F.filter("s", lambda x: x["top_place"].isNull()), lambda x: x["story"]["story_id"])
+    end = F.greatest(F.col("high"), F.date_add("low", 6))
+    days = F.transform(
+        F.sequence(F.date_sub(end, 6), end),
+        lambda day: F.struct(
+            day.cast("string").alias("day"),
+            F.transform(F.filter("s", lambda x: F.least(end, F.greatest(F.date_sub(end, 6), F.to_date(x["story"]["published_at"]))) == day), lambda x: x["story"]["story_id"]).alias("story_ids"),
+        ),
+    )
+    routes = mine.join(events.select("event_id", "primary_route"), "event_id").groupBy(by, "primary_route").agg(listed("rank", "event_id").alias("e"), F.count("*").alias("n"))
+    best = routes.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(F.col("n").desc(), "primary_route"))).filter("_r <= 4")
+    trend = F.struct("_r", ids.trend_id(F.coalesce("primary_route", F.lit(""))).alias("trend_id"), F.col("primary_route").alias("route"), F.col("n").alias("events"), F.col("e.event_id").alias("event_ids"))
+    radar = best.groupBy(F.col(by).alias("_by")).agg(F.transform(F.array_sort(F.collect_list(trend)), lambda t: t.dropFields("_r")).alias("trend_radar"))
+    cited = mine.join(events.select("event_id", F.posexplode("claim_ids").alias("place", "claim_id")), "event_id").join(claims.dropDuplicates(["claim_id"]), "claim_id")
+    proof = cited.groupBy(F.col(by).alias("_of")).agg(F.transform(listed("rank", "place", F.struct(*claims.columns).alias("c")), lambda x: x["c"]).alias("evidence_claims"))
+    whole = heads.join(radar, F.col(by).eqNullSafe(F.col("_by")), "left").join(proof, F.col(by).eqNullSafe(F.col("_of")), "left")
+    size = F.size("s")
+    issue = F.struct(
+        ids.issue_id(F.col("high")).alias("issue_id"),
+        F.col("low").cast("string").alias("period_start"),
+        F.col("high").cast("string").alias("period_end"),
+        F.get(tops, F.lit(0)).alias("lead_story_id"),
+        tops.alias("top_story_ids"),
+        briefs.alias("brief_story_ids"),
+        size.alias("story_count"),
+        F.size(tops).alias("deep_dive_count"),
+        F.size(briefs).alias("brief_count"),
+    )
+    document = F.struct(issue.alias("issue"), F.struct(days.alias("timeline_days"), "trend_radar").alias("presentation"), F.transform("s", lambda x: x["story"]).alias("editorial_stories"), "evidence_claims")
+    return whole.select(by, F.to_json(document).alias("document"))

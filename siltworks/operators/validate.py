@@ -111,3 +111,73 @@ def issue(stories: DataFrame, events: DataFrame, claims: DataFrame, days: DataFr
             count(trends, "trends", 1, 4),
         ]
     )
+
+
+def issue_sizes(stories: DataFrame, *, by: str = "issue_key", least: int = 5, most: int = 10) -> DataFrame:
+    """(rule, key): the sets of stories that are too few or too many for an issue."""
+    return _rows("size", stories.groupBy(by).agg(F.count("*").alias("n")).filter(~F.col("n").between(least, most)), by)
+
+
+#: The sections that every story has, and what they state.
+SECTIONS = {"what_happened": "fact", "why_it_matters": "judgment", "under_the_hood": "fact", "limitations": "judgment"}
+
+
+def documents(issues: DataFrame, *, by: str = "issue_key", scheme: str = "https://") -> DataFrame:
+    """(rule, key, place) of nested issue documents: every id used anywhere exists once.
+
+    ``issues`` has ``by`` and the JSON text ``document``, read as VARIANT by path; ``place``
+    is the story, trend or day at fault, or empty.  Links begin with ``scheme``.  A text that is no JSON object breaks not_json.
+    """
+    v = F.try_parse_json("document")
+    # The parser stops behind the first value, so what the text ends with is looked at as well.
+    ends = F.rtrim("document").endswith("}")
+    doc = issues.select(F.col(by).cast("string").alias("key"), v.alias("v"), F.coalesce(F.schema_of_variant(v).startswith("OBJECT<") & ends, F.lit(False)).alias("ok"))
+    texts = lambda path: F.coalesce(F.try_variant_get("v", path, "array<string>"), F.array().cast("array<string>"))
+    parts = lambda path: F.coalesce(F.try_variant_get("v", path, "array<variant>"), F.array().cast("array<variant>"))
+    of = lambda item, path, kind="string": F.try_variant_get(item, path, kind)
+    strings = lambda item, path: F.coalesce(of(item, path, "array<string>"), F.array().cast("array<string>"))
+    read = doc.select("key", "v", "ok", parts("$.editorial_stories").alias("stories"), parts("$.evidence_claims").alias("proof"), parts("$.presentation.timeline_days").alias("days"), parts("$.presentation.trend_radar").alias("trends"), texts("$.issue.top_story_ids").alias("tops"), texts("$.issue.brief_story_ids").alias("briefs"))
+    read = read.select(
+        "*",
+        F.transform("stories", lambda s: of(s, "$.story_id")).alias("story_ids"),
+        F.transform("stories", lambda s: of(s, "$.primary_event_id")).alias("event_ids"),
+        F.transform("proof", lambda c: of(c, "$.claim_id")).alias("claim_ids"),
+        F.flatten(F.transform("days", lambda d: strings(d, "$.story_ids"))).alias("day_ids"),
+    )
+    n, deep = F.size("stories"), F.size(F.filter("stories", lambda s: of(s, "$.article_type") == "deep_dive"))
+    known = lambda ids_, all_: F.size(F.array_except(ids_, all_)) == 0
+    once = lambda ids_: (F.size(F.array_distinct(ids_)) == F.size(ids_)) & ~F.exists(ids_, lambda x: x.isNull())
+    same = lambda a, b: (F.size(a) == F.size(b)) & known(a, b) & known(b, a)
+    whole = {
+        "size": n.between(5, 10),
+        "deep_dives": deep == F.least(F.lit(5), n),
+        "duplicate_story": once(F.col("story_ids")),
+        "duplicate_event": once(F.col("event_ids")),
+        "duplicate_claim": once(F.col("claim_ids")),
+        "top_size": F.size("tops") == F.least(F.lit(5), n),
+        "lists": same(F.concat("tops", "briefs"), F.col("story_ids")),
+        "lead": F.coalesce(of("v", "$.issue.lead_story_id") == F.get("tops", F.lit(0)), F.lit(False)),
+        "seven_days": F.size("days") == 7,
+        "timeline": same(F.col("day_ids"), F.col("story_ids")),
+        "trends": F.size("trends").between(1, 4),
+    }
+
+    def faults(item, place, rules):
+        return [F.struct(F.lit(rule).alias("rule"), F.when(~F.coalesce(good, F.lit(False)), F.coalesce(place, F.lit(""))).alias("place")) for rule, good in rules.items()]
+
+    def story(s):
+        rules = {"status": of(s, "$.editorial_status") == "fact_checked", "links": (F.size(F.coalesce(of(s, "$.source_links", "array<variant>"), F.array().cast("array<variant>"))) > 0) & F.forall(F.coalesce(of(s, "$.source_links", "array<variant>"), F.array().cast("array<variant>")), lambda x: F.coalesce(of(x, "$.url").startswith(scheme), F.lit(False)))}
+        for name, kind in SECTIONS.items():
+            cited = strings(s, f"$.{name}.claim_ids")
+            rules |= {f"{name}_kind": of(s, f"$.{name}.statement_type") == kind, f"{name}_claims": (F.size(cited) > 0) & known(cited, F.col("claim_ids"))}
+        rules["numbers"] = F.forall(F.coalesce(of(s, "$.key_numbers", "array<variant>"), F.array().cast("array<variant>")), lambda x: F.coalesce(F.array_contains("claim_ids", of(x, "$.claim_id")), F.lit(False)))
+        rules["listed"] = F.array_contains(F.when(of(s, "$.article_type") == "deep_dive", F.col("tops")).otherwise(F.col("briefs")), of(s, "$.story_id"))
+        return F.array(*faults(s, of(s, "$.story_id"), rules))
+
+    every = F.concat(
+        F.array(*faults(None, F.lit(""), whole)),
+        F.flatten(F.transform("stories", story)),
+        F.flatten(F.transform("trends", lambda t: F.array(*faults(t, of(t, "$.trend_id"), {"trend_events": known(strings(t, "$.event_ids"), F.col("event_ids"))})))),
+    )
+    broken = F.when(F.col("ok"), F.filter(every, lambda x: x["place"].isNotNull())).otherwise(F.array(F.struct(F.lit("not_json").alias("rule"), F.lit("").alias("place"))))
+    return read.select("key", F.explode(broken).alias("x")).select("x.rule", "key", "x.place")

@@ -6,7 +6,7 @@ read pages made of a customer's orders.  All run over whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siltworks.functions import records
@@ -522,3 +522,70 @@ def schema_violations(spark, sf_dir):
     said = F.when(k == 2, F.replace(said, F.lit('{"'), F.lit('{"more":1,"'))).when(k == 3, F.replace(said, F.lit('"importance_score":7'), F.lit('"importance_score":7.5'))).when(k == 5, F.replace(said, F.lit('"what":"said"'), F.lit('"what":null'))).when(k == 7, F.replace(said, F.lit('"proposed_claims":["r"]'), F.lit('"proposed_claims":["r",{"a":1}]'))).otherwise(said)
     answers = table(spark, sf_dir, "orders").select(text_of("o_orderkey").alias("candidate_id"), F.when(k == 0, F.lit("[1]")).when(k == 10, F.lit("{nope")).otherwise(said).alias("answer"))
     return enrich.schema_violations(answers, ["news"], ["r"])
+
+
+SQL_ISSUES = """
+e AS (SELECT o_custkey AS k, CAST(o_orderkey AS VARCHAR) AS id, 'story_' || substr(sha256(CAST(o_orderkey AS VARCHAR)), 1, 12) AS sid, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS p, o_orderstatus AS s, o_totalprice AS price,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 9 END, o_orderdate, CAST(o_orderkey AS VARCHAR)) - 1 AS rank,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) - 1 AS place FROM orders WHERE o_custkey IS NOT NULL),
+g AS (SELECT k, min(d) AS low, max(d) AS high, greatest(max(d), min(d) + 6) AS e, count(*) AS n FROM e GROUP BY 1 HAVING count(*) BETWEEN 5 AND 10)"""
+
+
+def issue_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(stories, events, claims): a customer's orders are the events of an issue, whose five dearest are its long stories."""
+    orders = table(spark, sf_dir, "orders").filter("o_custkey is not null")
+    number, level = text_of("o_orderkey"), F.col("o_orderpriority")
+    claim = lambda n: F.concat(F.lit("clm_"), number, F.lit(f"_{n}"))
+    found = orders.select(
+        F.col("o_custkey").alias("issue_key"), number.alias("event_id"), level.alias("canonical_title"), F.when(level == "1-URGENT", "priority.p0").when(level == "2-HIGH", "priority.p1").otherwise("other").alias("priority"),
+        F.col("o_orderdate").cast("timestamp").alias("event_at"), F.col("o_orderstatus").alias("fact_summary"), F.lit("Only an order.").alias("limitations"), F.array(claim(1), claim(2)).alias("claim_ids"), number.alias("primary_source_id"), level.alias("primary_route"), F.col("o_orderstatus").alias("entity_name"), "o_totalprice",
+    )
+    claims = orders.select(F.explode(F.array(F.struct(claim(1).alias("claim_id"), F.concat(F.lit("first "), level).alias("claim_text")), F.struct(claim(2).alias("claim_id"), F.concat(F.lit("last "), level).alias("claim_text")))).alias("c")).select("c.*")
+    reviews_ = orders.select(number.alias("event_id"), F.concat(F.lit("https://o.org/"), number).alias("url"), F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("why "), level)).alias("decision_reason"))
+    dearest = Window.partitionBy("issue_key").orderBy(F.col("o_totalprice").desc(), F.col("event_id").cast("bigint"))
+    tops = found.select("issue_key", "event_id", F.row_number().over(dearest).alias("place"))
+    return editorial.reader_stories(found, claims, reviews_, tops=tops, labels=[("o.org", "Order book")], watch=["Is it final?"]), found, claims
+
+
+@query(
+    "issue_document",
+    f"""WITH {SQL_ISSUES},
+    days AS (SELECT k, string_agg(strftime(day, '%Y-%m-%d') || ':' || ids, '|' ORDER BY day) AS days FROM (SELECT g.k, day, coalesce(string_agg(sid, ',' ORDER BY rank), '') AS ids FROM g CROSS JOIN range(7) AS r(i) CROSS JOIN LATERAL (SELECT CAST(g.e - 6 + CAST(i AS INTEGER) AS DATE) AS day) LEFT JOIN e ON e.k = g.k AND least(g.e, greatest(g.e - 6, e.d)) = day GROUP BY 1, 2) GROUP BY 1)
+    SELECT k AS issue_key, string_agg(sid, ',' ORDER BY place) FILTER (place < 5) AS tops, coalesce(string_agg(sid, ',' ORDER BY rank) FILTER (place >= 5), '') AS briefs, any_value(days.days) AS days,
+      string_agg(concat_ws('/', p, s, 'first ' || p, CASE WHEN s <> 'P' THEN 'why ' || p ELSE s END, 'last ' || p, CASE WHEN place < 5 THEN 'deep_dive' ELSE 'brief' END, 'https://o.org/' || id, greatest(70, 96 - 3 * rank), 'clm_' || id || '_1'), '|' ORDER BY rank) AS stories
+    FROM e JOIN g USING (k) JOIN days USING (k) GROUP BY 1""",
+)
+def issue_document(spark, sf_dir):
+    """The issue of each customer with five to ten orders, read back from its document by path."""
+    documents = editorial.issue_documents(*issue_parts(spark, sf_dir))
+    v = documents.select("issue_key", F.parse_json("document").alias("v"))
+    get = lambda item, path, kind="string": F.variant_get(item, path, kind)
+    told = lambda s: F.concat_ws("/", *[get(s, f"$.{p}") for p in ("headline", "what_happened.text", "dek", "why_it_matters.text", "under_the_hood.text", "article_type", "source_links[0].url", "editorial_score", "limitations.claim_ids[0]")])
+    day = lambda d: F.concat(get(d, "$.day"), F.lit(":"), F.array_join(get(d, "$.story_ids", "array<string>"), ","))
+    return v.select(
+        "issue_key",
+        F.array_join(get("v", "$.issue.top_story_ids", "array<string>"), ",").alias("tops"),
+        F.array_join(get("v", "$.issue.brief_story_ids", "array<string>"), ",").alias("briefs"),
+        F.array_join(F.transform(get("v", "$.presentation.timeline_days", "array<variant>"), day), "|").alias("days"),
+        F.array_join(F.transform(get("v", "$.editorial_stories", "array<variant>"), told), "|").alias("stories"),
+    )
+
+
+@query(
+    "document_violations",
+    f"""WITH {SQL_ISSUES}, x AS (SELECT k, k % 6 AS m FROM g), z AS (SELECT e.*, m FROM e JOIN x USING (k))
+    SELECT 'size' AS rule, CAST(k AS VARCHAR) AS key, '' AS place FROM e GROUP BY k HAVING count(*) NOT BETWEEN 5 AND 10
+    UNION ALL SELECT 'links', CAST(k AS VARCHAR), sid FROM z WHERE m = 1
+    UNION ALL SELECT unnest(['what_happened_claims', 'why_it_matters_claims', 'under_the_hood_claims', 'limitations_claims']), CAST(k AS VARCHAR), sid FROM z WHERE m = 2
+    UNION ALL SELECT 'seven_days', CAST(k AS VARCHAR), '' FROM x WHERE m = 3 UNION ALL SELECT 'timeline', CAST(k AS VARCHAR), '' FROM x WHERE m = 3
+    UNION ALL SELECT unnest(['why_it_matters_kind', 'limitations_kind']), CAST(k AS VARCHAR), sid FROM z WHERE m = 4
+    UNION ALL SELECT 'not_json', CAST(k AS VARCHAR), '' FROM x WHERE m = 5""",
+)
+def document_violations(spark, sf_dir):
+    """Sizes that are no issue, and documents of which five in six are spoilt in one place."""
+    stories, found, claims = issue_parts(spark, sf_dir)
+    m, text = F.col("issue_key") % 6, F.col("document")
+    spoilt = F.when(m == 1, F.replace(text, F.lit("https://"), F.lit("http://"))).when(m == 2, F.replace(text, F.lit('{"claim_id":"'), F.lit('{"claim_id":"no')))
+    spoilt = spoilt.when(m == 3, F.replace(text, F.lit('"timeline_days"'), F.lit('"days"'))).when(m == 4, F.replace(text, F.lit('"judgment"'), F.lit('"fact"'))).when(m == 5, F.concat(text, F.lit("]"))).otherwise(text)
+    broken = validate.documents(editorial.issue_documents(stories, found, claims).withColumn("document", spoilt))
+    return validate.issue_sizes(stories).withColumn("place", F.lit("")).unionByName(broken)

@@ -180,6 +180,12 @@ def publish(run: Run, spark: SparkSession, tables: str, reviews: DataFrame) -> d
     rules = sorted({r.rule for r in broken.select("rule").distinct().collect()})
     if rules:
         raise ValueError(f"the issue breaks {', '.join(rules)}")
+    document = issue_document(run.run_id, events, claims, reviews)
+    # Which addresses a review may name is for the gate to say.
+    rules = sorted({r.rule for r in validate.documents(document, scheme="").select("rule").distinct().collect()})
+    if rules:
+        raise ValueError(f"the issue's document breaks {', '.join(rules)}")
+    document.select("document").coalesce(1).write.mode("overwrite").text(f"{base}/document", lineSep="\n")
     editorial.bundle(made["stories"], events, claims, reviews).write.mode("overwrite").json(f"{base}/bundle")
     candidates, queue = (spark.read.parquet(f"{base}/{n}") for n in ("candidates", "queue"))
     sizes = {"candidates": candidates, "queued": queue, "reviewed": reviews, "claims": claims, "events": events, "stories": made["stories"]}
@@ -188,6 +194,15 @@ def publish(run: Run, spark: SparkSession, tables: str, reviews: DataFrame) -> d
     return made
 
 
+def issue_document(run_id: str, events: DataFrame, claims: DataFrame, reviews: DataFrame) -> DataFrame:
+    """The run's issue as one nested document; an event's review is that of its claims' candidate."""
+    keyed = events.withColumn("issue_key", F.lit(run_id))
+    cited = events.select("event_id", F.explode("claim_ids").alias("claim_id")).join(claims.select("claim_id", "candidate_id"), "claim_id")
+    told = reviews.join(cited.select("event_id", "candidate_id").distinct(), "candidate_id").select("event_id", "url", "decision_reason")
+    proof = claims.select("claim_id", "claim_text", "claim_kind", "source_locator", "source_id")
+    return editorial.issue_documents(editorial.reader_stories(keyed, proof, told), keyed, proof)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path, lineSep="\n")
 
