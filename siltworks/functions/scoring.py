@@ -24,6 +24,7 @@ class Rules:
     type_precedence: tuple[str, ...] = ()
     source_boosts: dict[str, dict[str, int]] = field(default_factory=dict)
     type_boosts: dict[str, int] = field(default_factory=dict)
+    #: The source types of the record contract that count as primary.
     primary_source_types: tuple[str, ...] = ("paper_report", "official_announcement", "code_dataset", "financial_report", "company_news", "public_report")
     context_source_type: str = "financial_report"
     watch_prefix: str | None = None

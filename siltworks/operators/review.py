@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions import ids
 
+# Fixed values of the review's contract.
 DECISIONS = ("include", "watch", "exclude")
 EVENT_FIELDS = ("event_id", "canonical_title", "event_type", "primary_route", "priority", "confidence", "entity_name", "tags")
 LEAST_EVENTS, MOST_EVENTS = 5, 10
@@ -155,6 +156,8 @@ def apply_selection(reviews: DataFrame, include: list[str], watch: list[str]) ->
     spark = reviews.sparkSession
     if set(include) & set(watch):
         raise ValueError("a candidate is both included and watched")
+    if len({*include, *watch}) < len(include) + len(watch):
+        raise ValueError("a candidate is listed twice")
     chosen = spark.createDataFrame([(x, "include") for x in include] + [(x, "watch") for x in watch], "candidate_id string, _decision string")
     odd = reviews.select("candidate_id").join(chosen, "candidate_id", "full_outer").join(reviews.select("candidate_id").withColumn("_in", F.lit(True)), "candidate_id", "left").filter("_decision is null or _in is null")
     if not odd.isEmpty():

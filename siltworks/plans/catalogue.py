@@ -498,11 +498,10 @@ def sentences_explode(spark, sf_dir):
 
 @query(
     "type_topk",
-    "SELECT o_orderpriority, o_orderkey, rank FROM (SELECT o_orderpriority, o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank FROM orders WHERE o_totalprice >= 1000) WHERE rank <= 8",
+    "SELECT o_orderpriority, o_orderkey, rank FROM (SELECT o_orderpriority, o_orderkey, CAST(row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS rank FROM orders) WHERE rank <= 8",
 )
 def type_topk(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").filter("o_totalprice >= 1000")
-    return summaries.top_per_group(orders, "o_orderpriority", 8, F.col("o_totalprice").desc(), F.col("o_orderkey")).select("o_orderpriority", "o_orderkey", "rank")
+    return summaries.top_per_group(table(spark, sf_dir, "orders"), "o_orderpriority", 8, F.col("o_totalprice").desc(), F.col("o_orderkey")).select("o_orderpriority", "o_orderkey", "rank")
 
 
 @query(

@@ -223,9 +223,9 @@ def url_pattern(spark, sf_dir):
     return table(spark, sf_dir, "pages").filter(predicates.url_allowed(F.col("url"), r"[05]([/?#.]|$)")).select("page_id")
 
 
-@query("keyword_groups", "SELECT s_suppkey, coalesce(k, '') AS keywords FROM supplier LEFT JOIN (SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS k FROM customer WHERE c_acctbal > 9000 GROUP BY 1) ON s_nationkey = c_nationkey")
+@query("keyword_groups", "SELECT s_suppkey, coalesce(k, '') AS keywords FROM supplier LEFT JOIN (SELECT c_nationkey, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS k FROM customer GROUP BY 1) ON s_nationkey = c_nationkey")
 def keyword_groups(spark, sf_dir):
-    groups = table(spark, sf_dir, "customer").filter("c_acctbal > 9000").select(F.col("c_nationkey").alias("keyword_group"), F.col("c_mktsegment").alias("term"))
+    groups = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("keyword_group"), F.col("c_mktsegment").alias("term"))
     return joins.with_keywords(table(spark, sf_dir, "supplier").withColumnRenamed("s_nationkey", "keyword_group"), groups).select("s_suppkey", F.array_join("keywords", ",").alias("keywords"))
 
 
@@ -589,3 +589,28 @@ def document_violations(spark, sf_dir):
     spoilt = spoilt.when(m == 3, F.replace(text, F.lit('"timeline_days"'), F.lit('"days"'))).when(m == 4, F.replace(text, F.lit('"judgment"'), F.lit('"fact"'))).when(m == 5, F.concat(text, F.lit("]"))).otherwise(text)
     broken = validate.documents(editorial.issue_documents(stories, found, claims).withColumn("document", spoilt))
     return validate.issue_sizes(stories).withColumn("place", F.lit("")).unionByName(broken)
+
+
+@query(
+    "search_rows",
+    f"""WITH o AS (SELECT *, CAST(o_orderdate AS TIMESTAMP) AS ts, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderkey % 11 = 0 THEN 1 ELSE 0 END, o_orderdate DESC, o_orderkey) AS n FROM orders WHERE o_custkey IS NOT NULL),
+    r AS (SELECT *, min(CASE WHEN ts < TIMESTAMP '{SINCE}' THEN n END) OVER (PARTITION BY o_custkey) AS stop FROM o WHERE n <= 6),
+    q AS (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS scanned FROM r WHERE stop IS NULL OR n <= stop)
+    SELECT CAST(o_custkey AS VARCHAR) AS registry_id, 'https://n.org/abs/' || o_orderkey AS url, 'Paper ' || o_orderkey AS title, scanned, '(cat:c' || o_custkey % 3 || ' OR cat:x) AND (all:"deep video" OR all:"t' || o_custkey % 2 || '")' AS said FROM q WHERE ts BETWEEN TIMESTAMP '{SINCE}' AND TIMESTAMP '{UNTIL}'""",
+)
+def search_rows(spark, sf_dir):
+    """A customer's orders as results of a search, newest first in pages of four; some are out of order, behind the older ones."""
+    orders = table(spark, sf_dir, "orders").filter("o_custkey is not null")
+    late, at = F.when(F.col("o_orderkey") % 11 == 0, 1).otherwise(0), F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
+    rows = orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct(late.alias("l"), (-at).alias("a"), "o_orderkey"))).alias("o"))
+    paged = rows.select("o_custkey", "o", F.explode(F.sequence(F.lit(0), F.expr("(size(o) - 1) div 4"))).alias("page"))
+    entry = lambda x: F.concat(F.lit("<entry><title>Paper "), x["o_orderkey"].cast("string"), F.lit('</title><link href="https://n.org/abs/'), x["o_orderkey"].cast("string"), F.lit('"/><published>'), F.date_format((-x["a"]).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("</published></entry>"))
+    body = F.concat(F.lit("<feed>"), F.array_join(F.transform(F.slice("o", F.col("page") * 4 + 1, F.lit(4)), entry), ""), F.lit("</feed>"))
+    # The page's number is part of the parser's key and taken apart again.
+    landed_pages = paged.select(F.concat_ws("/", "o_custkey", "page").alias("registry_id"), F.lit("https://n.org/api").alias("url"), body.alias("body"))
+    parts = F.split("registry_id", "/")
+    entries = landed.feed_entries(landed_pages).withColumns({"page": parts[1].cast("int"), "registry_id": parts[0]})
+    found = landed.search_results(entries, *span(), most=6)
+    key = F.col("registry_id").cast("bigint")
+    said = landed.search_text(F.array(F.concat(F.lit("c"), (key % 3).cast("string")), F.lit("x")), F.array(F.lit("deep video"), F.concat(F.lit("t"), (key % 2).cast("string"))))
+    return found.select("registry_id", F.col("link").alias("url"), "title", "scanned", said.alias("said"))

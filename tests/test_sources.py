@@ -169,3 +169,14 @@ def test_upsert_of_texts_does_not_multiply_rows(spark):
     assert got.columns == have.columns
     rows = {r.source_id: (r.raw_text, r.access_status, r.failure_reason, r.content_hash == "old", r.attempt) for r in got.collect()}
     assert got.count() == 5 and rows == {"a": ("second", "success", None, False, 9), "b": ("own", "success", "HTTP 500", True, 9), "c": (None, "failed", "no text", True, 9), "d": ("x", "success", None, True, 9), None: ("y", "success", None, True, 9)}
+
+
+def test_search_stops_at_the_first_older_entry(spark):
+    at = lambda d: dt.datetime(2026, 8, d)
+    rows = [("s", 0, 0, at(14)), ("s", 0, 1, at(10)), ("s", 1, 0, None), ("s", 1, 1, at(6)), ("s", 1, 2, at(1)), ("s", 2, 0, at(9)), ("t", 0, 0, at(7)), ("t", 0, 1, at(8)), (None, 0, 0, at(8))]
+    entries = spark.createDataFrame(rows, "registry_id string, page int, place int, published_at timestamp")
+    got = {(r.registry_id, r.page, r.place): r.scanned for r in landed.search_results(entries, T(START), T(END)).collect()}
+    assert got == {("s", 0, 1): 5, ("s", 1, 1): 5, ("t", 0, 0): 2, ("t", 0, 1): 2, (None, 0, 0): 1}
+    assert {r.place for r in landed.search_results(entries.filter("registry_id = 't'"), T(START), T(END), most=1).collect()} == {0}
+    said = spark.range(1).select(landed.search_text(F.array(F.lit("cs.CV"), F.lit("cs.RO")), F.array(F.lit("world model"))).alias("q")).first().q
+    assert said == '(cat:cs.CV OR cat:cs.RO) AND (all:"world model")'
