@@ -54,6 +54,11 @@ def _found(low: Column, table: Column) -> Column:
     return F.transform(F.filter(table, lambda x: F.contains(low, x["t"])), lambda x: x["w"])
 
 
+def _named(low: Column, terms) -> Column:
+    """The terms that a lower-cased text contains, sorted."""
+    return F.filter(_strings(sorted(set(terms))), lambda t: F.contains(low, F.lower(t)))
+
+
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda a, w: a + w)
 
@@ -85,6 +90,17 @@ def classify_type(low: Column, source_types: Column, rules: Rules) -> Column:
     return F.transform(F.array(F.array_max(options)), lambda x: F.struct(x["kind"].alias("kind"), x["score"].alias("score")))[0]
 
 
+def type_signals(low: Column, source_types: Column, kind: Column, rules: Rules) -> Column:
+    """What spoke for ``kind``: ``content:`` its terms in the text, sorted, then ``source_type:`` of each member that raises it."""
+    out = F.array().cast("array<string>")
+    for k in rules.types:
+        raising = [s for s, boosts in rules.source_boosts.items() if k in boosts]
+        said = F.transform(_named(low, rules.types[k]), lambda t: F.concat(F.lit("content:"), t))
+        members = F.transform(F.filter(source_types, lambda s: F.array_contains(_strings(raising), s)), lambda s: F.concat(F.lit("source_type:"), s))  # noqa: B023 - read at once
+        out = F.when(kind == k, F.concat(said, members)).otherwise(out)
+    return out
+
+
 def atomic_tags(low: Column, primary_route: Column, rules: Rules) -> Column:
     """struct of sorted distinct tags by group, of a lower-cased text; scene falls back to the default."""
     groups = {}
@@ -100,7 +116,9 @@ def atomic_tags(low: Column, primary_route: Column, rules: Rules) -> Column:
 
 
 def score_records(df: DataFrame, rules: Rules, *, title: str = "title", excerpt: str = "excerpt", source_type: str = "source_type", source_name: Column | None = None, context: Column | None = None) -> DataFrame:
-    """``df`` with score, primary_route, secondary_routes, routes, hard, soft, kind and kind_score.
+    """``df`` with score, primary_route, secondary_routes, routes, hard, soft, negative, kind and kind_score.
+
+    ``soft`` is the sum of the soft terms' weights, ``negative`` names them.
 
     A route's score is its best term in the title, up to 3 for more terms there, up to
     2 for its best term in the excerpt and up to 1 in the context of a filing.  Routes
@@ -159,6 +177,7 @@ def score_records(df: DataFrame, rules: Rules, *, title: str = "title", excerpt:
             "routes": F.transform("_ranked", lambda x: F.struct(x["route"].alias("route"), x["points"].alias("points"))),
             "hard": matches(F.col(title), list(rules.hard_terms)),
             "soft": soft,
+            "negative": _named(F.col("_ev"), rules.soft_terms),
             "kind": F.col("_kind.kind"),
             "kind_score": F.col("_kind.score"),
         }

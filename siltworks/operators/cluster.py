@@ -246,6 +246,7 @@ def roll_up(grouped: DataFrame, *, fixed: str | None = None, fixed_title: str |
     by_date = F.when(F.col("cluster") == "fixed", F.coalesce("published_at", F.lit("0001-01-01").cast("timestamp")))
     best_first = F.struct((-F.col("score")).alias("s"), by_date.alias("d"), F.col("title").alias("t"), F.col("ord").alias("o"))
     first = F.struct(by_date.alias("d"), F.when(by_date.isNull(), -F.col("score")).alias("s"), F.col("title").alias("t"), F.col("ord").alias("o"))
+    distinct = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c))))
     listed = lambda c: F.transform(F.array_sort(F.collect_list(F.struct(first.alias("k"), F.col(c).alias("v")))), lambda x: x["v"])
     best = F.min_by(F.struct("title", "primary_route", "secondary_routes", "score", "source_id"), best_first)
     out = rows.groupBy("cluster").agg(
@@ -254,7 +255,8 @@ def roll_up(grouped: DataFrame, *, fixed: str | None = None, fixed_title: str |
         F.min("published_at").alias("published_at"),
         listed("source_id").alias("source_ids"),
         listed("canonical_url").alias("source_urls"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("signals")))).alias("matched_signals"),
+        distinct("signals").alias("matched_signals"),
+        *([distinct("negative").alias("negative_signals")] if "negative" in rows.columns else []),
         F.count("*").alias("source_count"),
     )
     is_fixed = F.col("cluster") == "fixed"
@@ -271,6 +273,7 @@ def roll_up(grouped: DataFrame, *, fixed: str | None = None, fixed_title: str |
         "source_urls",
         "published_at",
         "matched_signals",
+        *(["negative_signals"] if "negative" in rows.columns else []),
         F.col("source_count").cast("int").alias("source_count"),
         F.when(is_fixed, "fixed_cluster").when(F.col("source_count") > 1, "near_title").otherwise("single").alias("method"),
     )

@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltworks.operators.checkpoints import with_checkpoints
+
 PINNED = "pinned"
 
 
@@ -77,11 +79,14 @@ def priority(reason: Column, track: Column, score: Column, first: int) -> Column
 def select_quota(candidates: DataFrame, quota: Quota) -> DataFrame:
     """``candidates`` (candidate_id, title, type, route, score, track) with status, reason and priority.
 
-    status: selected, overflow, below_threshold or unrouted.
+    status: selected, overflow, below_threshold or unrouted.  Candidates are written once,
+    so that ranking, pins and the result do not score them again.
     """
+    with_checkpoints(candidates.sparkSession)
+    candidates = candidates.checkpoint()
     eligible = candidates.filter(F.col("route").isNotNull() & (F.col("score") >= quota.minimum_score))
     fixed = F.coalesce(F.col("title").isin(*quota.pinned_titles), F.lit(False)) if quota.pinned_titles else F.lit(False)
-    counts = eligible.filter(fixed).groupBy("type", "route").agg(F.count("*").alias("n")).collect()
+    counts = eligible.filter(fixed).groupBy("type", "route").agg(F.count("*").alias("n")).collect() if quota.pinned_titles else []
     pinned = [(r.type, r.route) for r in counts for _ in range(min(r.n, quota.target * 4))]
     rank = F.row_number().over(Window.partitionBy("type", "route").orderBy(F.col("score").desc(), "title", "candidate_id"))
     few = eligible.filter(~fixed).withColumn("_r", rank).filter(F.col("_r") <= quota.target + quota.minimum)
@@ -118,6 +123,25 @@ def review_queue(selected: DataFrame, *, most: int, type_minimums: dict[str, int
     return queue.unionByName(fill.withColumn("queued_for", F.lit("type_minimum")))
 
 
+@dataclass(frozen=True)
+class Wording:
+    """What a candidate's reader is told: reasons by route, and what to verify."""
+
+    routes: dict[str, str] = field(default_factory=dict)
+    other: str = "Near the subject and worth a check"
+    fixed_set: tuple[str, ...] = ("What changed in the watched source, and when?",)
+    by_source: tuple[tuple[tuple[str, ...], tuple[str, ...]], ...] = ()
+    common: tuple[str, ...] = ("What is new?", "Where does the source state it?")
+    by_route: dict[str, str] = field(default_factory=dict)
+
+
+def explained(candidates: DataFrame, wording: Wording, source_types: str = "source_types") -> DataFrame:
+    """``candidates`` with why_candidate (selected ones) and verification_questions."""
+    why = rationale(F.col("reason"), F.col("track"), F.col("route"), F.col("matched_signals"), wording.routes, wording.other)
+    asked = questions(F.col("track") == "track.fixed", F.col(source_types), F.col("route"), fixed_set=list(wording.fixed_set), by_source=[(k, list(q)) for k, q in wording.by_source], common=list(wording.common), by_route=wording.by_route)
+    return candidates.withColumn("why_candidate", F.when(F.col("status") == "selected", why)).withColumn("verification_questions", asked)
+
+
 def rationale(reason: Column, track: Column, route: Column, signals: Column, texts: dict[str, str], other: str) -> Column:
     """Why a candidate is here: by pin, by watched source, or by route with its first four signals."""
     said = F.lit(other)

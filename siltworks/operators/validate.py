@@ -58,14 +58,29 @@ def source_records(records: DataFrame, expected: int | None = None) -> DataFrame
     return _all(parts)
 
 
-def shortlist(selected: DataFrame, overflow: DataFrame, *, least: int = 12, most: int = 30, types: list[str], type_caps: dict[str, int], route_minimums: dict[str, int], recall: DataFrame | None = None) -> DataFrame:
-    """Size, ids, reasons, types, retention of available types, attainable routes and recall."""
+def shortlist(selected: DataFrame, overflow: DataFrame, *, least: int = 12, most: int = 30, types: list[str], type_caps: dict[str, int], route_minimums: dict[str, int], recall: DataFrame | None = None, fixed_title: str | None = None, collapsed: int = 0) -> DataFrame:
+    """Size, ids, reasons, questions, status, types, retention of available types, attainable routes and recall.
+
+    Questions and status are held where ``selected`` has them.  With ``fixed_title``, the
+    watched source's records are one candidate, made by the rule of its cluster, and
+    ``collapsed``, the members that the run's report counts as collapsed into it, agrees.
+    """
     spark = selected.sparkSession
+    told = {}
+    if "verification_questions" in selected.columns:
+        told["questions"] = F.size("verification_questions") > 0
+    if "status" in selected.columns:
+        told["status"] = F.col("status") == "selected"
     parts = [
         selected.agg(F.count("*").alias("n")).filter(~F.col("n").between(least, most)).select(F.lit("size").alias("rule"), F.col("n").cast("string").alias("key")),
         _repeated(selected, "candidate_id", "duplicate_id"),
-        row_rules(selected, "candidate_id", {"reason": F.coalesce(F.col("reason"), F.lit("")) != "", "known_type": F.col("type").isin(*types)}),
+        row_rules(selected, "candidate_id", {"reason": F.coalesce(F.col("reason"), F.lit("")) != "", "known_type": F.col("type").isin(*types)} | told),
     ]
+    if fixed_title is not None:
+        ours = selected.filter(F.col("canonical_title") == fixed_title).agg(F.count("*").alias("n"), F.min("method").alias("method"), F.coalesce(F.sum("source_count"), F.lit(0)).alias("members"))
+        whole = (F.col("n") == 1) & (F.col("method") == "fixed_cluster") & (F.col("members") - 1 == collapsed)
+        broken = ours.filter(((F.col("n") > 0) | F.lit(collapsed > 0)) & ~F.coalesce(whole, F.lit(False)))
+        parts.append(broken.select(F.lit("fixed_cluster").alias("rule"), F.col("n").cast("string").alias("key")))
     per_type = selected.groupBy("type").agg(F.count("*").alias("n"))
     if type_caps:
         caps = spark.createDataFrame(list(type_caps.items()), "type string, cap int")

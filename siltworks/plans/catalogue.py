@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions import ids, records, scoring, text, times, urls
-from siltworks.operators import cluster, dedupe, editorial, joins, predicates, select, summaries, validate
+from siltworks.operators import cluster, dedupe, editorial, joins, outcomes, predicates, select, summaries, validate
 from siltworks.sources import landed
 
 QUERIES: dict = {}
@@ -363,6 +363,43 @@ def exclusion_split(spark, sf_dir):
     return predicates.split_scored(scored(spark, sf_dir), RULES.minimum_score).groupBy("decision").agg(F.count("*").alias("n"), F.sum("score").alias("total"))
 
 
+SQL_SOFT = "list_sort(list_filter([" + ", ".join(f"'{t}'" for t in RULES.soft_terms) + "], lambda t: contains(x, t)))"
+SQL_OUTCOMES = f"""
+WITH s AS (SELECT doc_id, hard, primary_route IS NULL AS unrouted, array_to_string({SQL_SOFT}, ',') AS soft FROM ({SQL_SCORED})),
+o AS (
+  SELECT doc_id, 'excluded' AS reason, '{RULES.hard_terms[0]}' AS terms FROM s WHERE hard
+  UNION ALL SELECT doc_id, 'unrouted', '' FROM s WHERE NOT hard AND unrouted
+  UNION ALL SELECT doc_id, 'demoted', soft FROM s WHERE NOT hard AND soft <> '')"""
+
+
+@query("exclusions", f"{SQL_OUTCOMES} SELECT doc_id, reason, terms FROM o")
+def exclusions(spark, sf_dir):
+    """What is set aside or marked down of all documents, and by which terms."""
+    return outcomes.exclusions(scored(spark, sf_dir), key="doc_id").select("doc_id", "reason", F.array_join("terms", ",").alias("terms"))
+
+
+@query(
+    "outcome_counts",
+    f"{SQL_OUTCOMES} SELECT count(*) AS scored, (SELECT count(*) FROM o WHERE reason = 'excluded') AS excluded, (SELECT count(*) FROM o WHERE reason = 'demoted') AS demoted, (SELECT count(*) FROM o WHERE reason = 'unrouted') AS unrouted, count(*) FILTER (NOT hard AND NOT unrouted) AS routed FROM s",
+)
+def outcome_counts(spark, sf_dir):
+    return outcomes.counts(scored(spark, sf_dir))
+
+
+_SQL_SPOKE = " ".join(
+    f"WHEN '{k}' THEN list_concat(list_transform(list_filter([{', '.join(repr(t) for t in sorted(ts))}], lambda t: contains(x, t)), lambda t: 'content:' || t), list_filter([{', '.join(repr('source_type:' + s) for s, b in RULES.source_boosts.items() if k in b)}]::VARCHAR[], lambda s: s = 'source_type:' || source))"
+    for k, ts in RULES.types.items()
+)
+
+
+@query("type_signals", f"SELECT s.doc_id, s.kind, array_to_string(CASE s.kind {_SQL_SPOKE} END, ',') AS signals FROM ({SQL_SCORED}) s JOIN documents d ON s.doc_id = d.doc_id")
+def type_signals(spark, sf_dir):
+    """What spoke for the type that a document got."""
+    low = F.lower(F.concat_ws(" ", "title", "excerpt"))
+    spoke = scoring.type_signals(low, F.array("publisher"), F.col("kind"), RULES)
+    return scored(spark, sf_dir).select("doc_id", "kind", F.array_join(spoke, ",").alias("signals"))
+
+
 @query("focused_excerpt", None)
 def focused_excerpt(spark, sf_dir):
     pages = F.split("text", "\n")
@@ -678,10 +715,10 @@ SELECT 'cand_' || substr(sha256(title || strftime(lead_at, '%Y-%m-%dT%H:%M:%SZ')
   CASE WHEN source_count > 1 THEN 'near_title' ELSE 'single' END AS method FROM c"""
 
 
-def rolled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A customer's orders as the members of one group, rolled up to a candidate."""
+def member_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer's orders as the members of one group."""
     none = F.array().cast("array<string>")
-    rows = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("ord"),
         F.col("o_custkey").alias("leader"),
         F.floor(F.col("o_totalprice") / 10000).cast("int").alias("score"),
@@ -694,7 +731,65 @@ def rolled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("published_at"),
         none.alias("signals"),
     )
-    return cluster.roll_up(rows)
+
+
+def rolled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.roll_up(member_orders(spark, sf_dir))
+
+
+SQL_ROLLED_FIXED = """
+WITH o AS (SELECT o_orderkey AS ord, o_custkey AS leader, o_custkey = 7 AS ours, CAST(floor(o_totalprice / 10000) AS INTEGER) AS score, o_orderpriority || ' ' || o_orderstatus AS title, o_orderdate AS day, o_orderpriority AS route, 'o:' || lower(o_orderstatus) AS negative FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY leader ORDER BY CASE WHEN ours THEN day END, CASE WHEN NOT ours THEN -score END, title, ord) AS r, row_number() OVER (PARTITION BY leader ORDER BY -score, CASE WHEN ours THEN day END, title, ord) AS b FROM o),
+c AS (SELECT leader, bool_or(ours) AS ours, CASE WHEN bool_or(ours) THEN 'The watched customer' ELSE max(title) FILTER (b = 1) END AS title, max(route) FILTER (b = 1) AS primary_route, max(score) FILTER (b = 1) AS score, max(day) FILTER (r = 1) AS lead_at, string_agg('s' || ord, ',' ORDER BY r) AS source_ids, CAST(count(*) AS INTEGER) AS source_count, string_agg(DISTINCT negative, ',' ORDER BY negative) AS negative_signals FROM r GROUP BY 1)
+SELECT 'cand_' || substr(sha256(title || strftime(lead_at, '%Y-%m-%dT%H:%M:%SZ')), 1, 16) AS candidate_id, title AS canonical_title, primary_route, score + CASE WHEN ours THEN 3 ELSE 0 END AS score, CASE WHEN ours THEN 'track.fixed' ELSE 'track.emerging' END AS track, source_ids, negative_signals,
+  CASE WHEN ours THEN 'fixed_cluster' WHEN source_count > 1 THEN 'near_title' ELSE 'single' END AS method FROM c"""
+
+
+@query("fixed_rollup", SQL_ROLLED_FIXED)
+def fixed_rollup(spark, sf_dir):
+    """Orders of one watched customer as one candidate of its own, the others by customer; negative signals kept."""
+    rows = member_orders(spark, sf_dir).withColumn("source_name", F.concat(F.lit("customer "), F.col("leader").cast("string")))
+    rows = rows.withColumn("negative", F.array(F.concat(F.lit("o:"), F.lower(F.substring_index("title", " ", -1)))))
+    rolled = cluster.roll_up(rows, fixed="customer 7", fixed_title="The watched customer")
+    return rolled.select("candidate_id", "canonical_title", "primary_route", "score", "track", F.array_join("source_ids", ",").alias("source_ids"), F.array_join("negative_signals", ",").alias("negative_signals"), "method")
+
+
+SQL_SHORT = """
+WITH o AS (SELECT CAST(CASE WHEN o_orderkey % 101 = 0 THEN o_custkey ELSE -o_orderkey END AS VARCHAR) AS candidate_id, o_orderkey AS k, o_orderpriority AS type, 'r' || (o_custkey % 20) AS route, o_custkey = 7 AS ours, o_orderstatus = 'F' AS chosen FROM orders),
+s AS (SELECT * FROM o WHERE chosen), f AS (SELECT * FROM o WHERE NOT chosen),
+want(route, least) AS (VALUES ('r1', 1), ('r2', 1000000000), ('r99', 3)),
+x AS (SELECT count(*) AS n FROM s WHERE ours)
+SELECT 'size' AS rule, CAST(count(*) AS VARCHAR) AS key FROM s HAVING count(*) NOT BETWEEN 12 AND 30
+UNION ALL SELECT 'duplicate_id', candidate_id FROM s GROUP BY candidate_id HAVING count(*) > 1
+UNION ALL SELECT 'reason', candidate_id FROM s WHERE k % 97 = 0
+UNION ALL SELECT 'questions', candidate_id FROM s WHERE k % 89 = 0
+UNION ALL SELECT 'status', candidate_id FROM s WHERE k % 83 = 0
+UNION ALL SELECT 'known_type', candidate_id FROM s WHERE type = '5-LOW'
+UNION ALL SELECT 'type_cap', type FROM s WHERE type = '1-URGENT' GROUP BY type HAVING count(*) > 10
+UNION ALL SELECT DISTINCT 'type_retained', type FROM f WHERE type NOT IN (SELECT type FROM s)
+UNION ALL SELECT 'route_minimum', route FROM want w WHERE (SELECT count(*) FROM s WHERE s.route = w.route) < least(w.least, (SELECT count(*) FROM o WHERE o.route = w.route))
+UNION ALL SELECT 'fixed_cluster', CAST(n AS VARCHAR) FROM x WHERE n <> 1 OR (SELECT bool_or(k % 2 = 0) FROM s WHERE ours)"""
+
+
+@query("shortlist_violations", SQL_SHORT)
+def shortlist_violations(spark, sf_dir):
+    """Rules of a shortlist over all orders, each broken somewhere; finished orders are the chosen."""
+    key, ours = F.col("o_orderkey"), F.col("o_custkey") == 7
+    rows = table(spark, sf_dir, "orders").select(
+        F.when(key % 101 == 0, F.col("o_custkey")).otherwise(-key).cast("string").alias("candidate_id"),
+        F.when(key % 97 != 0, "balanced").alias("reason"),
+        F.when(key % 83 == 0, "verified").otherwise("selected").alias("status"),
+        F.when(key % 89 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("What is new?"))).alias("verification_questions"),
+        F.col("o_orderpriority").alias("type"),
+        F.concat(F.lit("r"), (F.col("o_custkey") % 20).cast("string")).alias("route"),
+        F.when(ours, "The watched customer").otherwise("other").alias("canonical_title"),
+        F.when(key % 2 == 0, "near_title").otherwise("fixed_cluster").alias("method"),
+        F.lit(3).alias("source_count"),
+        "o_orderstatus",
+    )
+    chosen = F.col("o_orderstatus") == "F"
+    kinds = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+    return validate.shortlist(rows.filter(chosen), rows.filter(~chosen), types=kinds, type_caps={"1-URGENT": 10}, route_minimums={"r1": 1, "r2": 1_000_000_000, "r99": 3}, fixed_title="The watched customer", collapsed=2)
 
 
 @query("candidate_rollup", SQL_ROLLED)

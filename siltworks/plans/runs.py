@@ -6,22 +6,17 @@ restart reads what an earlier one wrote.  Only the run's small state lives on th
 
 from __future__ import annotations
 
-import json
-import os
 from collections.abc import Callable
-from dataclasses import dataclass, field
-from pathlib import Path
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions import records, scoring, text
-from siltworks.operators import cluster, dedupe, editorial, enrich, joins, predicates, review, select, summaries, validate
+from siltworks.operators import cluster, dedupe, editorial, enrich, joins, outcomes, predicates, review, select, summaries, validate
+from siltworks.plans.state import Run, StaleRun, latest  # noqa: F401 - part of this module's interface
 from siltworks.sources import sinks
 
-#: The states of a run and where each may go.
-MOVES = {"initialized": {"running"}, "running": {"waiting_for_review", "completed", "failed"}, "waiting_for_review": {"running"}, "failed": {"running"}, "completed": set()}
-
 Adapter = Callable[[DataFrame], DataFrame]
 
 
@@ -62,10 +57,18 @@ class Structured:
     scored: DataFrame
     candidates: DataFrame
     summary: DataFrame
+    exclusions: DataFrame
+    recall: DataFrame
+    report: DataFrame
+
 
+def structure(source_records: DataFrame, rules: scoring.Rules, quota: select.Quota, fixed: str | None = None, fixed_title: str | None = None, *, wording: select.Wording | None = None, expected: list[str] = ()) -> Structured:
+    """Readable records to a shortlist: score, split, group near titles, roll up, select.
 
-def structure(source_records: DataFrame, rules: scoring.Rules, quota: select.Quota, fixed: str | None = None, fixed_title: str | None = None) -> Structured:
-    """Readable records to a shortlist: score, split, group near titles, roll up, select."""
+    Each candidate has what spoke for its type, its negative signals, questions and, where
+    selected, why.  What is set aside or marked down is listed with its terms; ``expected``
+    titles are looked for in the records and in the shortlist.
+    """
     readable = source_records.filter("access_status = 'success'").withColumn("ord", F.xxhash64("source_id"))
     scored = scoring.score_records(readable, rules, title="raw_title", excerpt="raw_excerpt", source_name=F.col("source_name"), context=F.col("discovery_context"))
     scored = predicates.split_scored(scored.withColumn("title", F.col("raw_title")), rules.minimum_score)
@@ -77,60 +80,30 @@ def structure(source_records: DataFrame, rules: scoring.Rules, quota: select.Quo
     rolled = cluster.roll_up(grouped, fixed=fixed, fixed_title=fixed_title)
     members = rolled.select("candidate_id", F.explode("source_ids").alias("source_id")).join(readable.select("source_id", "source_type", F.concat_ws(" ", "raw_title", F.coalesce("raw_excerpt", F.lit(""))).alias("said")), "source_id")
     own = members.groupBy("candidate_id").agg(F.collect_list("source_type").alias("types"), F.lower(F.array_join(F.array_sort(F.collect_list("said")), " ")).alias("said"))
-    typed = rolled.join(own, "candidate_id").withColumn("type", scoring.classify_type(F.col("said"), F.col("types"), rules)["kind"]).withColumn("tags", scoring.atomic_tags(F.col("said"), F.col("primary_route"), rules) if rules.tags else F.lit(None)).drop("said", "types")
+    typed = rolled.join(own, "candidate_id").withColumn("type", scoring.classify_type(F.col("said"), F.col("types"), rules)["kind"]).withColumn("type_signals", scoring.type_signals(F.col("said"), F.array_sort("types"), F.col("type"), rules)).withColumn("source_types", F.array_sort(F.array_distinct("types"))).withColumn("tags", scoring.atomic_tags(F.col("said"), F.col("primary_route"), rules) if rules.tags else F.lit(None)).drop("said", "types")
     chosen = select.select_quota(typed.withColumn("title", F.col("canonical_title")).withColumn("route", F.col("primary_route")), quota)
-    return Structured(scored, chosen, summaries.processing_summary(chosen))
-
-
-@dataclass
-class Run:
-    """A run's folder and state; each move is written by replacing the file as a whole."""
-
-    folder: str
-    run_id: str
-    state: str = "initialized"
-    history: list[str] = field(default_factory=lambda: ["initialized"])
-
-    @classmethod
-    def load(cls, folder: str, run_id: str) -> Run:
-        return cls(folder, **json.loads((Path(folder) / run_id / "state.json").read_text()))
-
-    def save(self) -> None:
-        path = Path(self.folder) / self.run_id
-        path.mkdir(parents=True, exist_ok=True)
-        draft = path / "state.json.tmp"
-        draft.write_text(json.dumps({"run_id": self.run_id, "state": self.state, "history": self.history}))
-        os.replace(draft, path / "state.json")
-        (Path(self.folder) / "latest").write_text(self.run_id)
-
-    def move(self, state: str) -> None:
-        if state == self.state:
-            return
-        if state not in MOVES[self.state]:
-            raise ValueError(f"a run cannot go from {self.state} to {state}")
-        self.state = state
-        self.history.append(state)
-        self.save()
-
-
-def latest(folder: str) -> Run:
-    return Run.load(folder, (Path(folder) / "latest").read_text().strip())
+    chosen = select.explained(chosen, wording or select.Wording())
+    recalled = outcomes.recall(list(expected), readable, chosen)
+    return Structured(scored, chosen, summaries.processing_summary(chosen), outcomes.exclusions(scored), recalled, outcomes.report(source_records, scored, chosen, recalled))
 
 
-def start(run: Run, source_records: DataFrame, rules: scoring.Rules, quota: select.Quota, tables: str, *, most: int = 10, fixed: str | None = None, fixed_title: str | None = None, provider: enrich.Provider | None = None, cache: DataFrame | None = None, settings: enrich.Settings | None = None) -> DataFrame:
+def start(run: Run, source_records: DataFrame, rules: scoring.Rules, quota: select.Quota, tables: str, *, most: int = 10, fixed: str | None = None, fixed_title: str | None = None, provider: enrich.Provider | None = None, cache: DataFrame | None = None, settings: enrich.Settings | None = None, wording: select.Wording | None = None, expected: list[str] = ()) -> DataFrame:
     """Validates, structures, enriches and writes the queue, then waits for a person; returns the queue.
 
     With a ``provider`` the best of the shortlist, at most ``settings.most_candidates``, get
     a model's type, priority and relevance; its answers are written for the next run's ``cache``.
     """
     spark = source_records.sparkSession
+    # A driver that another has overtaken stops here, before it writes anything.
     run.move("running")
     try:
         broken = validate.source_records(source_records)
         if not broken.isEmpty():
             raise ValueError(f"source records break {sorted(r.rule for r in broken.select('rule').distinct().collect())}")
-        made = structure(source_records, rules, quota, fixed, fixed_title)
-        made.candidates.write.mode("overwrite").parquet(f"{tables}/{run.run_id}/candidates")
+        made = structure(source_records, rules, quota, fixed, fixed_title, wording=wording, expected=expected)
+        for name in ("candidates", "exclusions", "recall", "report"):
+            where = "structured_report" if name == "report" else name
+            getattr(made, name).write.mode("overwrite").parquet(f"{tables}/{run.run_id}/{where}")
         kept = spark.read.parquet(f"{tables}/{run.run_id}/candidates").filter("status = 'selected'")
         if provider is None:
             judged = kept.withColumn("model_priority", F.lit(None).cast("string")).withColumn("relevance", F.lit(0))

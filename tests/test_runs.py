@@ -95,6 +95,50 @@ def test_enriched_run(spark, collected, tmp_path):
     assert again.count() == len(queue) and len(open(asked).read()) == 4
 
 
+def test_structure_accounts_for_every_record(spark):
+    from siltworks.operators import validate
+
+    rules = scoring.Rules(
+        routes={"r.a": {"alpha": 9}, "r.b": {"beta": 9}}, hard_terms=("spam",), soft_terms={"rumour": -2, "hearsay": -1},
+        types={"t.x": ("alpha",), "t.y": ("beta",)}, type_precedence=("t.x", "t.y"), source_boosts={"blog": {"t.y": 1}},
+    )
+    titles = ["alpha spam one", "alpha rumour about wolves", "nothing of note", "hearsay without a route", "beta from a quiet harbour", "beta from a quiet harbour", "alpha commit one", "alpha commit of another kind", "Alpha lonely"]
+    rows = [(f"src_{i}", t, None, "repo" if "commit" in t else "blog", "blog", f"p{i % 2 if 'beta' not in t else 0}", dt.datetime(2026, 8, 1 + i), f"https://e.org/{i}", "success", None) for i, t in enumerate(titles)]
+    rows += [("src_x", "alpha failed", None, "blog", "blog", "p", None, "https://e.org/x", "failed", "timeout")]
+    kind = "source_id string, raw_title string, raw_excerpt string, source_name string, source_type string, publisher string, published_at timestamp, canonical_url string, access_status string, discovery_context string"
+    wording = select.Wording(routes={"r.a": "Alpha moves"}, by_route={"r.b": "Is beta final?"})
+    made = runs.structure(spark.createDataFrame(rows, kind), rules, select.Quota(target=10, minimum=2, minimum_score=7, first_priority=9), "repo", "The repository", wording=wording, expected=["Alpha lonely", "alpha spam one", "alpha failed", "never seen"])
+    got = {(r.source_id, r.reason): r.terms for r in made.exclusions.collect()}
+    assert got == {("src_0", "excluded"): ["spam"], ("src_1", "demoted"): ["rumour"], ("src_2", "unrouted"): [], ("src_3", "unrouted"): [], ("src_3", "demoted"): ["hearsay"]}
+    candidates = {r.canonical_title: r for r in made.candidates.collect()}
+    assert set(candidates) == {"alpha rumour about wolves", "beta from a quiet harbour", "The repository", "Alpha lonely"}
+    assert candidates["alpha rumour about wolves"].negative_signals == ["rumour"] and candidates["Alpha lonely"].negative_signals == []
+    assert candidates["Alpha lonely"].type_signals == ["content:alpha"] and candidates["beta from a quiet harbour"].type_signals == ["content:beta", "source_type:blog", "source_type:blog"]
+    assert candidates["Alpha lonely"].why_candidate == "Alpha moves; signals: alpha." and candidates["The repository"].why_candidate.startswith("A watched source")
+    assert candidates["beta from a quiet harbour"].verification_questions == ["What is new?", "Where does the source state it?", "Is beta final?"]
+    assert candidates["The repository"].verification_questions == ["What changed in the watched source, and when?"]
+    recalled = {r.title: (r.present, r.selected) for r in made.recall.collect()}
+    assert recalled == {"Alpha lonely": (True, True), "alpha spam one": (True, False), "alpha failed": (False, False), "never seen": (False, False)}
+    report = {(r.figure, r.of): r.n for r in made.report.collect()}
+    assert report == {
+        ("input_records", None): 10, ("scored", None): 9, ("excluded", None): 1, ("demoted", None): 2, ("unrouted", None): 2, ("routed", None): 6, ("candidates", None): 4, ("selected", None): 4,
+        ("recall_present", None): 2, ("recall_selected", None): 1, ("collapsed", "single"): 0, ("collapsed", "near_title"): 1, ("collapsed", "fixed_cluster"): 1,
+        ("selected_by_type", "t.x"): 3, ("selected_by_type", "t.y"): 1, ("selected_by_route", "r.a"): 3, ("selected_by_route", "r.b"): 1,
+    }
+    chosen = made.candidates.filter("status = 'selected'")
+    check = lambda df, n: [r.rule for r in validate.shortlist(df, made.candidates.filter("status = 'overflow'"), least=1, types=list(rules.types), type_caps={}, route_minimums={}, recall=made.recall, fixed_title="The repository", collapsed=n).collect()]
+    assert check(chosen, 1) == ["recall"] and set(check(chosen, 4)) == {"recall", "fixed_cluster"}
+    assert set(check(chosen.filter("method <> 'fixed_cluster'"), 1)) == {"recall", "fixed_cluster"}
+    assert set(check(chosen.withColumn("verification_questions", F.array().cast("array<string>")).withColumn("status", F.lit("verified")), 1)) == {"recall", "questions", "status"}
+
+
+def test_structure_of_nothing(spark):
+    kind = "source_id string, raw_title string, raw_excerpt string, source_name string, source_type string, publisher string, published_at timestamp, canonical_url string, access_status string, discovery_context string"
+    made = runs.structure(spark.createDataFrame([], kind), RULES, QUOTA, expected=["a"])
+    assert made.candidates.count() == made.exclusions.count() == 0 and made.recall.collect() == [("a", False, False)]
+    assert {r.figure: r.n for r in made.report.collect()} == {"input_records": 0, "scored": 0, "excluded": 0, "demoted": 0, "unrouted": 0, "routed": 0, "candidates": 0, "selected": 0, "recall_present": 0, "recall_selected": 0}
+
+
 def enrich_settings(most):
     from siltworks.operators import enrich
 
