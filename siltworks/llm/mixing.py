@@ -130,7 +130,9 @@ def op9_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
-OP9_SQL = f"""
+def mixing_sql() -> str:
+    """The same mix in SQL, with each source's own block length."""
+    return f"""
 WITH sizes AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS nth FROM sizes GROUP BY source),
@@ -139,25 +141,29 @@ lv AS (
   SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(weight) OVER (ORDER BY cap / weight, nth ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
 common AS (SELECT arg_min(level, cap / weight) AS level FROM lv WHERE level * weight <= cap),
-plan AS (SELECT source, nth, source_size, CASE WHEN common.level IS NULL THEN cap ELSE least(cap, common.level * weight) END AS target FROM lv, common),
-edges AS (SELECT nth, target, sum(target) OVER (ORDER BY nth) AS high FROM plan WHERE target > 0),
-k AS (SELECT greatest({MIN_BLOCK}, sum(source_size) // {SLOTS})::BIGINT AS block, sum(target) AS total FROM plan),
+plan AS (
+  SELECT source, nth, source_size, CASE WHEN common.level IS NULL THEN cap ELSE least(cap, common.level * weight) END AS target,
+    least(greatest({MIN_BLOCK}, sum(source_size) OVER () // {SLOTS}), greatest(source_size // {SOURCE_BLOCKS}, least({MIN_BLOCK}, greatest(1, source_size // {LEAST_BLOCKS}))))::BIGINT AS length
+  FROM lv, common),
+edges AS (SELECT nth, target / length AS wide, sum(target / length) OVER (ORDER BY nth) AS high FROM plan WHERE target > 0),
 slot AS (SELECT i, ((i + 0.5::DOUBLE) * {GOLDEN}::DOUBLE - floor((i + 0.5::DOUBLE) * {GOLDEN}::DOUBLE)) * (SELECT max(high) FROM edges) AS p
-  FROM (SELECT unnest(range(CAST(round(total / block) AS BIGINT))) AS i FROM k)),
-placed AS (SELECT slot.i, edges.nth FROM slot JOIN edges ON slot.p < edges.high AND slot.p >= edges.high - edges.target),
+  FROM (SELECT unnest(range(CAST(round_even(max(high), 0) AS BIGINT))) AS i FROM edges)),
+placed AS (SELECT slot.i, edges.nth FROM slot JOIN edges ON slot.p < edges.high AND slot.p >= edges.high - edges.wide),
 ranked AS (SELECT nth, row_number() OVER (PARTITION BY nth ORDER BY i) - 1 AS r FROM placed),
 times AS (
-  SELECT r.nth, r.r % ((p.source_size + k.block - 1) // k.block) AS block, count(*) AS times
-  FROM ranked r JOIN plan p ON r.nth = p.nth, k WHERE r.r < 2 * ((p.source_size + k.block - 1) // k.block) GROUP BY 1, 2),
+  SELECT r.nth, r.r % ((p.source_size + p.length - 1) // p.length) AS block, count(*) AS times
+  FROM ranked r JOIN plan p ON r.nth = p.nth WHERE r.r < 2 * ((p.source_size + p.length - 1) // p.length) GROUP BY 1, 2),
 line AS (
-  SELECT s.doc_id, s.size, p.nth, p.source_size, p.target,
+  SELECT s.doc_id, s.size, p.nth, p.source_size, p.target, p.length,
     sum(s.size) OVER (PARTITION BY p.nth ORDER BY md5(coalesce(CAST(s.doc_id AS VARCHAR), '')), s.doc_id, s.size ROWS UNBOUNDED PRECEDING) - s.size AS start
   FROM sizes s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source),
-spread AS (
-  SELECT line.*, k.block AS b, unnest(range(CAST(start // k.block AS BIGINT), CAST((start + size - 1) // k.block + 1 AS BIGINT))) AS block FROM line, k WHERE size > 0),
+spread AS (SELECT *, unnest(range(CAST(start // length AS BIGINT), CAST((start + size - 1) // length + 1 AS BIGINT))) AS block FROM line WHERE size > 0),
 got AS (
-  SELECT s.doc_id, s.nth, s.start, CAST(sum((least(s.start + s.size, (s.block + 1) * s.b) - greatest(s.start, s.block * s.b)) * coalesce(t.times, 0)) AS BIGINT) AS taken
+  SELECT s.doc_id, s.nth, s.start, CAST(sum((least(s.start + s.size, (s.block + 1) * s.length) - greatest(s.start, s.block * s.length)) * coalesce(t.times, 0)) AS BIGINT) AS taken
   FROM spread s LEFT JOIN times t ON s.nth = t.nth AND s.block = t.block GROUP BY 1, 2, 3)
 SELECT line.doc_id, line.size, line.source_size, line.target, CAST(coalesce(got.taken, 0) AS BIGINT) AS taken
 FROM line LEFT JOIN got ON line.doc_id = got.doc_id AND line.nth = got.nth AND line.start = got.start AND line.size > 0
 """
+
+
+OP9_SQL = mixing_sql()

@@ -381,6 +381,22 @@ def fill(sizes, share=1.5, epochs=2):
     return target
 
 
+def test_mixing_against_sql_with_blocks_of_several_lengths(spark, monkeypatch, tmp_path):
+    """Words a slot so many that large sources get longer blocks than small ones, as beyond 4.7 million words."""
+    import duckdb
+
+    monkeypatch.setattr(mixing, "SLOTS", 1 << 9)
+    rows = [(i, "w " * (7 * i % 211), "huge" if i % 3 else "large") for i in range(2400)] + [(5000 + i, "a b c", "small") for i in range(40)] + [(6000, "one two", "tiny"), (6001, None, "none"), (6002, "x " * 900, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix(docs).toPandas()
+    lengths = {r.nth: r.length for r in mixing.block_lengths(mixing.targets(mixing.sized(docs)), int(got["size"].sum())).collect()}
+    assert len(set(lengths.values())) > 3
+    docs.toPandas().to_parquet(tmp_path / "documents.parquet")
+    base = duckdb.connect()
+    base.execute(f"create view documents as select * from '{tmp_path}/documents.parquet'")
+    assert table(got) == table(base.execute(mixing.mixing_sql()).df())
+
+
 def test_mixing_targets_and_takes(spark):
     rng = random.Random(4)
     rows = [(i, " ".join(["w"] * rng.randrange(0, 90)), rng.choice(["a"] * 6 + ["b", "c", "é", None])) for i in range(700)]
