@@ -13,7 +13,7 @@ from siltworks.functions import records
 from siltworks.operators import dedupe, editorial, enrich, joins, predicates, review, select, summaries, validate
 from siltworks.plans import runs
 from siltworks.plans.catalogue import events, query, table
-from siltworks.sources import landed
+from siltworks.sources import articles, landed
 
 text_of = lambda c: F.col(c).cast("string")
 SINCE, UNTIL = "1995-01-01 00:00:00", "1996-12-31 00:00:00"
@@ -480,6 +480,100 @@ def extracted_upsert(spark, sf_dir):
     return made.select("source_id", F.sha2(F.col("raw_text"), 256).alias("text_hash"), "rights_scope", "failure_reason", "content_hash")
 
 
+SQL_IN_SPAN = f"CAST(o_orderdate AS TIMESTAMP) BETWEEN TIMESTAMP '{SINCE}' AND TIMESTAMP '{UNTIL}'"
+
+
+@query(
+    "listed_articles",
+    f"""SELECT registry_id, place, 'https://n.org/i/' || o_orderkey AS url, CASE WHEN o_orderkey % 5 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN o_orderpriority ELSE 'On ' || o_orderkey || ' & more' END AS raw_title,
+      CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS raw_excerpt, CASE WHEN o_orderkey % 5 <> 0 THEN d END AS d, CASE WHEN o_orderkey % 5 = 0 THEN 'not fetched' END AS failure_reason
+    FROM {SQL_PAGE} WHERE place < 20 AND (o_orderkey % 5 = 0 OR ({SQL_IN_SPAN} AND o_orderpriority IN ('1-URGENT', '2-HIGH')))""",
+)
+def listed_articles(spark, sf_dir):
+    """Items of a page's list with their articles' pages: some without a title, some not landed, some landed twice."""
+    item = lambda x: F.to_json(F.struct(F.concat(F.lit("https://n.org/i/"), key_of(x)).alias("url"), x["o_orderpriority"].alias("name")))
+    items = landed.item_list(customer_pages(spark, sf_dir, item, '<script type="application/ld+json">{"mainEntity":{"@type":"ItemList","itemListElement":[', "]}}</script>", ","))
+    orders = table(spark, sf_dir, "orders").filter("o_orderkey % 5 <> 0")
+    title = F.when(F.col("o_orderkey") % 7 == 0, "").otherwise(F.concat(F.lit('<meta property="og:title" content="On '), text_of("o_orderkey"), F.lit(' &amp; more">')))
+    body = F.concat(title, F.lit('<meta content="'), "o_orderpriority", F.lit('" name="description"><meta property="article:published_time" content="'), text_of("o_orderdate"), F.lit('">'))
+    pages = orders.select(F.concat(F.lit("https://n.org/i/"), text_of("o_orderkey")).alias("url"), F.explode(F.array(F.lit(1), F.lit(2))).alias("attempt"), body.alias("body")).withColumn("reason", F.when(F.col("attempt") == 1, "timeout"))
+    pages = pages.withColumn("body", F.when(F.col("attempt") == 2, F.col("body")))
+    made = articles.listed(items, pages, *span(), ["urgent", "high"])
+    return made.select("registry_id", "place", "url", "raw_title", "raw_excerpt", F.to_date("published_at").cast("string").alias("d"), "failure_reason")
+
+
+SQL_FED = f"""
+WITH f AS (SELECT *, row_number() OVER (PARTITION BY registry_id ORDER BY place) AS r FROM {SQL_PAGE} WHERE {SQL_IN_SPAN}),
+c AS (SELECT *, CASE WHEN o_orderkey % 4 = 0 THEN 'blocked' WHEN o_orderkey % 9 = 0 THEN 'not fetched' END AS why FROM f WHERE r <= 3),
+m AS (SELECT * FROM c WHERE why IS NOT NULL OR o_orderkey % 6 <> 1)"""
+
+
+def fed_articles(spark: SparkSession, sf_dir: str):
+    """(scanned, chosen, articles): a customer's orders as feed entries, the first three in the window with what was extracted."""
+    pages = customer_pages(spark, sf_dir, lambda x: F.to_json(F.struct(key_of(x).alias("k"), day_of(x).alias("d"))), "[", "]", ",")
+    entries = pages.select("registry_id", F.posexplode(F.from_json("body", "array<struct<k:string,d:string>>")).alias("place", "e"))
+    entries = entries.select("registry_id", "place", F.concat(F.lit("http://m.n.org/a/"), F.col("e.k")).alias("link"), F.col("e.k").alias("title"), F.lit(None).cast("string").alias("excerpt"), F.col("e.d").cast("timestamp").alias("at"))
+    chosen = landed.discovered(entries.filter(predicates.in_window(F.col("at"), *span())), [("http://m.", "https://www.")], r"^https://www\.n\.org/", [], 3)
+    chosen = chosen.select("registry_id", "place", F.col("link").alias("url"), F.when(F.col("title").cast("bigint") % 2 == 0, F.lit("Even desk")).alias("publisher"))
+    key = F.col("o_orderkey")
+    told = F.to_json(F.struct(F.concat(F.lit("https://n.org/final/"), text_of("o_orderkey")).alias("link"), F.concat(F.lit("t"), text_of("o_orderkey")).alias("news_title"), F.col("o_orderstatus").alias("content"), F.when(key % 6 == 1, "1990-01-01").otherwise(text_of("o_orderdate")).alias("publish_time")))
+    payloads = table(spark, sf_dir, "orders").filter("o_orderkey % 4 = 0 or o_orderkey % 9 <> 0").select(F.concat(F.lit("https://www.n.org/a/"), text_of("o_orderkey")).alias("url"), F.lit(1).alias("attempt"), F.when(key % 4 != 0, told).alias("payload"), F.lit("blocked").alias("reason"))
+    made = articles.extracted(chosen, payloads.union(payloads), *span())
+    return entries.groupBy("registry_id").agg(F.count("*").alias("scanned")), chosen, made
+
+
+@query(
+    "feed_articles",
+    f"{SQL_FED} SELECT registry_id, place, CASE WHEN why IS NULL THEN 'https://n.org/final/' ELSE 'https://www.n.org/a/' END || o_orderkey AS url, CASE WHEN why IS NULL THEN 't' || o_orderkey END AS raw_title, CASE WHEN why IS NULL THEN o_orderstatus END AS raw_text, CASE WHEN o_orderkey % 2 = 0 THEN 'Even desk' END AS publisher, why AS failure_reason FROM m",
+)
+def feed_articles(spark, sf_dir):
+    """What an extractor gave for chosen feed entries: failures by entry, nothing outside the window, a repeated result once."""
+    return fed_articles(spark, sf_dir)[2].select("registry_id", "place", "url", "raw_title", "raw_text", "publisher", "failure_reason")
+
+
+@query(
+    "extraction_health",
+    f"""{SQL_FED}, n AS (SELECT registry_id, count(*) AS scanned FROM {SQL_PAGE} GROUP BY 1), s AS (SELECT registry_id, count(*) AS selected FROM c GROUP BY 1),
+    g AS (SELECT registry_id, count(*) FILTER (why IS NULL) AS accepted, count(why) AS failures, min(why) AS error FROM m GROUP BY 1)
+    SELECT n.registry_id, CASE WHEN coalesce(selected, 0) > 0 AND coalesce(failures, 0) >= selected THEN 'failed' ELSE 'success' END AS status, scanned, coalesce(selected, 0) AS selected, coalesce(accepted, 0) AS accepted, coalesce(failures, 0) AS extraction_failures, error
+    FROM n LEFT JOIN s USING (registry_id) LEFT JOIN g USING (registry_id)""",
+)
+def extraction_health(spark, sf_dir):
+    scanned, chosen, made = fed_articles(spark, sf_dir)
+    return articles.health(chosen, made, scanned)
+
+
+@query(
+    "pdf_upsert",
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN sha256('[Page 1] ' || doc_id) ELSE 'old' END AS text_hash, CASE WHEN doc_id % 3 = 0 THEN sha256(lang || chr(10) || '[Page 1] ' || doc_id || chr(10) || 'x') ELSE 'old' END AS content_hash,
+      CASE WHEN doc_id % 3 = 0 THEN 'text_extracted' WHEN doc_id % 3 = 1 THEN 'pdf_text_needs_review' ELSE 'collected' END AS processing_status, CASE WHEN doc_id % 3 = 0 THEN 'seen; pdf_pages:2' ELSE 'seen' END AS discovery_context FROM documents""",
+)
+def pdf_upsert(spark, sf_dir):
+    """Documents as records of PDFs, of pages, and of PDFs that could not be read; readings repeat."""
+    key = F.col("doc_id")
+    url = F.concat(F.lit("https://e.org/"), text_of("doc_id"), F.when(key % 3 == 2, ".html").otherwise(".PDF?v=1"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", url.alias("u"))
+    have = docs.select("doc_id", F.col("u").alias("canonical_url"), F.lit("success").alias("access_status"), F.col("lang").alias("raw_title"), F.lit("old").alias("raw_text"), F.lit(None).cast("string").alias("raw_excerpt"), F.lit("old").alias("content_hash"), F.lit("excerpt").alias("rights_scope"), F.lit("collected").alias("processing_status"), F.lit("seen").alias("discovery_context"))
+    read = docs.select(F.col("u").alias("url"), F.explode(F.array(F.lit("failed"), F.when(key % 3 != 1, "success").otherwise("failed"))).alias("status"), F.concat(F.lit("[Page 1] "), text_of("doc_id")).alias("t"))
+    ok = F.col("status") == "success"
+    read = read.select("url", "status", F.when(ok, F.col("t")).alias("full_text"), F.when(ok, "x").alias("excerpt"), F.when(ok, 2).alias("n_pages"))
+    hashed = F.when(F.col("raw_text") == "old", "old").otherwise(F.sha2("raw_text", 256))
+    return articles.attach_pdf(have, read).select("doc_id", hashed.alias("text_hash"), "content_hash", "processing_status", "discovery_context")
+
+
+@query(
+    "changed_pages",
+    "SELECT page_id, 'The sitemap says that this page changed at ' || strftime(TIMESTAMP '2024-01-01' + to_days(CAST(page_id % 400 AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ') || '.' AS raw_excerpt FROM pages WHERE contains(lower(trim(url)), 'http') AND NOT contains(lower(trim(url)), '7') AND page_id % 400 BETWEEN 10 AND 200",
+)
+def changed_pages(spark, sf_dir):
+    """Addresses of sitemaps by included and excluded terms, changed in the window."""
+    loc = F.replace(F.trim("url"), F.lit("&"), F.lit("&amp;"))
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(400)).cast("int")), "yyyy-MM-dd")
+    maps = table(spark, sf_dir, "pages").select(text_of("page_id").alias("registry_id"), F.concat(F.lit("<urlset><url><loc>"), loc, F.lit("</loc><lastmod>"), day, F.lit("</lastmod></url></urlset>")).alias("body"))
+    made = articles.changed_pages(landed.sitemap(maps), F.lit("2024-01-11").cast("timestamp"), F.lit("2024-07-19").cast("timestamp"), ["http"], ["7"])
+    return made.select(F.col("registry_id").cast("bigint").alias("page_id"), "raw_excerpt")
+
+
 @query(
     "api_health",
     f"""WITH o AS (SELECT *, place // 2 AS page FROM {SQL_PAGE}), n AS (SELECT registry_id, count(*) AS total, CAST(registry_id AS BIGINT) AS c FROM o GROUP BY 1),
