@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions import ids, records, times
 from siltworks.operators.predicates import in_window, passes_terms
-from siltworks.sources.landed import meta_tag, unescape
+from siltworks.sources.landed import meta_elements, meta_said, unescape
 
 #: What an entry may say about its article's provenance, in place of the registry's words.
 OVERRIDES = ("source_name", "publisher", "discovered_by", "discovery_context")
@@ -66,17 +66,22 @@ def extracted(entries: DataFrame, payloads: DataFrame, start: Column, end: Colum
 def listed(items: DataFrame, pages: DataFrame, start: Column, end: Column, keywords: list[str] = (), *, author: str | None = None) -> DataFrame:
     """Articles of a list's items (registry_id, place, url, name) by the meta elements of their landed pages (url, attempt, body, reason).
 
-    The title is the page's, else the list's name; kept are articles in the window with some
-    keyword in title or excerpt (all where none is named).  An item without a page is a failed row.
+    The title is the meta elements', else the list's name, else the page's title element; kept are
+    articles in the window with some keyword in title or excerpt (all where none is named).  An
+    item without a page is a failed row.
     """
     read = _joined(items, pages, "body")
-    said = read.select(
-        "*",
-        F.coalesce(meta_tag(F.col("body"), "og:title"), F.col("name"), F.lit("Untitled article")).alias("t"),
-        meta_tag(F.col("body"), "og:description", "description").alias("x"),
-        times.parse_iso_datetime(meta_tag(F.col("body"), "article:published_time")).alias("at"),
-        F.coalesce(meta_tag(F.col("body"), "article:author"), F.lit(author)).alias("by"),
+    # A generator's columns are worked out once: no filter or projection above repeats the search of the page.
+    titled = F.nullif(F.btrim(F.regexp_extract("body", r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)), F.lit(""))
+    read = read.select("registry_id", "place", "asked", "name", "failure", F.inline(F.array(F.struct(meta_elements(F.col("body")).alias("m"), titled.alias("titled")))))
+    m = F.col("m")
+    told = F.struct(
+        F.coalesce(meta_said(m, "og:title"), F.nullif(F.col("name"), F.lit("")), unescape(F.col("titled")), F.lit("Untitled article")).alias("t"),
+        meta_said(m, "og:description", "description").alias("x"),
+        times.parse_iso_datetime(meta_said(m, "article:published_time")).alias("at"),
+        F.coalesce(meta_said(m, "article:author"), F.lit(author)).alias("by"),
     )
+    said = read.select("registry_id", "place", "asked", "failure", F.inline(F.array(told)))
     failed = F.col("failure").isNotNull()
     kept = said.filter(failed | (in_window(F.col("at"), start, end) & passes_terms(F.concat_ws(" ", "t", "x"), list(keywords))))
     ok = lambda c: F.when(~failed, c)

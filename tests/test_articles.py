@@ -43,18 +43,19 @@ def test_health_of_sources(spark):
 
 
 def test_listed_articles(spark):
-    items = spark.createDataFrame([("s", i, f"u{i}", n) for i, n in enumerate(["one", "two", None, "gone", "off"])], "registry_id string, place int, url string, name string")
+    items = spark.createDataFrame([("s", i, f"u{i}", n) for i, n in enumerate(["one", "two", None, "gone", "off", ""])], "registry_id string, place int, url string, name string")
     meta = lambda at, **m: "".join(f'<meta name="{k.replace("_", ":", 1)}" content="{v}">' for k, v in {"article_published_time": at, **m}.items())
     pages = [
         ("u0", 1, meta("2026-08-03", og_title="A &amp; B", description="about wolves", article_author="Ann"), None),
         ("u1", 1, meta("2026-08-03", og_description="wolves again"), None),
         ("u2", 1, meta("2026-08-04", description="wolves without a title"), None),
+        ("u5", 1, meta("2026-08-04", description="wolves") + "<title> Of &lt;wolves&gt; </title>", None),
         ("u4", 1, meta("2026-08-04", description="sheep"), None),
         ("u0", 2, "", "empty"),
     ]
     got = {r.url: r for r in articles.listed(items, spark.createDataFrame(pages, LANDED.format("body")), *window(), ["wolves"], author="Staff").collect()}
     assert {u: (r.raw_title, r.author, r.failure_reason) for u, r in got.items()} == {
-        "u0": ("A & B", ["Ann"], None), "u1": ("two", ["Staff"], None), "u2": ("Untitled article", ["Staff"], None), "u3": (None, None, "not fetched"),
+        "u0": ("A & B", ["Ann"], None), "u1": ("two", ["Staff"], None), "u2": ("Untitled article", ["Staff"], None), "u3": (None, None, "not fetched"), "u5": ("Of <wolves>", ["Staff"], None),
     }
     assert articles.listed(items.limit(0), spark.createDataFrame([], LANDED.format("body")), *window()).count() == 0
 

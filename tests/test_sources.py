@@ -52,6 +52,29 @@ def test_item_list_and_meta(spark):
     assert df.select(landed.meta_tag(F.col("b"), "og:description", "description").alias("m")).first().m == "D & E"
 
 
+@pytest.mark.parametrize(
+    "page, title, text",
+    [
+        ("<META NAME=description CONTENT=plain><meta content='a \"b\"' property='og:title'/>", 'a "b"', "plain"),
+        ('<meta content="say name=description > 2" name="og:title"><meta name="description" content="x&lt;y">', "say name=description > 2", "x<y"),
+        ('<meta name="og:title" content=""><meta name="og:title" content="later"><meta name="og:title" content="last">', "later", None),
+        ('<meta charset="utf-8"><metadata name="og:title" content="no"><meta property="" name="description" content="d">', None, "d"),
+        ("", None, None),
+        (None, None, None),
+    ],
+)
+def test_meta_elements_as_pages_write_them(spark, page, title, text):
+    df = spark.createDataFrame([(page,)], "b string")
+    assert tuple(df.select(landed.meta_tag(F.col("b"), "og:title").alias("t"), landed.meta_tag(F.col("b"), "description").alias("d")).first()) == (title, text)
+
+
+def test_linked_data_with_character_references(spark):
+    body = '<script type="application/ld+json">{&quot;mainEntity&quot;:{"@type":"ItemList","itemListElement":[{"url":"u?a=1&amp;b=2","name":"R &amp; D"}]}}</script>'
+    bare = '<script type="application/ld+json">{"mainEntity":{"@type":"ItemList","itemListElement":[{"url":"v"}]}}</script>'
+    assert [(r.url, r.name) for r in landed.item_list(pages(spark, body + bare)).orderBy("place").collect()] == [("u?a=1&b=2", "R & D"), ("v", None)]
+    assert landed.item_list(pages(spark, "<p>")).count() == 0
+
+
 def test_disclosures(spark):
     body = '<a href="/r/1.pdf">Quarterly results of 2026</a> <i>Aug 5, 2026</i>' + "x" * 800 + '<p>2026.08.12</p><a href="r2.pdf">Annual report for 2026</a>' + "y" * 800 + '<a href="z">short</a> Aug 6, 2026'
     got = landed.dated_links(pages(spark, body))
