@@ -17,7 +17,8 @@ the medium's chunk list, checks each digest and the medium's own SHA-256, and on
 then hands the bytes on.
 
 Defined results: a null or empty text is one row of 192 spaces; repeated ids are
-separate media with chunks in common; equal texts give equal values.
+separate media with chunks in common; ids of any type, null too, are kept as they are; equal
+texts give equal values; further columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,8 @@ FILTER_BITS = 23
 FILTER_HASHES = 4
 GEAR = np.random.Generator(np.random.PCG64(19)).integers(0, 2**32, 256, dtype=np.uint32)
 
-MEDIA = "uid bigint, doc_id bigint, n_bytes bigint, media_sha256 string, chunks array<struct<digest:binary,size:int,inside:boolean>>, inside binary"
+STORED = "n_bytes bigint, media_sha256 string, chunks array<struct<digest:binary,size:int,inside:boolean>>, inside binary"
+ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary()}
 
 
 def header(payload_bytes: int) -> bytes:
@@ -146,6 +149,7 @@ def store(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
         known = member()
         for batch in batches:
             ids = batch.column(0)
+            record = partial(_record, ids.type)
             rows: list[tuple] = []
             size = 0
             for i, payload, n, chunks in _chunks(batch.column(1)):
@@ -156,13 +160,13 @@ def store(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
                 rows.append((ids[i].as_py(), n, whole.hexdigest(), [{"digest": d, "size": e - s, "inside": f} for (d, s, e), f in zip(chunks, flags)], inside))
                 size += len(inside)
                 if size > tb.SLICE_BYTES:
-                    yield _record(rows)
+                    yield record(rows)
                     rows, size = [], 0
-            yield _record(rows)
+            yield record(rows)
 
-    def _record(rows: list[tuple]) -> pa.RecordBatch:
+    def _record(id_type: pa.DataType, rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows)) or [()] * 5
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("digest", pa.binary()), ("size", pa.int32()), ("inside", pa.bool_())])), pa.binary()]
+        kinds = [id_type, pa.int64(), pa.string(), pa.list_(pa.struct([("digest", pa.binary()), ("size", pa.int32()), ("inside", pa.bool_())])), pa.binary()]
         return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_bytes", "media_sha256", "chunks", "inside"])
 
     def shared_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,24 +179,29 @@ def store(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
                         seen[d] = bytes(payload[s:e])
             yield pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.binary())], names=["digest", "bytes"])
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("t"))
-    packed = rows.mapInArrow(media, MEDIA.replace("uid bigint, ", "")).withColumn("uid", F.monotonically_increasing_id())
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
+    packed = rows.mapInArrow(media, f"doc_id {id_type(docs, id_col)}, {STORED}").withColumn("uid", F.monotonically_increasing_id())
     packed.write.option("compression", "zstd").parquet(f"{path}/media")
     once = rows.select("t").mapInArrow(shared_chunks, "digest binary, bytes binary").dropDuplicates(["digest"])
     once.write.option("compression", "zstd").parquet(f"{path}/chunks")
 
 
-def read_back(spark, path: str, *, reader) -> DataFrame:
+def id_type(docs: DataFrame, id_col: str = "doc_id") -> str:
+    """Type of the id column as SQL names it; media keep it."""
+    return docs.select(id_col).schema[0].dataType.simpleString()
+
+
+def read_back(spark, path: str, *, reader, of_type: str = "bigint") -> DataFrame:
     """Rows of ``reader(row, media bytes)`` for every stored medium, verified.
 
     ``reader`` is a pair (function, schema); the function gets doc_id, n_bytes and the
-    medium's bytes and returns a tuple in the schema's order.
+    medium's bytes and returns a tuple in the schema's order.  ``of_type`` is the stored ids' type.
     """
     function, schema = reader
-    media = spark.read.schema(MEDIA).parquet(f"{path}/media")
+    media = spark.read.schema(f"uid bigint, doc_id {of_type}, {STORED}").parquet(f"{path}/media")
     chunks = spark.read.schema("digest binary, bytes binary").parquet(f"{path}/chunks")
     outside = F.exists("chunks", lambda c: ~c["inside"])
-    names = schema_names(schema)
+    fields = [x.split(maxsplit=1) for x in schema.split(", ")]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
@@ -216,14 +225,15 @@ def read_back(spark, path: str, *, reader) -> DataFrame:
                 if hashlib.sha256(medium).hexdigest() != row["media_sha256"]:
                     raise ValueError(f"the medium of document {row['doc_id']} is damaged")
                 out.append(function(row["doc_id"], row["n_bytes"], medium))
-            yield pa.record_batch([pa.array(c) for c in zip(*out)], names=names) if out else pa.RecordBatch.from_pylist([], schema=EMPTY)
+            if out:
+                yield pa.record_batch([pa.array(c, ARROW.get(kind)) for c, (_, kind) in zip(zip(*out), fields)], names=[n for n, _ in fields])
 
-    fields = ["doc_id", "n_bytes", "media_sha256", "chunks", "inside"]
-    complete = media.filter(~outside).select(*fields).mapInArrow(build, schema)
+    kept = ["doc_id", "n_bytes", "media_sha256", "chunks", "inside"]
+    complete = media.filter(~outside).select(*kept).mapInArrow(build, schema)
     part = media.filter(outside)
     wanted = part.select("uid", F.explode(F.array_distinct(F.expr("transform(filter(chunks, c -> not c.inside), c -> c.digest)"))).alias("digest"))
     held = wanted.join(chunks, "digest").groupBy("uid").agg(F.collect_list(F.struct("digest", "bytes")).alias("held"))
-    joined = part.join(held, "uid", "left").select(*fields, "held").mapInArrow(build, schema)
+    joined = part.join(held, "uid", "left").select(*kept, "held").mapInArrow(build, schema)
     return complete.unionByName(joined)
 
 
@@ -235,7 +245,7 @@ def features(samples: np.ndarray) -> str:
     return f"{x.mean():.4f};{x.std():.4f};{np.abs(np.diff(x, axis=1)).mean():.4f};{across:.4f};" + ",".join(map(str, bins))
 
 
-def describe(doc_id: int, n_bytes: int, medium: bytes) -> tuple:
+def describe(doc_id, n_bytes: int, medium: bytes) -> tuple:
     """The contract's values, all from the bytes that were read back."""
     at = 0
     for _ in range(3):
@@ -247,14 +257,13 @@ def describe(doc_id: int, n_bytes: int, medium: bytes) -> tuple:
 DESCRIBED = "doc_id bigint, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
 
 
-def schema_names(schema: str) -> list[str]:
-    return [x.split()[0] for x in schema.split(", ")]
-
-
-EMPTY = pa.schema([(n, pa.string() if n in ("payload_sha256", "media_sha256", "feature") else pa.int64()) for n in schema_names(DESCRIBED)])
+def described(of_type: str) -> str:
+    """``DESCRIBED`` with ids of another type."""
+    return f"doc_id {of_type}, {DESCRIBED.split(', ', 1)[1]}"
 
 
 def op4_media_chunks(spark, sf_dir: str) -> DataFrame:
     path = scratch(spark, "media")
-    store(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
-    return read_back(spark, path, reader=(describe, DESCRIBED))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    store(docs, path)
+    return read_back(spark, path, reader=(describe, described(id_type(docs))), of_type=id_type(docs))

@@ -15,12 +15,14 @@ document and different values of a kind stay different:
 * dates from 1700-01-01 to 2099-12-31 (ISO, slashed, dotted): another day of the same
   four hundred years in the same notation and order; a date that only month first can be
   read stays one, as the permutation is repeated until its day exceeds 12;
-* IPv4 addresses (four octets): another address.
+* IPv4 addresses (four octets, not behind a word such as "section" or "version"): another address.
 
 A permutation of a x b values keeps a value as two residues and adds, in turn, a
 keyed SHA-256 of the one to the other; it is a bijection for any a and b.  E-mail
-addresses and secrets (access keys, passwords, tokens) have no format worth keeping
-and become keyed tags.  Candidates that fail validation stay as they are.
+addresses and secrets (access keys; what stands behind a word such as "password" or
+"token" and a sign or in quotes, if it has eight letters or digits, or fewer but a digit
+among them, or for passwords follows "=" at once) have no format worth keeping and become
+keyed tags.  Candidates that fail validation stay as they are.
 
 Defined results: null stays null, empty stays empty; every other column passes
 through; the noncharacters U+FDD0 and U+FDD1 are lost where they enclose a card number.
@@ -40,17 +42,33 @@ ROUNDS = 8
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 ACCESS_KEY = r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"
-SECRET = r"(?i:\b(?:password|passwd|pwd|secret|token|api_?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)[A-Za-z0-9+/_\-]{8,}[\"']?"
+#: Signs that enclose a card once it is found; no value of a secret reaches into one.
+OPEN, CLOSE = "\ufdd0", "\ufdd1"
+_PASSWORD, _TOKEN, _VALUE = r"(?i:\b(?:password|passwd|pwd)\b)[\"']?", r"(?i:\b(?:secret|token|api_?key)\b)[\"']?", rf"[^\s\"'<>,;{OPEN}{CLOSE}]"
+_HAS = lambda kind: rf"(?={_VALUE}{{0,64}}{kind})"
+_NO_RUN = r"(?!\d[\d -]{11})"
+_END = r"(?<![.!?:)])[\"']?"
+#: After its word and a sign: eight letters, digits or base-64 signs; or shorter, where digits or the word say more.
+SECRET = "|".join(
+    [
+        rf"(?:{_PASSWORD}|{_TOKEN})\s{{0,3}}[=:]\s{{0,3}}[\"']?[A-Za-z0-9+/_\-]{{8,}}[\"']?",
+        rf"{_PASSWORD}\s{{0,3}}[=:]\s{{0,3}}[\"']?{_NO_RUN}{_HAS('[0-9]')}{_VALUE}{{3,}}{_END}",
+        rf"{_PASSWORD}(?:=[\"']?|:[\"']){_NO_RUN}{_VALUE}{{3,}}{_END}",
+        rf"{_TOKEN}\s{{0,3}}[=:]\s{{0,3}}[\"']?{_HAS('[0-9]')}{_HAS('[A-Za-z]')}{_VALUE}{{6,}}{_END}",
+        rf"(?:{_PASSWORD}|{_TOKEN})\s{{1,3}}[\"']{_HAS('[0-9]')}{_HAS('[A-Za-z]')}{_VALUE}{{6,}}[\"']",
+    ]
+)
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 DATE = r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\d/-])"
-IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
+#: Four numbers behind such a word are a section or version, no address.
+_NUMBERED = r"(?<!\b(?i:sections?|sec|chapters?|clauses?|articles?|appendix|paragraphs?|versions?|ver|v|releases?)[.:]?\s{0,2})(?<!\u00a7\s{0,2})"
+IP = rf"(?<![\d.])(?=\d{{1,3}}\.\d){_NUMBERED}\d{{1,3}}(?:\.\d{{1,3}}){{3}}(?!\d|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 NANP = r"(?<![\d+])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?!\d)"
 CARD = r"\d(?:[ -]?\d){12,18}"
 #: Digit groups that may hold cards; no repeated group, so that a long run needs no deep stack.
 RUN = r"(?<![\d+])\d[\d -]{11,}\d"
 USUAL_CARD = r"\d{13,19}|\d{4}([ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{4,5}"
-OPEN, CLOSE = "\ufdd0", "\ufdd1"
 MARKED = rf"{OPEN}\d[\d -]++{CLOSE}"
 PHONE = r"\+\d(?:[ .()-]{0,2}\d){7,14}(?!\d)"
 PATTERN = "|".join([MARKED, EMAIL, ACCESS_KEY, SECRET, IBAN, DATE, IP, SSN, NANP, PHONE])
@@ -270,9 +288,9 @@ def _tagged(m: Column, name: str, key: Column) -> Column:
 def pseudonym(m: Column, key: Column) -> Column:
     """struct(kind, value) of a candidate; kind is null where it fails validation."""
     tag = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("value"))
-    chain = F.when(m.contains("@"), tag("email", F.concat(F.lit("user-"), _tagged(F.lower(m), "email", key), F.lit("@example.invalid"))))
-    chain = chain.when(m.rlike(f"^(?:{ACCESS_KEY})$"), tag("secret", F.concat(F.lit("[key-"), _tagged(m, "key", key), F.lit("]"))))
+    chain = F.when(m.rlike(f"^(?:{ACCESS_KEY})$"), tag("secret", F.concat(F.lit("[key-"), _tagged(m, "key", key), F.lit("]"))))
     chain = chain.when(m.rlike(f"^(?:{SECRET})$"), tag("secret", F.concat(F.lit("[secret-"), _tagged(m, "secret", key), F.lit("]"))))
+    chain = chain.when(m.contains("@"), tag("email", F.concat(F.lit("user-"), _tagged(F.lower(m), "email", key), F.lit("@example.invalid"))))
     rest = F.coalesce(*[F.when(v.isNotNull(), tag(kind, v)) for kind, v in (("iban", _iban(m, key)), ("date", _date(m, key)), ("ip", _ip(m, key)), ("ssn", _ssn(m, key)), ("card", _card(m, key)), ("phone", _phone(m, key)))])
     return F.coalesce(chain, rest, F.struct(F.lit(None).cast("string").alias("kind"), m.alias("value")))
 

@@ -323,6 +323,43 @@ def test_cards_among_other_digits(spark):
     assert got == [f.replace("{}", new) for f in forms] + [f"{new} {phoned}", new.replace(" ", "") + " 123", long]
 
 
+def test_short_secrets_behind_their_word(spark):
+    gone = ["password: hunter2", "pwd=abc", 'token "abcd1234efgh"', "Passwd: p@ssw0rd!", "password: 1234", "password:'letmein'", "api_key=x1y2z3", "secret : ab12cd"]
+    got = masked(spark, " ; ".join(gone), *[f"so {g}, yes" for g in gone])
+    values = ["hunter2", "abc", "abcd1234efgh", "p@ssw0rd", "1234", "letmein", "x1y2z3", "ab12cd"]
+    assert not any(v in got[0] for v in values if v != "abc") and not any(v in g for v, g in zip(values, got[1:])) and all(g.startswith("so [secret-") and g.endswith(", yes") for g in got[1:])
+    stay = ["password: none yet", "the token: it is", "tokens: 2048", "max_token=512", "secret: 1984", "a password, 2 words", 'the secret "sauce" of 1999', "token: 4,096", "pwd 12"]
+    assert masked(spark, *stay) == stay
+    (card,) = masked(spark, "4111 1111 1111 1111")
+    assert masked(spark, "password: 4111 1111 1111 1111") == [f"password: {card}"]
+
+
+def test_section_and_version_numbers_are_no_addresses(spark):
+    stay = ["section 1.2.3.4", "Version: 10.0.19.1", "v1.2.3.4 of it", "\u00a7 4.3.2.1", "Sections 1.2.3.4"]
+    assert masked(spark, *stay) == stay
+    (new,) = masked(spark, "1.2.3.4")
+    same = ["host {}", "dev1 at {}.", "serv {}", "version 2 on {}"]
+    assert new != "1.2.3.4" and masked(spark, *[x.format("1.2.3.4") for x in same]) == [x.format(new) for x in same]
+
+
+def test_repeated_rows_get_equal_pseudonyms(spark):
+    text = "joe@example.com, 4111 1111 1111 1111, 14.3.1999, 10.1.2.3, pwd=abc"
+    assert len(set(masked(spark, *[text] * 50))) == 1
+
+
+def test_media_of_text_ids(spark, tmp_path):
+    long = "".join(map(str, range(300_000)))
+    rows = [("a", "x", 1, "p"), ("b", long, 2, "q"), ("b", long + "!", 3, None), (None, None, 4, "r"), ("c", long, 5, "s")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, n_bytes long, digest string")
+    for name, some in (("all", docs), ("nulls", docs.withColumn("doc_id", F.lit(None).cast("string"))), ("none", docs.limit(0))):
+        media.store(some, str(tmp_path / name))
+        got = media.read_back(spark, str(tmp_path / name), reader=(media.describe, media.described("string")), of_type="string")
+        want = sorted((i or "", len((t or "").encode())) for i, t, *_ in rows) if name == "all" else [("", n) for n in sorted(len(t or "") for _, t, *_ in rows)] if name == "nulls" else []
+        assert sorted((r.doc_id or "", r.n_bytes) for r in got.collect()) == want and got.schema["doc_id"].dataType.simpleString() == "string"
+    same = {r.doc_id: r.payload_sha256 for r in media.read_back(spark, str(tmp_path / "all"), reader=(media.describe, media.described("string")), of_type="string").collect() if r.n_bytes == len(long)}
+    assert same["b"] == same["c"]
+
+
 def test_pii_counts(spark):
     df = spark.createDataFrame([(1, "a@b.co 42.144.35.254 x"), (2, None), (3, "none 1")], "doc_id long, text string")
     r = {x.doc_id: x for x in pii.pseudonymise(df, key="k", counts=True).collect()}
