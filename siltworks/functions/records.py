@@ -124,12 +124,15 @@ def _seen_as(format: str) -> str:
 VISIBLE_DATE = r"\b(?:" + "|".join(map(_seen_as, times.DATE_FORMATS)) + r")\b"
 
 
-def nearby_date(page: Column, start: Column, end: Column, reach: int = 700) -> Column:
-    """The first date that parses after an anchor, or else before it (positions from 0)."""
+def first_date(fragment: Column) -> Column:
+    """The first visible date of a piece of a page that parses."""
+    said = F.coalesce(text.clean_html(fragment), F.lit(""))
+    seen = F.regexp_extract_all(said, F.lit(VISIBLE_DATE), F.lit(0))
+    # Mostly the first date seen is one; the others are looked for where it is not.
+    return F.coalesce(times.parse_publication_date(F.regexp_extract(said, VISIBLE_DATE, 0)), F.get(F.filter(F.transform(seen, times.parse_publication_date), lambda d: d.isNotNull()), F.lit(0)))
 
-    def first(fragment: Column) -> Column:
-        seen = F.regexp_extract_all(F.coalesce(text.clean_html(fragment), F.lit("")), F.lit(VISIBLE_DATE), F.lit(0))
-        return F.get(F.filter(F.transform(seen, times.parse_publication_date), lambda d: d.isNotNull()), F.lit(0))
 
+def nearby_date(page: Column, start: Column, end: Column, reach: int = 700) -> Column:
+    """The first date that parses after an anchor, or else before it (positions from 0)."""
     low = F.greatest(F.lit(0), start - reach)
-    return F.coalesce(first(F.substr(page, end + 1, F.lit(reach))), first(F.substr(page, low + 1, start - low)))
+    return F.coalesce(first_date(F.substr(page, end + 1, F.lit(reach))), first_date(F.substr(page, low + 1, start - low)))

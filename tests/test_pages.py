@@ -1,6 +1,7 @@
 """Page trees with implied end tags, and JSON in scripts."""
 
 import json
+import time
 import random
 import re
 import time
@@ -8,7 +9,7 @@ import time
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from siltworks.sources.pages import Tree, objects_with, script_objects
+from siltworks.sources.pages import Tree, loose_objects, objects_with, script_objects
 
 TAGS = frozenset("a p h1 tr td li option div".split())
 OPTIONAL = re.compile("</(?:p|li|tr|td|option|dd|dt|tbody)>")
@@ -89,3 +90,30 @@ def test_time_grows_with_the_page():
 
     took(500)
     assert took(16_000) < 30 * took(1_600)
+
+
+def test_tags_that_say_nothing_are_one_step(monkeypatch):
+    seen = []
+    known = Tree.handle_starttag
+    monkeypatch.setattr(Tree, "handle_starttag", lambda self, tag, attrs: (seen.append(tag), known(self, tag, attrs))[1])
+    page = '<h1 id="a">' + "<span>" * 90 + "One <B>two</h1><p>" + "<i><span>" * 50 + "three"
+    assert [(x["text"], x["start"], x["end"]) for x in Tree(page, frozenset(["h1", "p"])).found] == [("One two", 0, page.index("<p>")), ("three", page.index("<p>"), len(page))]
+    assert seen == ["h1", "p"]
+    # Where an element is ended somewhere, its start counts.
+    assert [x["text"] for x in Tree("<span><p>in</span>out", frozenset(["p"])).found] == ["in"]
+
+
+def test_pieces_that_nobody_wants_have_no_text():
+    page = "<div>" * 50 + "<table><tr><td>x<div class=c>y</div></table>"
+    found = Tree(page, frozenset(["div", "tr"]), lambda x: x["row"] >= 0).found
+    assert [(x["tag"], x["text"]) for x in found] == [("tr", "x y"), ("div", "y")]
+
+
+def test_strings_that_never_end_are_followed_once():
+    card = '{"k":"one","m":"two"}'
+    n = 1500
+    script = ",".join([card] * n).replace('"', '\\"')
+    begun = time.monotonic()
+    assert objects_with(script, frozenset("km")) == [] == loose_objects("x" + script, frozenset("km"))
+    assert len(script_objects(f"<script>[{script}]</script>", frozenset("km"))) == n
+    assert time.monotonic() - begun < 5

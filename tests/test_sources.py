@@ -203,3 +203,11 @@ def test_search_stops_at_the_first_older_entry(spark):
     assert {r.place for r in landed.search_results(entries.filter("registry_id = 't'"), T(START), T(END), most=1).collect()} == {0}
     said = spark.range(1).select(landed.search_text(F.array(F.lit("cs.CV"), F.lit("cs.RO")), F.array(F.lit("world model"))).alias("q")).first().q
     assert said == '(cat:cs.CV OR cat:cs.RO) AND (all:"world model")'
+
+
+def test_no_page_is_repeated_for_its_rows(spark):
+    pages = spark.createDataFrame([("r", "https://n.org/", '<a href="/x">A long enough label</a> 2024.1.2')], "registry_id string, url string, body string")
+    rows = landed.dated_links(pages)
+    assert [(r.place, r.url, str(r.published_at.date())) for r in rows.collect()] == [(0, "https://n.org/x", "2024-01-02")]
+    for made in (rows, landed.sections(pages), landed.announcements(pages), landed.embedded_documents(pages)):
+        assert "explode(" not in made._jdf.queryExecution().optimizedPlan().toString()
