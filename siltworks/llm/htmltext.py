@@ -24,8 +24,8 @@ need no longer order than that.
   stay.  If hardly anything of it is unique the page is a copy and keeps its body.
 
 A host with many pages is dealt by page hash into groups of about ``GROUP_PAGES`` pages
-with an array each; the supports of equal runs, known by a 64-bit hash, are then added
-over the groups by Spark and joined back.  A page's text is therefore the same however
+with an array each; where some page of the host has blocks to decide on, the supports of equal
+runs of all blocks, known by a 64-bit hash, are then added over the groups by Spark and joined back.  A page's text is therefore the same however
 its host is dealt, and no group grows with its host.
 
 Defined results: null or empty html gives an empty text; a page without url belongs
@@ -338,10 +338,10 @@ def useful(found: list[tuple[int, str]]) -> list[tuple[int, str]]:
     return [(role, t) for role, t in found if role != CHROME]
 
 
-def candidates(found: list[tuple[int, str]]) -> list[tuple[int, str]]:
-    """The blocks whose runs other pages must know of: those that may go."""
+def undecided(found: list[tuple[int, str]]) -> bool:
+    """Whether the page has blocks that go or stay by the runs of other pages."""
     article = any(role in (ARTICLE, MAIN) for role, _ in found)
-    return [(role, t) for role, t in found if (t.count(" ") < PASSAGE - 1 if role == MAIN else role == BODY and not article)]
+    return any(t.count(" ") < PASSAGE - 1 if role == MAIN else role == BODY and not article for role, t in found)
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -366,6 +366,12 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
 
         return parse
 
+    def hosts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The hosts of pages that are undecided, once a batch."""
+        for batch in batches:
+            told = {h for x, h in zip(batch.column(0), batch.column(1).to_pylist()) if undecided(blocks(x.as_py()))}
+            yield pa.record_batch([pa.array(sorted(told), pa.string())], names=["host"])
+
     def grouped(table: pa.Table) -> list[tuple]:
         return [(x["k"], [(y["role"], y["text"]) for y in x["blocks"]]) for x in table.select(["k", "blocks"]).to_pylist()]
 
@@ -381,9 +387,13 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     read = rows.select("k", "url", "html", "host", "part")
     schema = f"k {id_type}, url string, blocks array<struct<role:tinyint,text:string>>, host string, part bigint"
     parsed = read.mapInArrow(parser(useful), schema)
-    # Only hosts of several groups have runs elsewhere.
-    dealt = rows.filter("parts is not null").select("k", "url", "html", "host", "part").mapInArrow(parser(candidates), schema)
-    found = Tables(pages.sparkSession, "runs").keep(dealt.groupBy("host", "part").applyInArrow(runs, "host string, part bigint, digest bigint, pages bigint"), "runs")
+    # Only hosts of several groups have runs elsewhere, and only undecided pages ask for them; then every block
+    # counts that counts within a group, or a page's text would depend on how its host is dealt.
+    spread = rows.filter("parts is not null")
+    tables = Tables(pages.sparkSession, "runs")
+    asking = tables.keep(spread.select("html", "host").mapInArrow(hosts, "host string").distinct(), "asking")
+    dealt = spread.join(asking, "host", "left_semi").select("k", "url", "html", "host", "part").mapInArrow(parser(useful), schema)
+    found = tables.keep(dealt.groupBy("host", "part").applyInArrow(runs, "host string, part bigint, digest bigint, pages bigint"), "runs")
     both = found.groupBy("host", "digest").agg(F.sum("pages").alias("n"), F.count("*").alias("groups")).filter("groups > 1").drop("groups")
     known = found.join(both, ["host", "digest"]).select("host", "part", "digest", (F.col("n") - F.col("pages")).alias("elsewhere"))
     out = parsed.groupBy("host", "part").cogroup(known.groupBy("host", "part")).applyInArrow(group, f"k {id_type}, url string, text string, n_chars bigint")

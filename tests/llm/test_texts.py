@@ -137,6 +137,26 @@ def test_extract_rows(spark):
     assert htmltext.op3_html_extract(spark, SMALL).count() == spark.read.parquet(f"{SMALL}/pages.parquet").count()
 
 
+def test_article_of_another_group_counts_as_one_of_the_same(spark, monkeypatch):
+    said = " ".join(f"w{i}" for i in range(30))
+    rows = [(i, "https://e.org/x", f"<article><p>{said} own{i}</article>" if i % 2 else f"<div><p>{said}</p><p>" + " ".join(f"u{i}_{k}" for k in range(40)) + "</p></div>") for i in range(12)]
+    # A main block's share line, and articles that are copies, hold as well.
+    rows += [(100 + i, "https://e.org/m", "<main><p>" + " ".join(f"m{k}" for k in range(60)) + "</p><p>share this with all your dear friends</p></main>") for i in range(6)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole, dealt = [], []
+    for size, out in ((1000, whole), (2, dealt)):
+        monkeypatch.setattr(htmltext, "GROUP_PAGES", size)
+        out += sorted((r.page_id, r.text) for r in htmltext.extract(frame).collect())
+    assert whole == dealt and all("w3" not in text for i, text in whole if i < 100 and i % 2 == 0)
+    # A page against one article of its host, which either stands in its group or does not.
+    rows = [(10 * h + i, f"https://h{h}.org/", html) for h in range(10) for i, html in ((0, rows[0][2]), (1, rows[1][2]))]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (1000, 1):
+        monkeypatch.setattr(htmltext, "GROUP_PAGES", size)
+        assert {r.text for r in htmltext.extract(frame).collect() if r.page_id % 10 == 0} == {" ".join(f"u0_{k}" for k in range(40))}
+
+
+
 def test_text_does_not_depend_on_how_a_host_is_dealt(spark, monkeypatch):
     same, rare = "Follow us on every network and win many prizes today", "Only two pages of this host carry these very words"
     own = lambda i: " ".join(f"{w}{i}" for w in "own a b c d e f g".split())
