@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.functions.ids import candidate_id
-from siltworks.functions.text import STOP_WORDS, jaccard, normalize_title, tokens
+from siltworks.functions.text import STOP_WORDS, normalize_title
 from siltworks.functions.times import iso
 from siltworks.operators.checkpoints import with_checkpoints
 
@@ -47,22 +47,36 @@ def title_similarity(a: str, b: str, least: float = 0.0) -> float:
 def _met(each: DataFrame, kept: Column, reach, sure: Column | None = None) -> DataFrame:
     """Pairs of a publisher's titles that share one of their rarest elements; a before b.
 
-    ``each`` has a row (id, publisher, norm, place, size, w) for each element w of a title;
+    ``each`` has a row (id, _key, publisher, place, size, w; norm for ``sure``) for each element w of a title;
     ``kept`` says of a row, by ``size`` and its place ``i`` among the title's elements from
     the rarest on, whether a pair that counts must share one of these; ``reach`` bounds
-    what two rows that share an element may be, and ``sure`` (of x and y) is asked of the
-    titles met before they are shuffled.
+    what two rows that share an element may be, and ``sure`` (of p and q) is asked of the
+    titles met before they are shuffled.  Titles that share many elements meet as often, so
+    their pairs (a, _a, b, _b: ids and keys) carry no texts until ``_told`` adds them.
     """
     held = each.groupBy("publisher", "w").agg(F.count("*").alias("df")).filter("df > 1")
     same = (F.col("each.publisher").eqNullSafe(F.col("held.publisher"))) & (F.col("each.w") == F.col("held.w"))
-    own = Window.partitionBy(*[c for c in ("id", "q") if c in each.columns])
+    own = Window.partitionBy(*[c for c in ("id", "_key", "q") if c in each.columns])
     ranked = each.alias("each").join(held.alias("held"), same).select("each.*", "df")
     ranked = ranked.withColumn("i", F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "w")) - 1)
     head = ranked.filter(kept)
     p, q = head.alias("p"), head.alias("q")
     pairs = p.join(q, (F.col("p.w") == F.col("q.w")) & F.col("p.publisher").eqNullSafe(F.col("q.publisher")) & (F.col("p.place") < F.col("q.place")) & reach)
-    pairs = pairs.select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.col("p.norm").alias("x"), F.col("q.norm").alias("y"), F.col("p.place").alias("place"))
-    return (pairs if sure is None else pairs.filter(sure)).distinct()
+    if sure is not None:
+        pairs = pairs.filter(sure)
+    return pairs.select(*[F.col(f"{side}.{c}").alias(name) for side, names in (("p", ("a", "_a")), ("q", ("b", "_b"))) for c, name in zip(("id", "_key"), names)]).distinct()
+
+
+def _keyed(titles: DataFrame) -> DataFrame:
+    """``titles`` with a key beside the id, so that an id that stands twice is two titles."""
+    return titles.withColumn("_key", F.xxhash64("publisher", "norm"))
+
+
+def _told(pairs: DataFrame, titles: DataFrame, value: str = "norm") -> DataFrame:
+    """(a, b, x, y, place): pairs of ``_met`` with a value of both titles and the place of the first."""
+    one = titles.select(F.col("id").alias("a"), F.col("_key").alias("_a"), F.col(value).alias("x"), "place")
+    other = titles.select(F.col("id").alias("b"), F.col("_key").alias("_b"), F.col(value).alias("y"))
+    return pairs.join(one, ["a", "_a"]).join(other, ["b", "_b"]).select("a", "b", "x", "y", "place")
 
 
 def candidate_pairs(titles: DataFrame, floor: float) -> DataFrame:
@@ -70,9 +84,17 @@ def candidate_pairs(titles: DataFrame, floor: float) -> DataFrame:
 
     ``titles`` has id, publisher, norm and place, the order of a before b.
     """
+    listed = _worded(titles)
+    return _told(_word_pairs(listed, floor), listed)
+
+
+def _worded(titles: DataFrame) -> DataFrame:
     words = F.filter(F.split("norm", " "), lambda w: (F.length(w) > 1) & ~w.isin(*STOP_WORDS))
-    listed = titles.withColumn("words", F.array_distinct(words)).withColumn("size", F.size("words"))
-    each = listed.select("id", "publisher", "norm", "place", "size", F.explode("words").alias("w"))
+    return _keyed(titles).withColumn("words", F.array_distinct(words)).withColumn("size", F.size("words"))
+
+
+def _word_pairs(listed: DataFrame, floor: float) -> DataFrame:
+    each = listed.select("id", "_key", "publisher", "place", "size", F.explode("words").alias("w"))
     left = F.least(F.col("p.size") - F.col("p.i"), F.col("q.size") - F.col("q.i"))
     return _met(each, F.col("i") <= F.col("size") - F.ceil(F.col("size") * floor - 1e-9), left >= floor / (1 + floor) * (F.col("p.size") + F.col("q.size")) - 1e-9)
 
@@ -167,10 +189,11 @@ def ratio_pairs(titles: DataFrame, threshold: float) -> DataFrame:
     """
     n, short = F.length("norm"), threshold / (2 - threshold)
     lengths = F.array_distinct(F.array(run_length(n), run_length(F.ceil(n * short - 1e-9))))
-    listed = titles.select("id", "publisher", "norm", "place", n.alias("n"), F.explode(lengths).alias("q")).filter(F.col("n") >= F.col("q"))
+    titles = _keyed(titles)
+    listed = titles.select("id", "_key", "publisher", "norm", "place", n.alias("n"), F.explode(lengths).alias("q")).filter(F.col("n") >= F.col("q"))
     grams = F.transform(F.sequence(F.lit(1), F.col("n") - F.col("q") + 1), lambda i: F.substr("norm", i, F.col("q")))
-    spread = listed.withColumn("size", F.col("n") - F.col("q") + 1).select("id", "publisher", "norm", "place", "n", "q", "size", F.posexplode(grams).alias("at", "g"))
-    own = Window.partitionBy("id", "q", "g")
+    spread = listed.withColumn("size", F.col("n") - F.col("q") + 1).select("id", "_key", "publisher", "norm", "place", "n", "q", "size", F.posexplode(grams).alias("at", "g"))
+    own = Window.partitionBy("id", "_key", "q", "g")
     spread = spread.withColumn("nth", F.row_number().over(own.orderBy("at"))).withColumn("once", F.count("*").over(own) == 1)
     each = spread.withColumn("w", F.concat_ws("\u0001", "g", F.col("nth").cast("string"))).drop("g", "nth")
     least = F.greatest(F.lit(1), F.ceil(least_shared(F.col("n") * (1 + short), F.col("q"), threshold) - 1e-9))
@@ -179,13 +202,16 @@ def ratio_pairs(titles: DataFrame, threshold: float) -> DataFrame:
     left = F.least(F.col("p.size") - F.col("p.i"), F.col("q.size") - F.col("q.i"))
     reach = (F.col("p.q") == F.col("q.q")) & (F.col("p.q") == run_length(lesser)) & (2 * lesser >= threshold * total - 1e-9) & (left >= least_shared(total, F.col("p.q"), threshold) - 1e-9)
     beside = ~(F.col("p.once") & F.col("q.once")) | (F.abs(F.col("p.at") - F.col("q.at")) <= longer - threshold / 2 * total + 1e-9)
-    return _met(each, F.col("i") <= F.col("size") - least, reach & beside, enough_shared(F.col("x"), F.col("y"), threshold))
+    return _told(_met(each, F.col("i") <= F.col("size") - least, reach & beside, enough_shared(F.col("p.norm"), F.col("q.norm"), threshold)), titles)
 
 
 def jaccard_pairs(titles: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity) of all pairs of a publisher whose token Jaccard reaches the threshold."""
-    pairs = candidate_pairs(titles, threshold).withColumn("similarity", jaccard(tokens(F.col("x")), tokens(F.col("y"))))
-    return pairs.filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
+    listed = _worded(titles)
+    both = F.size(F.array_intersect("x", "y"))
+    # A generator's columns are worked out once: the filter does not compare the words again.
+    met = _told(_word_pairs(listed, threshold), listed, "words").select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.inline(F.array(F.struct(both.alias("both")))))
+    return met.select("a", "b", (F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
 def similar_titles(titles: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -301,3 +301,14 @@ def test_closed_schema_names_each_fault(spark):
         + [("type", "nulls", f) for f in ("what", "novelty_score", "source_ids")]
         + [("value", "low", "importance_score"), ("value", "route", "primary_route")]
     )
+
+
+def test_pairs_carry_no_texts_and_an_id_may_stand_twice(spark):
+    from siltworks.operators import cluster
+
+    shared = [f"word{k}" for k in range(30)]
+    rows = [(i, "p", " ".join([*shared, f"own{i}", f"other{i}"])) for i in range(60)] + [(1, "q", "alpha beta gamma"), (70, "q", "alpha beta gamma delta")]
+    titles = spark.createDataFrame(rows, "id long, publisher string, norm string").withColumn("place", F.struct(F.col("id").alias("o")))
+    got = sorted(map(tuple, cluster.jaccard_pairs(titles, 0.6).collect()))
+    assert got == sorted([(a, b, 30 / 34) for a in range(60) for b in range(a + 1, 60)] + [(1, 70, 0.75)])
+    assert cluster._word_pairs(cluster._worded(titles), 0.6).columns == ["a", "_a", "b", "_b"]
