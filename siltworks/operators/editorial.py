@@ -105,6 +105,14 @@ def bundle(stories: DataFrame, events: DataFrame, claims: DataFrame, reviews: Da
 LEAST_STORIES, MOST_STORIES, TOP = 5, 10, 5
 
 
+def _keyed(rows: DataFrame, by: str) -> DataFrame:
+    """Rows with ``_set``, the key of their set of stories: null is a key too, and in a struct plain equality joins it.
+
+    Windows, groups and joins on this one column share a shuffle.
+    """
+    return rows if "_set" in rows.columns else rows.withColumn("_set", F.struct(F.col(by).alias("by")))
+
+
 def reader_stories(events: DataFrame, claims: DataFrame, reviews: DataFrame, *, tops: DataFrame | None = None, numbers: DataFrame | None = None, labels: list[tuple[str, str]] = (), categories: dict[str, str] | None = None, watch: list[str] = (), by: str = "issue_key") -> DataFrame:
     """A story of each event as readers see it: five sections, takeaway, numbers, links.
 
@@ -119,21 +127,26 @@ def reader_stories(events: DataFrame, claims: DataFrame, reviews: DataFrame, *,
     the reason to the fact; an event that two reviews name takes the first by url.
     """
     place = F.when(F.col("priority") == "priority.p0", 0).when(F.col("priority") == "priority.p1", 1).when(F.col("priority") == "priority.p2", 2).otherwise(9)
-    base = events.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(place, "event_at", "event_id")) - 1)
     said = events.select("event_id", F.posexplode("claim_ids").alias("place", "claim_id")).join(claims.select("claim_id", "claim_text").dropDuplicates(["claim_id"]), "claim_id")
     ends = said.groupBy("event_id").agg(F.min_by("claim_text", "place").alias("_first"), F.max_by("claim_text", "place").alias("_last"))
     told = reviews.groupBy("event_id").agg(F.min_by(F.struct("url", "decision_reason"), "url").alias("_review"))
-    base = base.join(ends, "event_id", "left").join(told, "event_id", "left")
+    base = _keyed(events, by).join(ends, "event_id", "left").join(told, "event_id", "left")
     if numbers is None:
         base = base.withColumn("_numbers", F.lit(None).cast("array<struct<place:int,label:string,value:string,claim_id:string>>"))
     else:
         base = base.join(numbers.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct(F.col("place").cast("int").alias("place"), "label", "value", "claim_id"))).alias("_numbers")), "event_id", "left")
+    # What is found by event comes first; then a story's row moves once, to its set, for every order in it.
+    mine = Window.partitionBy("_set")
+    if tops is not None:
+        # Named events stand beside the events as rows, so that rows of one event see the least place of it.
+        named = _keyed(tops, by).filter("event_id is not null").select("_set", "event_id", F.col("place").alias("_at"), F.lit(False).alias("_told"))
+        base = base.withColumn("_told", F.lit(True)).unionByName(named, allowMissingColumns=True)
+        base = base.withColumn("_at", F.min("_at").over(mine.orderBy("event_id").rangeBetween(Window.currentRow, Window.currentRow))).filter("_told")
+    base = base.withColumn("rank", F.row_number().over(mine.orderBy(place, "event_at", "event_id")) - 1)
     if tops is None:
         base = base.withColumn("_top", F.when(F.col("rank") < TOP, F.col("rank")))
     else:
-        named = tops.select(F.col(by).alias("_by"), F.col("event_id").alias("_event"), F.col("place").alias("_at")).groupBy("_by", "_event").agg(F.min("_at").alias("_at"))
-        base = base.join(named, F.col(by).eqNullSafe(F.col("_by")) & (F.col("event_id") == F.col("_event")), "left")
-        order = F.row_number().over(Window.partitionBy(by).orderBy(F.col("_at").asc_nulls_last(), "rank")) - 1
+        order = F.row_number().over(mine.orderBy(F.col("_at").asc_nulls_last(), "rank")) - 1
         base = base.withColumn("_top", F.when(F.col("_at").isNotNull() & (order < TOP), order))
     whole = lambda c, other: F.when(F.btrim(F.coalesce(c, F.lit(""))) != "", c).otherwise(other)
     section = lambda text, kind: F.struct(text.alias("text"), F.col("claim_ids").alias("claim_ids"), F.lit(kind).alias("statement_type"))
@@ -168,6 +181,7 @@ def reader_stories(events: DataFrame, claims: DataFrame, reviews: DataFrame, *,
         F.col("event_at").alias("published_at"),
         "rank",
         F.col("_top").alias("top_place"),
+        "_set",
     )
 
 
@@ -178,13 +192,13 @@ def issue_documents(stories: DataFrame, events: DataFrame, claims: DataFrame, *,
     small; others are left to ``validate.issue_sizes``.  Days, trends and claims are those
     of the issue's own events; a day outside the last seven goes to the nearer end.
     """
-    small = stories.groupBy(by).agg(F.count("*").alias("n")).filter(F.col("n").between(LEAST_STORIES, MOST_STORIES)).select(F.col(by).alias("_by"))
-    own = stories.join(small, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
-    mine = own.select(by, "story_id", "rank", F.col("primary_event_id").alias("event_id"), F.to_date("published_at").alias("d"))
+    counted = _keyed(stories, by).withColumn("_n", F.count("*").over(Window.partitionBy("_set")))
+    own = counted.filter(F.col("_n").between(LEAST_STORIES, MOST_STORIES)).drop("_n")
+    mine = own.select("_set", "rank", F.col("primary_event_id").alias("event_id"))
     listed = lambda *c: F.array_sort(F.collect_list(F.struct(*c)))
-    told = [c for c in own.columns if c not in (by, "rank", "top_place")]
+    told = [c for c in own.columns if c not in (by, "rank", "top_place", "_set")]
     told_struct = F.struct("rank", "top_place", F.struct(*told).alias("story"))
-    heads = own.groupBy(by).agg(F.array_sort(F.collect_list(told_struct)).alias("s"), F.to_date(F.min("published_at")).alias("low"), F.to_date(F.max("published_at")).alias("high"))
+    heads = own.groupBy("_set").agg(F.array_sort(F.collect_list(told_struct)).alias("s"), F.to_date(F.min("published_at")).alias("low"), F.to_date(F.max("published_at")).alias("high"))
     tops = F.transform(F.array_sort(F.transform(F.filter("s", lambda x: x["top_place"].isNotNull()), lambda x: F.struct(x["top_place"].alias("p"), x["story"]["story_id"].alias("i")))), lambda x: x["i"])
     briefs = F.transform(F.filter("s", lambda x: x["top_place"].isNull()), lambda x: x["story"]["story_id"])
     end = F.greatest(F.col("high"), F.date_add("low", 6))
@@ -195,13 +209,13 @@ def issue_documents(stories: DataFrame, events: DataFrame, claims: DataFrame, *,
             F.transform(F.filter("s", lambda x: F.least(end, F.greatest(F.date_sub(end, 6), F.to_date(x["story"]["published_at"]))) == day), lambda x: x["story"]["story_id"]).alias("story_ids"),
         ),
     )
-    routes = mine.join(events.select("event_id", "primary_route"), "event_id").groupBy(by, "primary_route").agg(listed("rank", "event_id").alias("e"), F.count("*").alias("n"))
-    best = routes.withColumn("_r", F.row_number().over(Window.partitionBy(by).orderBy(F.col("n").desc(), "primary_route"))).filter("_r <= 4")
+    routes = mine.join(events.select("event_id", "primary_route"), "event_id").repartition("_set").groupBy("_set", "primary_route").agg(listed("rank", "event_id").alias("e"), F.count("*").alias("n"))
+    best = routes.withColumn("_r", F.row_number().over(Window.partitionBy("_set").orderBy(F.col("n").desc(), "primary_route"))).filter("_r <= 4")
     trend = F.struct("_r", ids.trend_id(F.coalesce("primary_route", F.lit(""))).alias("trend_id"), F.col("primary_route").alias("route"), F.col("n").alias("events"), F.col("e.event_id").alias("event_ids"))
-    radar = best.groupBy(F.col(by).alias("_by")).agg(F.transform(F.array_sort(F.collect_list(trend)), lambda t: t.dropFields("_r")).alias("trend_radar"))
+    radar = best.groupBy("_set").agg(F.transform(F.array_sort(F.collect_list(trend)), lambda t: t.dropFields("_r")).alias("trend_radar"))
     cited = mine.join(events.select("event_id", F.posexplode("claim_ids").alias("place", "claim_id")), "event_id").join(claims.dropDuplicates(["claim_id"]), "claim_id")
-    proof = cited.groupBy(F.col(by).alias("_of")).agg(F.transform(listed("rank", "place", F.struct(*claims.columns).alias("c")), lambda x: x["c"]).alias("evidence_claims"))
-    whole = heads.join(radar, F.col(by).eqNullSafe(F.col("_by")), "left").join(proof, F.col(by).eqNullSafe(F.col("_of")), "left")
+    proof = cited.groupBy("_set").agg(F.transform(listed("rank", "place", F.struct(*claims.columns).alias("c")), lambda x: x["c"]).alias("evidence_claims"))
+    whole = heads.join(radar, "_set", "left").join(proof, "_set", "left")
     size = F.size("s")
     issue = F.struct(
         ids.issue_id(F.col("high")).alias("issue_id"),
@@ -215,4 +229,4 @@ def issue_documents(stories: DataFrame, events: DataFrame, claims: DataFrame, *,
         F.size(briefs).alias("brief_count"),
     )
     document = F.struct(issue.alias("issue"), F.struct(days.alias("timeline_days"), "trend_radar").alias("presentation"), F.transform("s", lambda x: x["story"]).alias("editorial_stories"), "evidence_claims")
-    return whole.select(by, F.to_json(document).alias("document"))
+    return whole.select(F.col("_set.by").alias(by), F.to_json(document).alias("document"))
