@@ -90,19 +90,24 @@ def enrich(wanted: DataFrame, cache: DataFrame | None = None, provider: Provider
     empty = wanted.sparkSession.createDataFrame([], "candidate_id string, fingerprint string, answer string")
     # A cache that was written twice has one answer of an input: the first in order.
     known = (cache if cache is not None else empty).filter("fingerprint is not null").groupBy("candidate_id", "fingerprint").agg(F.min("answer").alias("answer"))
-    joined = wanted.join(known, ["candidate_id", "fingerprint"], "left")
+    # One pass: inputs are made once, and an answered row takes its answer through without its input.
+    joined = wanted.join(known, ["candidate_id", "fingerprint"], "left").select("candidate_id", "fingerprint", "answer", F.when(F.col("answer").isNull(), F.col("input")).alias("input"))
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            for a in range(0, len(pdf), batch):
-                part = pdf.iloc[a : a + batch]
-                answers = provider(part["input"].tolist())
-                if len(answers) != len(part):
+            cached = pdf["answer"].notna()
+            texts, answers = pdf.loc[~cached, "input"].tolist(), []
+            for a in range(0, len(texts), batch):
+                part = texts[a : a + batch]
+                said = provider(part)
+                if len(said) != len(part):
                     raise ValueError("the provider must answer every input")
-                yield part[["candidate_id", "fingerprint"]].assign(answer=answers)
+                answers += said
+            # A frame for each batch would cost more than the answers.
+            pdf.loc[~cached, "answer"] = answers
+            yield pdf[["candidate_id", "fingerprint", "answer"]].assign(cached=cached)
 
-    fresh = joined.filter("answer is null").select("candidate_id", "fingerprint", "input").mapInPandas(ask, "candidate_id string, fingerprint string, answer string")
-    both = joined.filter("answer is not null").select("candidate_id", "fingerprint", "answer", F.lit(True).alias("cached")).unionByName(fresh.withColumn("cached", F.lit(False)))
+    both = joined.mapInPandas(ask, "candidate_id string, fingerprint string, answer string, cached boolean")
     return both.withColumn("analysis", F.from_json("answer", ANALYSIS, {"mode": "FAILFAST"}))
 
 
