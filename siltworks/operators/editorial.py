@@ -113,7 +113,14 @@ def _keyed(rows: DataFrame, by: str) -> DataFrame:
     return rows if "_set" in rows.columns else rows.withColumn("_set", F.struct(F.col(by).alias("by")))
 
 
-def reader_stories(events: DataFrame, claims: DataFrame, reviews: DataFrame, *, tops: DataFrame | None = None, numbers: DataFrame | None = None, labels: list[tuple[str, str]] = (), categories: dict[str, str] | None = None, watch: list[str] = (), by: str = "issue_key") -> DataFrame:
+def _cited(events: DataFrame, claims: DataFrame, kept: list[str]) -> DataFrame:
+    """(event_id, _cited): an event's claims in its order, with the columns ``kept``; an event without known claims has no row."""
+    named = claims.dropDuplicates(["claim_id"]).select("claim_id", F.struct(*kept).alias("claim"))
+    said = events.select("event_id", F.posexplode("claim_ids").alias("place", "claim_id")).join(named, "claim_id")
+    return said.groupBy("event_id").agg(F.array_sort(F.collect_list(F.struct("place", "claim"))).alias("_cited"))
+
+
+def reader_stories(events: DataFrame, claims: DataFrame, reviews: DataFrame, *, tops: DataFrame | None = None, numbers: DataFrame | None = None, labels: list[tuple[str, str]] = (), categories: dict[str, str] | None = None, watch: list[str] = (), by: str = "issue_key", cite: bool = False) -> DataFrame:
     """A story of each event as readers see it: five sections, takeaway, numbers, links.
 
     ``events`` has ``by``, event_id, canonical_title, priority, event_at, fact_summary,
@@ -125,10 +132,16 @@ def reader_stories(events: DataFrame, claims: DataFrame, reviews: DataFrame, *,
 
     A null or blank text falls back: the deck and the section under the hood to the fact,
     the reason to the fact; an event that two reviews name takes the first by url.
+
+    With ``cite`` a story's row also keeps its event's route and whole claims, so that
+    ``issue_documents`` needs neither table again.
     """
     place = F.when(F.col("priority") == "priority.p0", 0).when(F.col("priority") == "priority.p1", 1).when(F.col("priority") == "priority.p2", 2).otherwise(9)
-    said = events.select("event_id", F.posexplode("claim_ids").alias("place", "claim_id")).join(claims.select("claim_id", "claim_text").dropDuplicates(["claim_id"]), "claim_id")
-    ends = said.groupBy("event_id").agg(F.min_by("claim_text", "place").alias("_first"), F.max_by("claim_text", "place").alias("_last"))
+    ends = _cited(events, claims, claims.columns) if cite else _cited(events, claims.select("claim_id", "claim_text"), ["claim_text"])
+    first, last = [F.get("_cited", at)["claim"]["claim_text"] for at in (F.lit(0), F.size("_cited") - 1)]
+    if not cite:
+        ends = ends.select("event_id", first.alias("_first"), last.alias("_last"))
+        first, last = F.col("_first"), F.col("_last")
     told = reviews.groupBy("event_id").agg(F.min_by(F.struct("url", "decision_reason"), "url").alias("_review"))
     base = _keyed(events, by).join(ends, "event_id", "left").join(told, "event_id", "left")
     if numbers is None:
@@ -163,13 +176,13 @@ def reader_stories(events: DataFrame, claims: DataFrame, reviews: DataFrame, *,
         F.col("event_id").alias("primary_event_id"),
         F.when(deep, "deep_dive").otherwise("brief").alias("article_type"),
         F.col("canonical_title").alias("headline"),
-        whole(F.col("_first"), fact).alias("dek"),
+        whole(first, fact).alias("dek"),
         reason.alias("one_line_takeaway"),
         kind.alias("category"),
         section(fact, "fact").alias("what_happened"),
         section(reason, "judgment").alias("why_it_matters"),
         F.when(deep, section(take, "judgment")).alias("our_take"),
-        section(whole(F.col("_last"), fact), "fact").alias("under_the_hood"),
+        section(whole(last, fact), "fact").alias("under_the_hood"),
         section(F.col("limitations"), "judgment").alias("limitations"),
         F.array(*[F.lit(w) for w in watch]).cast("array<string>").alias("watch_next"),
         F.transform(F.coalesce("_numbers", F.array().cast("array<struct<place:int,label:string,value:string,claim_id:string>>")), lambda x: F.struct(x["label"].alias("label"), x["value"].alias("value"), x["claim_id"].alias("claim_id"))).alias("key_numbers"),
@@ -182,23 +195,32 @@ def reader_stories(events: DataFrame, claims: DataFrame, reviews: DataFrame, *,
         "rank",
         F.col("_top").alias("top_place"),
         "_set",
+        *([F.struct("primary_route").alias("_routed"), "_cited"] if cite else []),
     )
 
 
-def issue_documents(stories: DataFrame, events: DataFrame, claims: DataFrame, *, by: str = "issue_key") -> DataFrame:
+def issue_documents(stories: DataFrame, events: DataFrame | None = None, claims: DataFrame | None = None, *, by: str = "issue_key") -> DataFrame:
     """(``by``, document): each issue as one nested JSON text, from ordered member tables.
 
     Only sets of ``LEAST_STORIES`` to ``MOST_STORIES`` stories are an issue, so a document is
     small; others are left to ``validate.issue_sizes``.  Days, trends and claims are those
     of the issue's own events; a day outside the last seven goes to the nearer end.
+
+    Stories told with ``cite`` hold what their events name; for others, ``events`` and ``claims`` are joined.
     """
     counted = _keyed(stories, by).withColumn("_n", F.count("*").over(Window.partitionBy("_set")))
     own = counted.filter(F.col("_n").between(LEAST_STORIES, MOST_STORIES)).drop("_n")
-    mine = own.select("_set", "rank", F.col("primary_event_id").alias("event_id"))
-    listed = lambda *c: F.array_sort(F.collect_list(F.struct(*c)))
-    told = [c for c in own.columns if c not in (by, "rank", "top_place", "_set")]
-    told_struct = F.struct("rank", "top_place", F.struct(*told).alias("story"))
-    heads = own.groupBy("_set").agg(F.array_sort(F.collect_list(told_struct)).alias("s"), F.to_date(F.min("published_at")).alias("low"), F.to_date(F.max("published_at")).alias("high"))
+    told = [c for c in own.columns if c not in (by, "rank", "top_place", "_set", "_routed", "_cited")]
+    listed = lambda x: F.array_sort(F.collect_list(x))
+    parts = [listed(F.struct("rank", "top_place", F.struct(*told).alias("story"))).alias("s"), F.to_date(F.min("published_at")).alias("low"), F.to_date(F.max("published_at")).alias("high")]
+    # Events of a set, with the route and the claims of each.
+    named = listed(F.when(F.col("primary_event_id").isNotNull(), F.struct("rank", F.col("primary_event_id").alias("event_id"), "_routed", "_cited"))).alias("e")
+    if events is None:
+        whole = own.groupBy("_set").agg(*parts, named)
+    else:
+        known = events.select(F.col("event_id"), F.struct("primary_route").alias("_routed")).join(_cited(events, claims, claims.columns), "event_id", "left").withColumnRenamed("event_id", "primary_event_id")
+        mine = own.select("_set", "rank", "primary_event_id").join(known, "primary_event_id")
+        whole = own.groupBy("_set").agg(*parts).join(mine.groupBy("_set").agg(named), "_set", "left")
     tops = F.transform(F.array_sort(F.transform(F.filter("s", lambda x: x["top_place"].isNotNull()), lambda x: F.struct(x["top_place"].alias("p"), x["story"]["story_id"].alias("i")))), lambda x: x["i"])
     briefs = F.transform(F.filter("s", lambda x: x["top_place"].isNull()), lambda x: x["story"]["story_id"])
     end = F.greatest(F.col("high"), F.date_add("low", 6))
@@ -209,13 +231,13 @@ def issue_documents(stories: DataFrame, events: DataFrame, claims: DataFrame, *,
             F.transform(F.filter("s", lambda x: F.least(end, F.greatest(F.date_sub(end, 6), F.to_date(x["story"]["published_at"]))) == day), lambda x: x["story"]["story_id"]).alias("story_ids"),
         ),
     )
-    routes = mine.join(events.select("event_id", "primary_route"), "event_id").repartition("_set").groupBy("_set", "primary_route").agg(listed("rank", "event_id").alias("e"), F.count("*").alias("n"))
-    best = routes.withColumn("_r", F.row_number().over(Window.partitionBy("_set").orderBy(F.col("n").desc(), "primary_route"))).filter("_r <= 4")
-    trend = F.struct("_r", ids.trend_id(F.coalesce("primary_route", F.lit(""))).alias("trend_id"), F.col("primary_route").alias("route"), F.col("n").alias("events"), F.col("e.event_id").alias("event_ids"))
-    radar = best.groupBy("_set").agg(F.transform(F.array_sort(F.collect_list(trend)), lambda t: t.dropFields("_r")).alias("trend_radar"))
-    cited = mine.join(events.select("event_id", F.posexplode("claim_ids").alias("place", "claim_id")), "event_id").join(claims.dropDuplicates(["claim_id"]), "claim_id")
-    proof = cited.groupBy("_set").agg(F.transform(listed("rank", "place", F.struct(*claims.columns).alias("c")), lambda x: x["c"]).alias("evidence_claims"))
-    whole = heads.join(radar, "_set", "left").join(proof, "_set", "left")
+    route = lambda x: x["_routed"]["primary_route"]
+    of_route = lambda r: F.filter("e", lambda x: route(x).eqNullSafe(r))
+    routes = F.array_sort(F.transform(F.array_distinct(F.transform("e", route)), lambda r: F.struct((-F.size(of_route(r))).alias("n"), r.alias("route"))))
+    trend = lambda t: F.struct(ids.trend_id(F.coalesce(t["route"], F.lit(""))).alias("trend_id"), t["route"].alias("route"), (-t["n"]).alias("events"), F.transform(of_route(t["route"]), lambda x: x["event_id"]).alias("event_ids"))
+    radar = F.when(F.size("e") > 0, F.transform(F.slice(routes, 1, 4), trend)).alias("trend_radar")
+    proof = F.flatten(F.filter(F.transform("e", lambda x: F.transform(x["_cited"], lambda c: c["claim"])), lambda x: x.isNotNull()))
+    proof = F.when(F.size(proof) > 0, proof).alias("evidence_claims")
     size = F.size("s")
     issue = F.struct(
         ids.issue_id(F.col("high")).alias("issue_id"),
@@ -228,5 +250,5 @@ def issue_documents(stories: DataFrame, events: DataFrame, claims: DataFrame, *,
         F.size(tops).alias("deep_dive_count"),
         F.size(briefs).alias("brief_count"),
     )
-    document = F.struct(issue.alias("issue"), F.struct(days.alias("timeline_days"), "trend_radar").alias("presentation"), F.transform("s", lambda x: x["story"]).alias("editorial_stories"), "evidence_claims")
+    document = F.struct(issue.alias("issue"), F.struct(days.alias("timeline_days"), radar).alias("presentation"), F.transform("s", lambda x: x["story"]).alias("editorial_stories"), proof)
     return whole.select(F.col("_set.by").alias(by), F.to_json(document).alias("document"))

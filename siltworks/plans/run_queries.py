@@ -625,8 +625,8 @@ e AS (SELECT o_custkey AS k, CAST(o_orderkey AS VARCHAR) AS id, 'story_' || subs
 g AS (SELECT k, min(d) AS low, max(d) AS high, greatest(max(d), min(d) + 6) AS e, count(*) AS n FROM e GROUP BY 1 HAVING count(*) BETWEEN 5 AND 10)"""
 
 
-def issue_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(stories, events, claims): a customer's orders are the events of an issue, whose five dearest are its long stories."""
+def issue_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stories with their claims: a customer's orders are the events of an issue, whose five dearest are its long stories."""
     orders = table(spark, sf_dir, "orders").filter("o_custkey is not null")
     number, level = text_of("o_orderkey"), F.col("o_orderpriority")
     claim = lambda n: F.concat(F.lit("clm_"), number, F.lit(f"_{n}"))
@@ -638,7 +638,7 @@ def issue_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     reviews_ = orders.select(number.alias("event_id"), F.concat(F.lit("https://o.org/"), number).alias("url"), F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("why "), level)).alias("decision_reason"))
     dearest = Window.partitionBy("issue_key").orderBy(F.col("o_totalprice").desc(), F.col("event_id").cast("bigint"))
     tops = found.select("issue_key", "event_id", F.row_number().over(dearest).alias("place"))
-    return editorial.reader_stories(found, claims, reviews_, tops=tops, labels=[("o.org", "Order book")], watch=["Is it final?"]), found, claims
+    return editorial.reader_stories(found, claims, reviews_, tops=tops, labels=[("o.org", "Order book")], watch=["Is it final?"], cite=True)
 
 
 @query(
@@ -651,7 +651,7 @@ def issue_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
 )
 def issue_document(spark, sf_dir):
     """The issue of each customer with five to ten orders, read back from its document by path."""
-    documents = editorial.issue_documents(*issue_parts(spark, sf_dir))
+    documents = editorial.issue_documents(issue_stories(spark, sf_dir))
     v = documents.select("issue_key", F.parse_json("document").alias("v"))
     get = lambda item, path, kind="string": F.variant_get(item, path, kind)
     told = lambda s: F.concat_ws("/", *[get(s, f"$.{p}") for p in ("headline", "what_happened.text", "dek", "why_it_matters.text", "under_the_hood.text", "article_type", "source_links[0].url", "editorial_score", "limitations.claim_ids[0]")])
@@ -677,11 +677,11 @@ def issue_document(spark, sf_dir):
 )
 def document_violations(spark, sf_dir):
     """Sizes that are no issue, and documents of which five in six are spoilt in one place."""
-    stories, found, claims = issue_parts(spark, sf_dir)
+    stories = issue_stories(spark, sf_dir)
     m, text = F.col("issue_key") % 6, F.col("document")
     spoilt = F.when(m == 1, F.replace(text, F.lit("https://"), F.lit("http://"))).when(m == 2, F.replace(text, F.lit('{"claim_id":"'), F.lit('{"claim_id":"no')))
     spoilt = spoilt.when(m == 3, F.replace(text, F.lit('"timeline_days"'), F.lit('"days"'))).when(m == 4, F.replace(text, F.lit('"judgment"'), F.lit('"fact"'))).when(m == 5, F.concat(text, F.lit("]"))).otherwise(text)
-    broken = validate.documents(editorial.issue_documents(stories, found, claims).withColumn("document", spoilt))
+    broken = validate.documents(editorial.issue_documents(stories).withColumn("document", spoilt))
     return validate.issue_sizes(stories).withColumn("place", F.lit("")).unionByName(broken)
 
 

@@ -173,7 +173,7 @@ def issue_document(run_id: str, events: DataFrame, claims: DataFrame, reviews: D
     cited = events.select("event_id", F.explode("claim_ids").alias("claim_id")).join(claims.select("claim_id", "candidate_id"), "claim_id")
     told = reviews.join(cited.select("event_id", "candidate_id").distinct(), "candidate_id").select("event_id", "url", "decision_reason")
     proof = claims.select("claim_id", "claim_text", "claim_kind", "source_locator", "source_id")
-    return editorial.issue_documents(editorial.reader_stories(keyed, proof, told), keyed, proof)
+    return editorial.issue_documents(editorial.reader_stories(keyed, proof, told, cite=True))
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
